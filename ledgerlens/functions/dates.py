@@ -49,8 +49,9 @@ def iso_date(c, patterns: list[str] = ISO_DATE_PATTERNS) -> Column:
     return F.date_format(parse_first(c, patterns), "yyyy-MM-dd")
 
 
-# Trailing zone token: an abbreviation (PDT, UTC), or an offset (GMT-7).
-_ZONE = r"\s+((?:GMT|UTC)[+-]\d{1,2}(?::?\d{2})?|[A-Z]{2,5})$"
+# Trailing zone token: an abbreviation (PDT, UTC), or an offset (GMT-7); an
+# AM/PM marker is not a zone.
+_ZONE = r"\s+((?:GMT|UTC)[+-]\d{1,2}(?::?\d{2})?|(?!AM$|PM$)[A-Z]{2,5})$"
 
 
 def split_zone(c) -> tuple[Column, Column]:

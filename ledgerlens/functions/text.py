@@ -13,6 +13,10 @@ from ledgerlens.layouts import SPANISH_MONTHS
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INTEGER = r"^[+-]?\d+$"
 
+# The characters str.strip() removes: every code point Python calls space.
+# Trimming a set of characters avoids a per-row regular expression.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,12 +24,12 @@ def _c(c) -> Column:
 
 def strip_text(c) -> Column:
     """Strip leading and trailing white space of any kind, as str.strip()."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def clean_text(c) -> Column:
     """Drop zero-width spaces (U+200B), then strip."""
-    return strip_text(F.regexp_replace(_c(c), "\u200b", ""))
+    return strip_text(F.replace(_c(c), F.lit("\u200b"), F.lit("")))
 
 
 def is_strict_number(c) -> Column:
@@ -39,12 +43,12 @@ def _to_double(text: Column) -> Column:
 def money(c) -> Column:
     """'1,234.50' -> 1234.5: thousands commas removed, stripped, to double.
     Blank or non-numeric text gives NULL (never NaN)."""
-    return _to_double(strip_text(F.regexp_replace(_c(c), ",", "")))
+    return _to_double(strip_text(F.replace(_c(c), F.lit(","), F.lit(""))))
 
 
 def money_eu(c) -> Column:
     """'12,50' -> 12.5: decimal comma to dot, to double; '1.234,5' -> NULL."""
-    return _to_double(strip_text(F.regexp_replace(_c(c), ",", ".")))
+    return _to_double(strip_text(F.replace(_c(c), F.lit(","), F.lit("."))))
 
 
 def int_or_zero(c) -> Column:
@@ -65,10 +69,13 @@ def localise_month(c, months=SPANISH_MONTHS) -> Column:
     Tokens are matched as whole words, so an English name that already
     contains a token ('July', 'October') is left alone.
     """
-    out = _c(c)
+    src = _c(c)
+    out = src
     for es, en in months:
         out = F.regexp_replace(out, rf"(?i)\b{es}\b", en)
-    return out
+    # One combined test first: text without any token skips the twelve steps.
+    anyone = "(?i)\\b(" + "|".join(es for es, _ in months) + ")\\b"
+    return F.when(src.rlike(anyone), out).otherwise(src)
 
 
 def percent_text(c) -> Column:

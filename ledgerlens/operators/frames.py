@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
@@ -155,18 +156,26 @@ def pick_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[str],
 
 def merge_lines(lines: DataFrame, file_col: str = "file_name",
                 no_col: str = "line_no", line_col: str = "line",
-                dedupe: bool = False) -> DataFrame:
+                header_lines: int = 1, dedupe: bool = False,
+                reuse_input: bool = True) -> DataFrame:
     """Merge overlapping extracts of one report.
 
     The largest file (by bytes, ties by name) is kept whole. From every other
-    file the first line (its header) is skipped and only lines the base file
-    does not contain are added; repeated lines keep their multiplicity unless
-    ``dedupe``. Lines are compared after stripping by the reader.
+    file the first ``header_lines`` lines are skipped and only lines the base
+    file does not contain are added; repeated lines keep their multiplicity
+    unless ``dedupe``. ``line_no`` counts lines from the file's first line.
 
     The base is chosen by a global aggregate over per-file sizes (one row,
     a fixed size, so it is broadcast); the membership test is a left anti
-    join against the base's distinct lines.
+    join against the base's distinct lines, so a line repeated very often
+    reaches the join once.
+
+    The input is read by four branches (sizes, base, rest, seen lines); with
+    ``reuse_input`` it is persisted (memory, then local disk; recomputed from
+    its source if an executor is lost) so the source is scanned once.
     """
+    if reuse_input:
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = lines.groupBy(q(file_col)).agg(
         F.sum(F.length(q(line_col)) + 1).alias("_bytes"),
         F.min(q(no_col)).alias("_first_no"))
@@ -177,7 +186,7 @@ def merge_lines(lines: DataFrame, file_col: str = "file_name",
     base_lines = tagged.where(is_base).drop("_base_file")
     rest = (tagged.where(~is_base).drop("_base_file")
             .join(sizes.select(q(file_col), "_first_no"), on=file_col, how="left")
-            .where(q(no_col) > F.col("_first_no")).drop("_first_no"))
+            .where(q(no_col) - F.col("_first_no") >= header_lines).drop("_first_no"))
     seen = base_lines.select(q(line_col)).distinct()
     added = rest.join(seen, on=line_col, how="left_anti").select(*lines.columns)
     out = base_lines.select(*lines.columns).unionByName(added)

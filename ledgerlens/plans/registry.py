@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "ledgerlens.plans.listings",
+    "ledgerlens.plans.transactions",
 ]
 
 

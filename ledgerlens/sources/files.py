@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlens.functions.text import strip_text
+
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
                    sep: str = ",", header: bool = True, glob: str | None = "*.csv",
@@ -64,7 +66,7 @@ def explode_lines(df: DataFrame, file_col: str, text_col: str,
     last_empty = (F.col("line_no") == F.col("_n") - 1) & (F.col("_raw") == "")
     return (exploded.where(~last_empty)
             .select(*keep, "file_name", F.col("line_no").cast("bigint").alias("line_no"),
-                    F.regexp_replace("_raw", r"(?U)^\s+|\s+$", "").alias("line")))
+                    strip_text(F.col("_raw")).alias("line")))
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str],
