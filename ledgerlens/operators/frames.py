@@ -91,11 +91,17 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str],
 
 
 def fill_from_first(df: DataFrame, cols: Sequence[str], by: str,
-                    order: str) -> DataFrame:
-    """Give every row of a group the values its first row (by ``order``) has
-    in ``cols``, NULLs included. Column order is kept."""
+                    order: str | Sequence[str]) -> DataFrame:
+    """Give every row of a group the values its first row (by ``order``, one
+    or more columns) has in ``cols``, NULLs included. Column order is kept.
+
+    The first row is ``min(struct(order, values))`` per group, a partial
+    aggregate, joined back on the group key.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    okey = F.struct(*[q(o).alias(f"_o{i}") for i, o in enumerate(order)])
     first = (df.groupBy(q(by))
-             .agg(F.min(F.struct(q(order).alias("_o"),
+             .agg(F.min(F.struct(okey.alias("_o"),
                                  F.struct(*[q(c) for c in cols]).alias("v"))).alias("_f"))
              .select(q(by), *[F.col(f"_f.v.`{c}`").alias(f"_first_{i}")
                              for i, c in enumerate(cols)]))

@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "ledgerlens.plans.listings",
     "ledgerlens.plans.transactions",
+    "ledgerlens.plans.settlement",
 ]
 
 

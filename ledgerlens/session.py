@@ -36,6 +36,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # One JVM does everything in local mode; on a cluster these come
+        # from the deployment, not from code.
+        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.maxResultSize"] = "4g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
