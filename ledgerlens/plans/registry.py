@@ -8,6 +8,7 @@ _MODULES = [
     "ledgerlens.plans.listings",
     "ledgerlens.plans.transactions",
     "ledgerlens.plans.settlement",
+    "ledgerlens.plans.scalars",
 ]
 
 
