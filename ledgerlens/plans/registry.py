@@ -9,6 +9,7 @@ _MODULES = [
     "ledgerlens.plans.transactions",
     "ledgerlens.plans.settlement",
     "ledgerlens.plans.scalars",
+    "ledgerlens.plans.reports",
 ]
 
 
