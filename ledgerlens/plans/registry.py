@@ -10,6 +10,7 @@ _MODULES = [
     "ledgerlens.plans.settlement",
     "ledgerlens.plans.scalars",
     "ledgerlens.plans.reports",
+    "ledgerlens.plans.catalogue",
 ]
 
 
