@@ -11,6 +11,7 @@ _MODULES = [
     "ledgerlens.plans.scalars",
     "ledgerlens.plans.reports",
     "ledgerlens.plans.catalogue",
+    "ledgerlens.plans.health",
 ]
 
 
