@@ -12,6 +12,7 @@ _MODULES = [
     "ledgerlens.plans.reports",
     "ledgerlens.plans.catalogue",
     "ledgerlens.plans.health",
+    "ledgerlens.plans.metrics",
 ]
 
 
