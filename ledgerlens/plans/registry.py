@@ -13,6 +13,7 @@ _MODULES = [
     "ledgerlens.plans.catalogue",
     "ledgerlens.plans.health",
     "ledgerlens.plans.metrics",
+    "ledgerlens.plans.publish",
 ]
 
 
