@@ -14,6 +14,7 @@ _MODULES = [
     "ledgerlens.plans.health",
     "ledgerlens.plans.metrics",
     "ledgerlens.plans.publish",
+    "ledgerlens.plans.streams",
 ]
 
 
