@@ -27,11 +27,50 @@ def strptime_to_spark(fmt: str) -> str:
     return out
 
 
+_SHAPE_LETTERS = [  # longest first
+    ("MMMM", "[A-Za-z]+"), ("MMM", "[A-Za-z]{3,}"), ("yyyy", "\\d{4}"), ("SSSSSS", "\\d{6}"),
+    ("yy", "\\d{2}"), ("MM", "\\d{2}"), ("dd", "\\d{2}"), ("HH", "\\d{2}"), ("hh", "\\d{2}"),
+    ("mm", "\\d{2}"), ("ss", "\\d{2}"), ("M", "\\d{1,2}"), ("d", "\\d{1,2}"), ("H", "\\d{1,2}"),
+    ("h", "\\d{1,2}"), ("m", "\\d{1,2}"), ("s", "\\d{1,2}"), ("a", "[AaPp][Mm]"),
+]
+
+
+def pattern_shape(pattern: str) -> str:
+    """Regular expression a text must match to have a chance with a Spark
+    datetime pattern. Failed parses are costly (the JVM builds an exception
+    per miss), so each parse is guarded by this cheap test."""
+    out, i = "^", 0
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            out += _re_escape(pattern[i + 1:j])
+            i = j + 1
+            continue
+        for letters, rx in _SHAPE_LETTERS:
+            if pattern.startswith(letters, i):
+                out += rx
+                i += len(letters)
+                break
+        else:
+            out += _re_escape(pattern[i])
+            i += 1
+    return out + "$"
+
+
+def _re_escape(text: str) -> str:
+    return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\/-" else ch for ch in text)
+
+
+def try_parse(c, pattern: str) -> Column:
+    """try_to_timestamp behind the shape test; NULL when either fails."""
+    text = _c(c)
+    return F.when(text.rlike(pattern_shape(pattern)), F.try_to_timestamp(text, F.lit(pattern)))
+
+
 def parse_first(c, patterns: list[str]) -> Column:
     """First pattern that parses the text, as a wall-clock timestamp_ntz."""
     text = _c(c)
-    tries = [F.try_to_timestamp(text, F.lit(p)) for p in patterns]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    return F.coalesce(*[try_parse(text, p) for p in patterns]).cast("timestamp_ntz")
 
 
 # Month-first shapes come before day-first ones: '10-11-2024' is 11 Oct,

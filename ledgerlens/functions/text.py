@@ -40,6 +40,16 @@ def _to_double(text: Column) -> Column:
     return F.when(is_strict_number(text), text.try_cast("double"))
 
 
+def money_text(c) -> Column:
+    """The text step of ``money``: thousands commas removed, stripped."""
+    return strip_text(F.replace(_c(c), F.lit(","), F.lit("")))
+
+
+def text_to_double(c) -> Column:
+    """Number text -> double; anything else NULL (never NaN)."""
+    return _to_double(_c(c))
+
+
 def money(c) -> Column:
     """'1,234.50' -> 1234.5: thousands commas removed, stripped, to double.
     Blank or non-numeric text gives NULL (never NaN)."""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
-from ledgerlens.functions.dates import strptime_to_spark
+from ledgerlens.functions.dates import strptime_to_spark, try_parse
 
 
 def q(name: str) -> Column:
@@ -126,7 +126,7 @@ def pick_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[str],
     aggs = []
     for ci, c in enumerate(columns):
         for fi, p in enumerate(pats):
-            ok = q(c).isNull() | F.try_to_timestamp(q(c), F.lit(p)).isNotNull()
+            ok = q(c).isNull() | try_parse(q(c), p).isNotNull()
             aggs.append(F.bool_and(ok).alias(f"_ok_{ci}_{fi}"))
     fits = df.groupBy(q(by)).agg(*aggs)
     choice = []
@@ -146,8 +146,7 @@ def pick_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[str],
         ci = idx[name]
         parsed = F.lit(None).cast("timestamp")
         for fi in reversed(range(len(pats))):
-            parsed = F.when(F.col(f"_fmt_{ci}") == fi,
-                            F.try_to_timestamp(q(name), F.lit(pats[fi]))).otherwise(parsed)
+            parsed = F.when(F.col(f"_fmt_{ci}") == fi, try_parse(q(name), pats[fi])).otherwise(parsed)
         text = F.when(F.col(f"_fmt_{ci}").isNull(), q(name)).otherwise(
             F.date_format(parsed, out_pattern))
         out.append(text.alias(name))

@@ -27,7 +27,8 @@ def inventory_job(lines: DataFrame) -> DataFrame:
     delims = infer_delimiters(lines)
     cols = [c for c in INVENTORY_OUT if c != "file_name"]
     df = fields_by_header(lines, delims, cols)
-    df = df.withColumn("Date", iso_date(F.regexp_replace(F.col("Date"), "[./]", "-")))
+    df = df.withColumn("Date", F.regexp_replace(F.col("Date"), "[./]", "-"))
+    df = df.withColumn("Date", iso_date(F.col("Date")))
     return conform(df, INVENTORY_OUT)
 
 
@@ -55,19 +56,20 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
     names = [c for c in INVENTORY_OUT if c != "file_name"]
     furn = seg == "FURNITURE"
     vals = [date_txt if n == "Date" else F.expr(_INV_SRC.get(n, "'0'")) for n in names]
-    data_line = F.lit(None).cast("string")
-    header_line = F.lit(None).cast("string")
+    fv = [v for n, v in zip(names, vals) if n != "Location"] + [F.lit("note")]
+    hv = [F.lit(n) for n in names]
+    hfv = [F.lit(n) for n in names if n != "Location"] + [F.lit("Extra Column")]
+    delim = F.lit(None).cast("string")
     for sname, dl in _SEG_DELIM.items():
-        if sname == "FURNITURE":
-            fv = [v for n, v in zip(names, vals) if n != "Location"] + [F.lit("note")]
-            hv = [F.lit(n) for n in names if n != "Location"] + [F.lit("Extra Column")]
-        else:
-            fv, hv = vals, [F.lit(n) for n in names]
-        opts = {"sep": dl}
-        data_line = F.when(seg == sname, F.to_csv(F.struct(*[v.alias(f"f{i}") for i, v in enumerate(fv)]), opts)) \
-            .otherwise(data_line)
-        header_line = F.when(seg == sname, F.to_csv(F.struct(*[v.alias(f"f{i}") for i, v in enumerate(hv)]), opts)) \
-            .otherwise(header_line)
+        delim = F.when(seg == sname, F.lit(dl)).otherwise(delim)
+    # Field values hold no delimiter or quote, so joining is valid CSV.
+    data_arr = F.when(furn, F.array(*fv)).otherwise(F.array(*vals))
+    head_arr = F.when(furn, F.array(*hfv)).otherwise(F.array(*hv))
+    staged = customer.select("c_custkey", "c_mktsegment", delim.alias("_d"),
+                             data_arr.alias("_a"), head_arr.alias("_h"), furn.alias("_f"))
+    data_line = F.expr("array_join(_a, _d)")
+    header_line = F.expr("array_join(_h, _d)")
+    customer = staged
     fname = F.concat(F.lit("inventory_"), F.lower(seg), F.lit(".csv"))
     rows = customer.select(fname.alias("file_name"), (F.col("c_custkey") + 1).alias("line_no"),
                            data_line.alias("line"), header_line.alias("_header"), furn.alias("_f"))
