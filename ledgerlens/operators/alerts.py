@@ -32,6 +32,13 @@ def argmax_per_bucket(samples: DataFrame, bucket: str = "hour", device: str = "d
                        F.col("_m.v").alias("max_value"), "samples")
 
 
+def _join_chunks(rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """Join a per-(device, chunk) summary back; a NULL device is a device too."""
+    r = summary.withColumnRenamed("device", "_sd").withColumnRenamed("_chunk", "_sc")
+    cond = [F.col("device").eqNullSafe(F.col("_sd")), F.col("_chunk") == F.col("_sc")]
+    return rows.join(r, on=cond, how="inner").drop("_sd", "_sc")
+
+
 def alert_events(samples: DataFrame, device: str = "device", ts: str = "ts",
                  order: str = "seq", value: str = "pct", hi: float = ALERT_ABOVE,
                  lo: float = NORMAL_AT_OR_BELOW, every: int = REMIND_EVERY,
@@ -59,7 +66,7 @@ def alert_events(samples: DataFrame, device: str = "device", ts: str = "ts",
     summ = summ.select("device", "_chunk",
                        F.coalesce(F.sum("_n").over(prev), F.lit(0)).alias("_offset"),
                        F.last(F.col("_last.d"), ignorenulls=True).over(prev).alias("_in_state"))
-    s = s.join(summ, on=["device", "_chunk"], how="inner")
+    s = _join_chunks(s, summ)
     s = s.withColumns({
         "_state": F.coalesce("_d_incl", "_in_state", F.lit("NORMAL")),
         "_prev": F.coalesce("_d_excl", "_in_state", F.lit("NORMAL")),
@@ -70,7 +77,7 @@ def alert_events(samples: DataFrame, device: str = "device", ts: str = "ts",
     # Episode start carried across chunks: the last entry before the chunk.
     entries = s.groupBy("device", "_chunk").agg(F.max("_enter_idx").alias("_last_enter"))
     entries = entries.select("device", "_chunk", F.max("_last_enter").over(prev).alias("_in_enter"))
-    s = s.join(entries, on=["device", "_chunk"], how="inner")
+    s = _join_chunks(s, entries)
     start = F.coalesce(F.max("_enter_idx").over(wc.rowsBetween(Window.unboundedPreceding, 0)),
                        F.col("_in_enter"))
     s = s.withColumn("_start", start)

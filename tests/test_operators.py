@@ -103,3 +103,9 @@ def test_hysteresis_reminder_across_chunks(spark):
     assert got == ["ALERT", "REMINDER", "NORMAL"]
     same = [(r.event) for r in alert_events(df, chunk="year").orderBy("ts").collect()]
     assert same == got
+
+
+def test_hysteresis_null_device_kept(spark):
+    df = _samples(spark, [50, 95, 70]).withColumn("device", F.lit(None).cast("long"))
+    got = [(r.device, r.event) for r in alert_events(df).orderBy("ts").collect()]
+    assert got == [(None, "ALERT"), (None, "NORMAL")]
