@@ -27,8 +27,12 @@ def strptime_to_spark(fmt: str) -> str:
     return out
 
 
+# English month names as Spark's US-locale parser reads them.
+_MONTH_FULL = "(?i:January|February|March|April|May|June|July|August|September|October|November|December)"
+_MONTH_SHORT = "(?i:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
+
 _SHAPE_LETTERS = [  # longest first
-    ("MMMM", "[A-Za-z]+"), ("MMM", "[A-Za-z]{3,}"), ("yyyy", "\\d{4}"), ("SSSSSS", "\\d{6}"),
+    ("MMMM", _MONTH_FULL), ("MMM", _MONTH_SHORT), ("yyyy", "\\d{4}"), ("SSSSSS", "\\d{6}"),
     ("yy", "\\d{2}"), ("MM", "\\d{2}"), ("dd", "\\d{2}"), ("HH", "\\d{2}"), ("hh", "\\d{2}"),
     ("mm", "\\d{2}"), ("ss", "\\d{2}"), ("M", "\\d{1,2}"), ("d", "\\d{1,2}"), ("H", "\\d{1,2}"),
     ("h", "\\d{1,2}"), ("m", "\\d{1,2}"), ("s", "\\d{1,2}"), ("a", "[AaPp][Mm]"),
