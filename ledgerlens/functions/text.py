@@ -43,15 +43,18 @@ def is_strict_number(c) -> Column:
     return F.coalesce(_c(c).rlike(_NUMBER), F.lit(False))
 
 
-# Characters a decimal number can hold. Text made only of these either reads
-# as Python's float() reads it or is rejected by the cast as well; suffixes
-# ('1d'), 'NaN', 'Infinity' and hex never pass. A character test, not a regex.
-_NUMBER_CHARS = "0123456789.eE+-"
+# Spark's double cast also reads forms Python's float() rejects: suffixes
+# ('1d', '2f'), 'NaN' / 'Infinity' and hex ('0x1p3'). A number must start
+# with a digit, sign or dot, end with a digit or dot, and hold no 'x'; the
+# cast does the rest. Set lookups on two characters, no regex per value.
+_FIRST = list("0123456789+-.")
+_LAST = list("0123456789.")
 
 
 def _to_double(text: Column) -> Column:
-    only_number_chars = (F.translate(text, _NUMBER_CHARS, "") == "") & (text != "")
-    return F.when(only_number_chars, text.try_cast("double"))
+    ok = (F.substring(text, 1, 1).isin(_FIRST) & F.substring(text, -1, 1).isin(_LAST)
+          & ~F.lower(text).contains("x"))
+    return F.when(ok, text.try_cast("double"))
 
 
 def money_text(c) -> Column:
@@ -82,8 +85,8 @@ def int_or_zero(c) -> Column:
     other numbers go through double ('12.9' -> 12, '-3.7' -> -3).
     """
     t = strip_text(_c(c))
-    digits_only = F.translate(t, "0123456789", "").isin("", "+", "-") & (F.length(t) > 0)
-    as_int = F.when(digits_only, t.try_cast("bigint"))
+    integer = F.substring(t, 1, 1).isin(list("0123456789+-")) & t.rlike(_INTEGER)
+    as_int = F.when(integer, t.try_cast("bigint"))
     as_dbl = _to_double(t).try_cast("bigint")
     return F.coalesce(as_int, as_dbl, F.lit(0).cast("bigint"))
 
