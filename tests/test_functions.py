@@ -36,7 +36,7 @@ def test_int_or_zero(spark):
 
 
 def test_clean_text(spark):
-    assert one(spark, clean_text, "​ Oct 20, 2024\t ") == "Oct 20, 2024"
+    assert one(spark, clean_text, "\u200b Oct 20, 2024\t ") == "Oct 20, 2024"
 
 
 def test_localise_month(spark):
