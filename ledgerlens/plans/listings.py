@@ -1,8 +1,10 @@
 """Listings: modified file (9 columns, pipe CSV) and one row per product.
 
-Registered queries render listing rows from ``part`` (brand as the product
-id, type as the channel, size as the status), publish them as the pipe file
-the job reads, and run the job on what was read back.
+Registered queries render raw listing rows from ``part`` (brand as the
+product id, type as the channel, size as the status) and write them as the
+tab-delimited report; the job reads that file (bytes, encoding fallback,
+fields by header name), publishes the modified pipe file, and reads it back
+for the de-duplication.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from ledgerlens.operators import conform, first_per_key, flag_duplicates, with_c
 from ledgerlens.plans.common import RUN_DATE, table
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import write_csv
-from ledgerlens.sources import read_delimited
+from ledgerlens.operators.delimited import fields_by_header, known_delimiter
+from ledgerlens.sources import read_delimited, read_lines
 
 # Channel first, then status, both NULLs last; the seller sku breaks ties so
 # the choice never depends on input order.
@@ -69,11 +72,24 @@ def render_listing_report(part: DataFrame) -> DataFrame:
     )
 
 
+RAW_LISTING = ["seller-sku", "asin1", "item-name", "price", "quantity", "product-id",
+               "fulfillment-channel", "status", "open-date"]
+
+
+def read_raw_listings(spark: SparkSession, path: str) -> DataFrame:
+    """Raw tab-delimited listing report(s): bytes decoded UTF-8 or Latin-1,
+    fields taken by the names in each file's header line."""
+    lines = read_lines(spark, path, glob="*.csv")
+    return fields_by_header(lines, known_delimiter(lines, "\t"), RAW_LISTING)
+
+
 def _published_modified(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = render_listing_report(table(spark, sf_dir, "part"))
-    path = scratch_path(spark, "listings-mod")
-    write_csv(modify_listings(raw, RUN_DATE), path, sep="|")
-    return read_delimited(spark, path, string_schema(LISTING_MOD), sep="|")
+    raw_path = scratch_path(spark, "listings-raw")
+    write_csv(raw, raw_path, sep="\t")
+    mod_path = scratch_path(spark, "listings-mod")
+    write_csv(modify_listings(read_raw_listings(spark, raw_path), RUN_DATE), mod_path, sep="|")
+    return read_delimited(spark, mod_path, string_schema(LISTING_MOD), sep="|")
 
 
 def q_listing_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,18 +55,20 @@ def explode_lines(df: DataFrame, file_col: str, text_col: str,
     """Text of a file -> one row per line: (file, line_no, line).
 
     A leading byte-order mark is dropped, lines split on CR LF, CR or LF,
-    and each line is stripped. The empty piece after a final line break is
-    not a line. ``line_no`` counts from 0 in file order.
+    and each line is stripped. A final line break does not start another
+    line, and an empty file has none. ``line_no`` counts from 0 in file order.
+
+    The text is split once per file; nothing evaluated per output line looks
+    at the whole text again (that would be quadratic in the file size).
     """
-    text = F.regexp_replace(F.col(text_col), "^\ufeff", "")
-    parts = F.split(text, "\r\n|\r|\n")
-    exploded = df.select(*keep, F.col(file_col).alias("file_name"),
-                         F.size(parts).alias("_n"),
-                         F.posexplode(parts).alias("line_no", "_raw"))
-    last_empty = (F.col("line_no") == F.col("_n") - 1) & (F.col("_raw") == "")
-    return (exploded.where(~last_empty)
-            .select(*keep, "file_name", F.col("line_no").cast("bigint").alias("line_no"),
-                    strip_text(F.col("_raw")).alias("line")))
+    t = F.col(text_col)
+    t = F.when(t.startswith("\ufeff"), F.substring(t, 2, 2147483647)).otherwise(t)
+    body = F.regexp_replace(t, "(\r\n|\r|\n)\\z", "")
+    staged = df.select(*keep, F.col(file_col).alias("file_name"), t.alias("_t"), body.alias("_b"))
+    exploded = staged.where(F.col("_t") != "").select(
+        *keep, "file_name", F.posexplode(F.split("_b", "\r\n|\r|\n")).alias("line_no", "_raw"))
+    return exploded.select(*keep, "file_name", F.col("line_no").cast("bigint").alias("line_no"),
+                           strip_text(F.col("_raw")).alias("line"))
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str],
