@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.layouts import ALERT_ABOVE, NORMAL_AT_OR_BELOW, REMIND_EVERY
+from ledgerlens.operators.frames import join_summary
 
 
 def argmax_per_bucket(samples: DataFrame, bucket: str = "hour", device: str = "device",
@@ -36,7 +37,7 @@ def _join_chunks(rows: DataFrame, summary: DataFrame) -> DataFrame:
     """Join a per-(device, chunk) summary back; a NULL device is a device too."""
     r = summary.withColumnRenamed("device", "_sd").withColumnRenamed("_chunk", "_sc")
     cond = [F.col("device").eqNullSafe(F.col("_sd")), F.col("_chunk") == F.col("_sc")]
-    return rows.join(r, on=cond, how="inner").drop("_sd", "_sc")
+    return join_summary(rows, r, cond, "inner").drop("_sd", "_sc")
 
 
 def alert_events(samples: DataFrame, device: str = "device", ts: str = "ts",

@@ -12,6 +12,26 @@ from pyspark.sql.types import DataType, StringType
 from ledgerlens.functions.dates import strptime_to_spark, try_parse
 
 
+# A summary (one row per file, key or chunk) with at most this many rows is
+# broadcast; a larger one is joined by a shuffle join, where AQE splits
+# skewed partitions. 200k rows of a few columns stay well below executor
+# memory.
+SUMMARY_BROADCAST_ROWS = 200_000
+
+
+def join_summary(big: DataFrame, summary: DataFrame, on, how: str = "left",
+                 max_rows: int = SUMMARY_BROADCAST_ROWS) -> DataFrame:
+    """Join a small derived table back to the data it summarises.
+
+    The summary is persisted and counted first (a size check on the real
+    data); under ``max_rows`` it is broadcast, so the large side is never
+    shuffled for the join; above, a regular shuffle join is planned.
+    """
+    small = summary.persist(StorageLevel.MEMORY_AND_DISK)
+    side = F.broadcast(small) if small.count() <= max_rows else small
+    return big.join(side, on=on, how=how)
+
+
 def q(name: str) -> Column:
     """Column by exact name; names with dots, slashes or blanks are quoted."""
     return F.col(f"`{name}`")
@@ -74,7 +94,7 @@ def _null_safe_join(df: DataFrame, summary: DataFrame, keys: Sequence[str],
     for i, k in enumerate(keys):
         renamed = renamed.withColumnRenamed(k, f"_k{i}")
     cond = [q(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    joined = df.join(renamed, on=cond, how=how)
+    joined = join_summary(df, renamed, cond, how)
     return joined.drop(*[f"_k{i}" for i in range(len(keys))])
 
 
@@ -105,7 +125,7 @@ def fill_from_first(df: DataFrame, cols: Sequence[str], by: str,
                                  F.struct(*[q(c) for c in cols]).alias("v"))).alias("_f"))
              .select(q(by), *[F.col(f"_f.v.`{c}`").alias(f"_first_{i}")
                              for i, c in enumerate(cols)]))
-    joined = df.join(first, on=by, how="left")
+    joined = join_summary(df, first, by, "left")
     idx = {c: i for i, c in enumerate(cols)}
     return joined.select(*[F.col(f"_first_{idx[c]}").alias(c) if c in idx else q(c)
                            for c in df.columns])
@@ -136,7 +156,7 @@ def pick_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[str],
             pick = F.when(F.col(f"_ok_{ci}_{fi}"), F.lit(fi)).otherwise(pick)
         choice.append(pick.alias(f"_fmt_{ci}"))
     fits = fits.select(q(by), *choice)
-    joined = df.join(fits, on=by, how="left")
+    joined = join_summary(df, fits, by, "left")
     idx = {c: i for i, c in enumerate(columns)}
     out = []
     for name in df.columns:
@@ -190,7 +210,7 @@ def merge_lines(lines: DataFrame, file_col: str = "file_name",
     is_base = F.col("_base_file").isNotNull()
     base_lines = tagged.where(is_base).drop("_base_file")
     rest = (tagged.where(~is_base).drop("_base_file")
-            .join(sizes.select(q(file_col), "_first_no"), on=file_col, how="left")
+            .transform(lambda r: join_summary(r, sizes.select(q(file_col), "_first_no"), file_col))
             .where(q(no_col) - F.col("_first_no") >= header_lines).drop("_first_no"))
     seen = base_lines.select(q(line_col)).distinct()
     added = rest.join(seen, on=line_col, how="left_anti").select(*lines.columns)
