@@ -143,19 +143,30 @@ def pick_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[str],
     back; with ``chosen_suffix`` the chosen format is returned as a column.
     """
     pats = [strptime_to_spark(f) for f in formats]
-    aggs = []
-    for ci, c in enumerate(columns):
-        for fi, p in enumerate(pats):
-            ok = q(c).isNull() | try_parse(q(c), p).isNotNull()
-            aggs.append(F.bool_and(ok).alias(f"_ok_{ci}_{fi}"))
-    fits = df.groupBy(q(by)).agg(*aggs)
-    choice = []
-    for ci, _ in enumerate(columns):
-        pick = F.lit(None).cast("int")
-        for fi in reversed(range(len(pats))):
-            pick = F.when(F.col(f"_ok_{ci}_{fi}"), F.lit(fi)).otherwise(pick)
-        choice.append(pick.alias(f"_fmt_{ci}"))
-    fits = fits.select(q(by), *choice)
+    # Fits are tested on distinct (group, column, value) triples: dates repeat
+    # a lot within a file, and the distinct step is a map-side aggregate, so
+    # each distinct value is parsed once per format instead of once per row.
+    cells = F.array(*[F.struct(F.lit(ci).alias("ci"), q(c).cast("string").alias("v"))
+                      for ci, c in enumerate(columns)])
+    values = (df.select(q(by), F.explode(cells).alias("_c"))
+              .select(q(by), F.col("_c.ci").alias("_ci"), F.col("_c.v").alias("_v"))
+              .where(F.col("_v").isNotNull()).distinct())
+    per_col = values.groupBy(q(by), "_ci").agg(
+        *[F.bool_and(try_parse(F.col("_v"), p).isNotNull()).alias(f"_ok{fi}")
+          for fi, p in enumerate(pats)])
+    pick = F.lit(None).cast("int")
+    for fi in reversed(range(len(pats))):
+        pick = F.when(F.col(f"_ok{fi}"), F.lit(fi)).otherwise(pick)
+    per_col = per_col.select(q(by), "_ci", pick.alias("_pick"))
+    # A column with no value at all keeps the first format, as a column-wide
+    # parse of nothing succeeds with it (its values stay NULL either way).
+    # -1 marks "values, but no format fits": the text is then kept.
+    fits = per_col.groupBy(q(by)).agg(
+        *[F.max(F.when(F.col("_ci") == ci, F.coalesce(F.col("_pick"), F.lit(-1)))).alias(f"_m{ci}")
+          for ci, _ in enumerate(columns)])
+    fits = fits.select(q(by), *[F.when(F.col(f"_m{ci}") == -1, F.lit(None).cast("int"))
+                                .otherwise(F.coalesce(F.col(f"_m{ci}"), F.lit(0))).alias(f"_fmt_{ci}")
+                                for ci, _ in enumerate(columns)])
     joined = join_summary(df, fits, by, "left")
     idx = {c: i for i, c in enumerate(columns)}
     out = []
