@@ -109,3 +109,15 @@ def test_hysteresis_null_device_kept(spark):
     df = _samples(spark, [50, 95, 70]).withColumn("device", F.lit(None).cast("long"))
     got = [(r.device, r.event) for r in alert_events(df).orderBy("ts").collect()]
     assert got == [(None, "ALERT"), (None, "NORMAL")]
+
+
+def test_join_summary_broadcasts_only_under_bound(spark):
+    from ledgerlens.operators.frames import join_summary
+    big = spark.range(1000).withColumn("k", F.col("id") % 10)
+    small = big.groupBy("k").count()
+    under = join_summary(big, small, "k", max_rows=100)
+    over = join_summary(big, small, "k", max_rows=5)
+    assert "BroadcastExchange" in under._jdf.queryExecution().executedPlan().toString()
+    over_plan = over._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in over_plan.lower()
+    assert under.count() == over.count() == 1000
