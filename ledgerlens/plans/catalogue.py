@@ -79,15 +79,15 @@ def render_catalogue(orders: DataFrame) -> DataFrame:
     status = F.when(o("o_orderstatus") == "F", F.lit("DONE")).when(o("o_orderstatus") == "O", F.lit("IN_PROGRESS")) \
         .otherwise(F.lit("CANCELLED"))
     return orders.select(
-        F.lit("GET_V2_SETTLEMENT_REPORT_DATA_FLAT_FILE").alias("reportType"),
+        F.lit("SETTLEMENT_FLAT_FILE").alias("reportType"),
         F.concat(F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("processingStartTime"),
         end_txt.alias("processingEndTime"),
         F.concat(day, F.lit("T00:00:00+00:00")).alias("dataStartTime"),
         F.concat(data_end_day, F.lit("T23:59:59+00:00")).alias("dataEndTime"),
         F.concat(F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("createdTime"),
         status.alias("processingStatus"),
-        F.array(F.lit("ATVPDKIKX0DER")).alias("marketplaceIds"),
-        F.when(o("o_orderkey") % 50 != 0, F.concat(F.lit("amzn1.spdoc."), o("o_orderkey").cast("string")))
+        F.array(F.lit("MKT-US")).alias("marketplaceIds"),
+        F.when(o("o_orderkey") % 50 != 0, F.concat(F.lit("doc-"), o("o_orderkey").cast("string")))
         .alias("reportDocumentId"),
         o("o_orderkey").cast("string").alias("reportId"),
         o("o_orderkey").alias("position"))
@@ -113,16 +113,16 @@ _FMT = ("strftime(CAST(o_orderdate AS DATE), '%Y%m%d') || '000000_' || "
 ORACLE = {
     "catalogue_pick": """
 SELECT CAST(o_orderdate AS DATE) AS day,
-  CASE WHEN o_orderkey % 50 <> 0 THEN 'amzn1.spdoc.' || o_orderkey END AS reportDocumentId,
+  CASE WHEN o_orderkey % 50 <> 0 THEN 'doc-' || o_orderkey END AS reportDocumentId,
   CAST(o_orderkey AS VARCHAR) AS reportId
 FROM orders
 WHERE o_orderstatus = 'F' AND o_orderkey % 7 <> 0
 QUALIFY row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) = 1""",
     "catalogue_label": f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS reportId,
-  CASE WHEN o_orderkey % 50 <> 0 THEN 'amzn1.spdoc.' || o_orderkey END AS reportDocumentId,
+  CASE WHEN o_orderkey % 50 <> 0 THEN 'doc-' || o_orderkey END AS reportDocumentId,
   o_orderdate + to_hours(CAST(o_orderkey % 24 AS BIGINT)) + to_minutes(CAST(o_custkey % 90 AS BIGINT)) AS processingEndTime,
-  'ATVPDKIKX0DER' AS marketplaceId,
+  'MKT-US' AS marketplaceId,
   {_FMT} AS formattedTime,
   o_orderkey + 1 AS seq,
   'settlement_report_' || {_FMT} || '_' || (o_orderkey + 1) || '.csv' AS filename,

@@ -23,7 +23,7 @@ def test_conform_idempotent(spark):
 
 def test_first_per_key_nulls_last_and_ties(spark):
     rows = [("s3", "A1", None, "Active"), ("s2", "A1", "DEFAULT", "Inactive"),
-            ("s1", "A1", "DEFAULT", "Inactive"), ("s4", "A2", "AMAZON", "Active"),
+            ("s1", "A1", "DEFAULT", "Inactive"), ("s4", "A2", "MARKETPLACE", "Active"),
             ("s5", None, "X", "Active"), ("s6", None, "W", "Active")]
     df = spark.createDataFrame(rows, "`seller-sku` string, asin1 string, `fulfillment-channel` string, status string")
     out = {r.asin1: r["seller-sku"] for r in first_per_key(df, ["asin1"], DEDUP_ORDER).collect()}
