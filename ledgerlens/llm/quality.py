@@ -51,18 +51,16 @@ def measures(rows: DataFrame) -> DataFrame:
     """Add MEASURES for ``_text`` (never null). Helper arrays are columns of
     their own projections, so each is built once for a row."""
     text = F.col("_text")
-    spaces = " \t\n\x0b\x0c\r"
     rows = rows.withColumns({
         "_words": F.filter(F.split(text, f"[{SPACE_CLASS}]+", -1), lambda w: w != ""),
-        "_lines": F.filter(F.split(text, "\n", -1), lambda x: F.ltrim(F.translate(x, spaces, "      ")) != ""),
-        "word_chars": F.length(F.translate(text, spaces, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+        "_lines": F.filter(F.split(text, "\n", -1), lambda x: F.ltrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""),
+        "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]+", ""))).cast("long"),
     })
     # Three-word windows as (hash, position), sorted: equal windows are then
     # neighbours. Words hold no white space, so no two windows hash alike
     # but by a 64-bit collision inside one text.
     rows = rows.withColumn("_windows", F.expr(f"""
-        CASE WHEN size(_words) >= 4 THEN array_sort(transform(sequence(1, size(_words) - 2), i ->
+        CASE WHEN size(_words) >= 4 THEN sort_array(transform(sequence(1, size(_words) - 2), i ->
             struct(xxhash64(_words[i - 1], _words[i], _words[i + 1]) AS h, i AS i)))
         ELSE cast(array() AS array<struct<h: bigint, i: int>>) END"""))
     rows = rows.withColumn("_again", F.expr("""
@@ -71,6 +69,7 @@ def measures(rows: DataFrame) -> DataFrame:
             (j + 1 < size(_windows) AND _windows[least(j + 1, size(_windows) - 1)].h = w.h))"""))
     return rows.withColumns({
         "n_words": _size(F.col("_words")),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_stop_words": _size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))),
         "n_lines": _size(F.col("_lines")),
         "n_dup_lines": _size(F.col("_lines")) - _size(F.array_distinct("_lines")),
