@@ -84,3 +84,9 @@ def range_bounds(keyed: DataFrame, key: str, weight: str, target: int) -> list[i
             filled = 0
         filled += bins[a]
     return bounds
+
+
+def small_arrow_batches(spark: SparkSession) -> None:
+    """Bound the rows of one Arrow batch, so a run of very long texts does
+    not meet in one Python worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
