@@ -9,6 +9,7 @@ _MODULES = [
     "ledgerlens.llm.simhash",
     "ledgerlens.llm.quality",
     "ledgerlens.llm.exact_dedup",
+    "ledgerlens.llm.token_files",
 ]
 
 
