@@ -56,7 +56,7 @@ class WordIds(dict):
         return found
 
     def learn(self, words: set) -> None:
-        new = list(words - self.keys())
+        new = [w for w in words if w not in self]
         coded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
         for word, c in zip(new, coded):
             self[word] = pack(f"<{len(c.ids)}I", *c.ids)
