@@ -11,6 +11,7 @@ _MODULES = [
     "ledgerlens.llm.quality",
     "ledgerlens.llm.exact_dedup",
     "ledgerlens.llm.token_files",
+    "ledgerlens.llm.bpe",
     "ledgerlens.llm.token_counts",
 ]
 

@@ -51,9 +51,12 @@ class WordIds(dict):
         words = [t.encode("utf-8").split() for t in texts]
         self.learn(set().union(*words))
         found = [b"".join(map(self.__getitem__, w)) for w in words]
+        self.trim()
+        return found
+
+    def trim(self) -> None:
         if len(self) > CACHE_WORDS:
             self.clear()
-        return found
 
     def learn(self, words: set) -> None:
         new = [w for w in words if w not in self]
