@@ -9,6 +9,7 @@ _MODULES = [
     "ledgerlens.llm.packing",
     "ledgerlens.llm.simhash",
     "ledgerlens.llm.quality",
+    "ledgerlens.llm.secrets",
     "ledgerlens.llm.exact_dedup",
     "ledgerlens.llm.token_files",
     "ledgerlens.llm.bpe",
