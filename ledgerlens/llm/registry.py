@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     # in the order of their numbers
+    "ledgerlens.llm.warc",
     "ledgerlens.llm.packing",
     "ledgerlens.llm.simhash",
     "ledgerlens.llm.quality",
