@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import id_and_text, read_table
+from ledgerlens.session import ensure_checkpoint_dir
 
 
 def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -34,6 +35,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     if keep not in ("min", "max"):
         raise ValueError("keep is 'min' or 'max'")
+    ensure_checkpoint_dir(docs.sparkSession)
     best = F.min if keep == "min" else F.max
     rows = _hashed(docs, id_col, text_col)
     groups = (rows.groupBy("_hash", "_text")

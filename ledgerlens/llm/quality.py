@@ -48,9 +48,13 @@ def _size(c: Column) -> Column:
 
 
 def measures(rows: DataFrame) -> DataFrame:
-    """Add MEASURES for ``_text`` (never null). Helper arrays are columns of
-    their own projections, so each is built once for a row."""
-    text = F.col("_text")
+    """The other columns of ``rows`` and MEASURES of ``_text`` (never null).
+
+    Helper arrays are columns of their own projections, so each is built once
+    for a row. The result leaves through a generator: a later filter on a
+    measure then reads the finished number instead of being pushed below the
+    projections, where every helper would be spelled out again."""
+    text, others = F.col("_text"), [c for c in rows.columns if c != "_text"]
     rows = rows.withColumns({
         "_words": F.filter(F.split(text, f"[{SPACE_CLASS}]+", -1), lambda w: w != ""),
         "_lines": F.filter(F.split(text, "\n", -1), lambda x: F.ltrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""),
@@ -67,7 +71,7 @@ def measures(rows: DataFrame) -> DataFrame:
         filter(_windows, (w, j) ->
             (j > 0 AND _windows[j - 1].h = w.h) OR
             (j + 1 < size(_windows) AND _windows[least(j + 1, size(_windows) - 1)].h = w.h))"""))
-    return rows.withColumns({
+    rows = rows.withColumns({
         "n_words": _size(F.col("_words")),
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_stop_words": _size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))),
@@ -77,6 +81,7 @@ def measures(rows: DataFrame) -> DataFrame:
         "n_repeat_words": F.expr("""CASE WHEN size(_again) = 0 THEN 0L ELSE cast(size(array_distinct(
             flatten(transform(_again, w -> array(w.i, w.i + 1, w.i + 2))))) AS bigint) END"""),
     })
+    return rows.select(F.inline(F.array(F.struct(*others, *MEASURES))))
 
 
 def base_failed() -> Column:

@@ -8,6 +8,7 @@ _MODULES = [
     # in the order of their numbers
     "ledgerlens.llm.warc",
     "ledgerlens.llm.packing",
+    "ledgerlens.llm.html_extract",
     "ledgerlens.llm.simhash",
     "ledgerlens.llm.quality",
     "ledgerlens.llm.secrets",
@@ -15,6 +16,7 @@ _MODULES = [
     "ledgerlens.llm.token_files",
     "ledgerlens.llm.bpe",
     "ledgerlens.llm.token_counts",
+    "corpus_pipeline",
 ]
 
 
