@@ -78,18 +78,30 @@ def parse_first(c, patterns: list[str]) -> Column:
 
 
 # Month-first shapes come before day-first ones: '10-11-2024' is 11 Oct,
-# '25-10-2024' can only be 25 Oct.
+# '25-10-2024' can only be 25 Oct. A text is brought to one spelling first
+# (see iso_date), so commas, zones, fractions and 'T' need no shapes here.
 ISO_DATE_PATTERNS = [
     "M-d-yyyy", "d-M-yyyy", "yyyy-M-d", "M-d-yy", "d-M-yy",
-    "M-d-yyyy H:m:s", "d-M-yyyy H:m:s", "yyyy-M-d H:m:s",
-    "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m:s.SSSSSS", "yyyyMMdd",
-    "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy",
+    "yyyyMMdd", "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy",
 ]
 
+# A time of day after a date: hours, minutes, perhaps seconds and a fraction,
+# AM or PM, and a zone name or offset.
+_TIME = (r"[T\s]+\d{1,2}(?::\d{1,2}){1,2}(?:[.,]\d{1,9})?(?:\s*[AaPp]\.?[Mm]\.?)?"
+         r"(?:\s*(?:Z|[A-Z]{2,5}|(?:GMT|UTC)?[+-]\d{1,2}(?::?\d{2})?))?$")
+_WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\.?,?\s+"
+
 
 def iso_date(c, patterns: list[str] = ISO_DATE_PATTERNS) -> Column:
-    """Free-form date text -> 'yyyy-MM-dd'; text nothing parses -> NULL."""
-    return F.date_format(parse_first(c, patterns), "yyyy-MM-dd")
+    """Free-form date text -> 'yyyy-MM-dd'; text nothing parses -> NULL.
+
+    The calendar date as written counts: a time of day, zone or weekday is
+    cut off, '.' and '/' separate as '-' does, and commas and runs of blanks
+    count as one blank ('Oct 20, 2024', '20 Oct 2024 10:00',
+    '2024-10-20T10:11:12+00:00')."""
+    text = F.regexp_replace(F.regexp_replace(_c(c), _TIME, ""), _WEEKDAY, "")
+    text = F.regexp_replace(F.regexp_replace(text, r"(?<=\d)[./](?=\d)", "-"), r"[,\s]+|\.\s*(?=\d)", " ")
+    return F.date_format(parse_first(F.btrim(text), patterns), "yyyy-MM-dd")
 
 
 # Trailing zone token: an abbreviation (PDT, UTC), or an offset (GMT-7); an

@@ -110,12 +110,16 @@ def percent_text(c) -> Column:
     """Number -> text with a '%' suffix; NULL stays NULL.
 
     Plain decimal notation is used for magnitudes Spark would print with an
-    exponent (>= 1e7), as Python does below 1e16.
+    exponent (>= 1e7, and below 1e-3), as Python does below 1e16 and from
+    1e-4 up; below that Python writes an exponent too ('5e-05').
     """
     x = _c(c).cast("double")
-    big = F.abs(x) >= F.lit(1e7)
+    big = (F.abs(x) >= F.lit(1e7)) | ((F.abs(x) < F.lit(1e-3)) & (F.abs(x) >= F.lit(1e-4)))
     as_dec = F.regexp_replace(
-        x.try_cast("decimal(38,10)").cast("string"), r"(\.\d*?)0+$", "$1")
+        F.when(F.abs(x) >= 1, x.try_cast("decimal(38,10)").cast("string"))
+        .otherwise(x.cast("string").try_cast("decimal(38,24)").cast("string")), r"(\.\d*?)0+$", "$1")
     as_dec = F.regexp_replace(as_dec, r"\.$", ".0")
-    text = F.when(big, as_dec).otherwise(x.cast("string"))
+    tiny = F.regexp_replace(F.regexp_replace(x.cast("string"), r"\.0E", "e"), r"[Ee]-(\d)$", "e-0$1")
+    text = F.when(big, as_dec).when((x != 0) & (F.abs(x) < 1e-4), F.replace(tiny, F.lit("E"), F.lit("e"))) \
+        .otherwise(x.cast("string"))
     return F.when(x.isNotNull(), F.concat(text, F.lit("%")))

@@ -70,17 +70,26 @@ def q_month_localise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_date_mdy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Free-form dates ('10/25/2024', '25.10.2024', ISO, junk) -> ISO text;
-    month first when both readings are possible."""
+    """Free-form dates ('10/25/2024', '25.10.2024', ISO, month names, with a
+    time, zone or weekday, junk) -> ISO text; month first when both readings
+    are possible."""
     o = table(spark, sf_dir, "orders")
     d = F.col("o_orderdate")
-    k = F.col("o_orderkey") % 5
+    d = d + F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 24).cast("int"), (F.col("o_orderkey") % 60).cast("int"))
+    k = F.col("o_orderkey") % 12
     txt = (F.when(k == 0, F.date_format(d, "MM/dd/yyyy"))
            .when(k == 1, F.date_format(d, "dd.MM.yyyy"))
            .when(k == 2, F.date_format(d, "yyyy-MM-dd"))
            .when(k == 3, F.lit("n/a"))
+           .when(k == 4, F.date_format(d, "MMM d, yyyy"))
+           .when(k == 5, F.date_format(d, "d MMM yyyy HH:mm"))
+           .when(k == 6, F.date_format(d, "MM-dd-yyyy hh:mm a"))
+           .when(k == 7, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+           .when(k == 8, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'"))
+           .when(k == 9, F.date_format(d, "EEE, d MMM yyyy HH:mm:ss 'GMT'"))
+           .when(k == 10, F.date_format(d, "MMMM d, yyyy h:mm:ss a 'PDT'"))
            .otherwise(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss")))
-    return o.select("o_orderkey", iso_date(F.regexp_replace(txt, "[./]", "-")).alias("Date"))
+    return o.select("o_orderkey", iso_date(txt).alias("Date"))
 
 
 def q_tz_pacific(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +131,8 @@ def q_percent_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(*_KEYS, percent_text("l_discount").alias("discount_pct"),
                      percent_text("l_tax").alias("tax_pct"),
                      percent_text("l_extendedprice").alias("price_pct"),
+                     percent_text(F.col("l_tax") / 100).alias("small_pct"),
+                     percent_text(F.col("l_discount") / 1000).alias("tiny_pct"),
                      F.split_part(fname, F.lit("."), F.lit(1)).alias("mod_name"),
                      F.split_part(day, F.lit("-"), F.lit(1)).alias("year"))
 
@@ -150,7 +161,7 @@ SELECT o_orderkey,
 FROM orders""",
     "date_mdy": """
 SELECT o_orderkey,
-  CASE o_orderkey % 5
+  CASE o_orderkey % 12
     WHEN 1 THEN CASE WHEN day(o_orderdate) <= 12
                      THEN strftime(make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)), '%Y-%m-%d')
                      ELSE strftime(o_orderdate, '%Y-%m-%d') END
@@ -175,6 +186,7 @@ FROM orders""",
     "percent_text": f"""
 SELECT {_K}, CAST(l_discount AS VARCHAR) || '%' AS discount_pct, CAST(l_tax AS VARCHAR) || '%' AS tax_pct,
   CAST(l_extendedprice AS VARCHAR) || '%' AS price_pct,
+  CAST(l_tax / 100 AS VARCHAR) || '%' AS small_pct, CAST(l_discount / 1000 AS VARCHAR) || '%' AS tiny_pct,
   'business_report_' || strftime(l_shipdate, '%Y-%m-%d') AS mod_name, strftime(l_shipdate, '%Y') AS year
 FROM lineitem""",
 }

@@ -52,6 +52,10 @@ def test_iso_date(spark):
     assert one(spark, iso_date, "25-10-2024") == "2024-10-25"   # only day first fits
     assert one(spark, iso_date, "2024-10-25") == "2024-10-25"
     assert one(spark, iso_date, "garbage") is None
+    for text in ("Oct 20, 2024", "20 Oct 2024 10:00", "10-20-2024 10:00 PM", "2024-10-20T10:11:12Z",
+                 "2024-10-20T10:11:12+00:00", "20.10.2024", "10/20/2024", "Sunday, October 20, 2024 1:05:12 PM PDT",
+                 "20241020", "2024-10-20 10:11:12.123456"):
+        assert one(spark, iso_date, text) == "2024-10-20", text
 
 
 def test_zone_handling(spark):
@@ -91,3 +95,8 @@ def test_pattern_shape_is_not_stricter_than_parser(spark):
     for pat, txt in [("MMM d, yyyy h:mm:ss a", "Oct 2, 2024 1:05:12 pm"),
                      ("d-M-yyyy H:m:s", "5-1-2024 3:4:5"), ("yyyy-M-d", "2024-10-01")]:
         assert re.match(pattern_shape(pat).replace("\\\\", "\\"), txt)
+
+
+def test_percent_text_small(spark):
+    for value in (0.0005, 0.00123, 0.05, 5e-05, 1.5e-05, -2.5e-07, 0.0, 12345678.5, 1.0, -0.0007, 0.07 / 100, 1e-300):
+        assert one(spark, percent_text, value, "v double") == f"{value}%", value
