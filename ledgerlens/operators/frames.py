@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
@@ -12,26 +11,6 @@ from pyspark.sql.types import DataType, StringType
 from ledgerlens.functions.dates import strptime_to_spark, try_parse
 
 
-# A summary (one row per file, key or chunk) with at most this many rows is
-# broadcast; a larger one is joined by a shuffle join, where AQE splits
-# skewed partitions. 200k rows of a few columns stay well below executor
-# memory.
-SUMMARY_BROADCAST_ROWS = 200_000
-
-
-def join_summary(big: DataFrame, summary: DataFrame, on, how: str = "left",
-                 max_rows: int = SUMMARY_BROADCAST_ROWS) -> DataFrame:
-    """Join a small derived table back to the data it summarises.
-
-    The summary is persisted and counted first (a size check on the real
-    data); under ``max_rows`` it is broadcast, so the large side is never
-    shuffled for the join; above, a regular shuffle join is planned.
-    """
-    small = summary.persist(StorageLevel.MEMORY_AND_DISK)
-    side = F.broadcast(small) if small.count() <= max_rows else small
-    return big.join(side, on=on, how=how)
-
-
 def q(name: str) -> Column:
     """Column by exact name; names with dots, slashes or blanks are quoted."""
     return F.col(f"`{name}`")
@@ -94,7 +73,7 @@ def _null_safe_join(df: DataFrame, summary: DataFrame, keys: Sequence[str],
     for i, k in enumerate(keys):
         renamed = renamed.withColumnRenamed(k, f"_k{i}")
     cond = [q(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    joined = join_summary(df, renamed, cond, how)
+    joined = df.join(renamed, cond, how)
     return joined.drop(*[f"_k{i}" for i in range(len(keys))])
 
 
@@ -125,117 +104,102 @@ def fill_from_first(df: DataFrame, cols: Sequence[str], by: str,
                                  F.struct(*[q(c) for c in cols]).alias("v"))).alias("_f"))
              .select(q(by), *[F.col(f"_f.v.`{c}`").alias(f"_first_{i}")
                              for i, c in enumerate(cols)]))
-    joined = join_summary(df, first, by, "left")
+    joined = df.join(first, by, "left")
     idx = {c: i for i, c in enumerate(cols)}
     return joined.select(*[F.col(f"_first_{idx[c]}").alias(c) if c in idx else q(c)
                            for c in df.columns])
 
 
+def format_fits(columns: Sequence[str], formats: Sequence[str]) -> list[Column]:
+    """Aggregates ``_ok<column>_<format>``: the format parses every non-NULL
+    value of the column. Each test sits behind the format's shape."""
+    return [F.bool_and(q(c).isNull() | try_parse(q(c), strptime_to_spark(f)).isNotNull()).alias(f"_ok{ci}_{fi}")
+            for ci, c in enumerate(columns) for fi, f in enumerate(formats)]
+
+
+def fitting_format(ci: int, formats: Sequence[str]) -> Column:
+    """Number of the first format that fits column ``ci``, or NULL."""
+    pick = F.lit(None).cast("int")
+    for fi in reversed(range(len(formats))):
+        pick = F.when(F.col(f"_ok{ci}_{fi}"), F.lit(fi)).otherwise(pick)
+    return pick
+
+
+def rewritten(text: Column, chosen: Column, formats: Sequence[str], out_pattern: str) -> Column:
+    """``text`` read by the chosen format and written as ``out_pattern``; kept
+    as it is when no format was chosen."""
+    parsed = F.lit(None).cast("timestamp")
+    for fi in reversed(range(len(formats))):
+        parsed = F.when(chosen == fi, try_parse(text, strptime_to_spark(formats[fi]))).otherwise(parsed)
+    return F.when(chosen.isNull(), text).otherwise(F.date_format(parsed, out_pattern))
+
+
 def pick_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[str],
                  by: str, out_pattern: str = "yyyy-MM-dd HH:mm:ss",
                  chosen_suffix: str | None = None) -> DataFrame:
     """Column-wide date format choice, per group (file) and column.
 
     For each column the first strptime format that parses every non-NULL
-    value of the group wins; the column is then rewritten as ``out_pattern``
-    text. When no format fits, the text is left as it is. The choice is one
-    aggregate (bool_and per format, partial before the shuffle) and one join
-    back; with ``chosen_suffix`` the chosen format is returned as a column.
+    value of the group wins (a column without any value takes the first); the
+    column is then rewritten as ``out_pattern`` text. When no format fits,
+    the text is left as it is. The choice is one aggregate per group, partial
+    before the shuffle, and one join back; with ``chosen_suffix`` the chosen
+    format is returned as a column.
     """
-    pats = [strptime_to_spark(f) for f in formats]
-    # Fits are tested on distinct (group, column, value) triples: dates repeat
-    # a lot within a file, and the distinct step is a map-side aggregate, so
-    # each distinct value is parsed once per format instead of once per row.
-    cells = F.array(*[F.struct(F.lit(ci).alias("ci"), q(c).cast("string").alias("v"))
-                      for ci, c in enumerate(columns)])
-    values = (df.select(q(by), F.explode(cells).alias("_c"))
-              .select(q(by), F.col("_c.ci").alias("_ci"), F.col("_c.v").alias("_v"))
-              .where(F.col("_v").isNotNull()).distinct())
-    per_col = values.groupBy(q(by), "_ci").agg(
-        *[F.bool_and(try_parse(F.col("_v"), p).isNotNull()).alias(f"_ok{fi}")
-          for fi, p in enumerate(pats)])
-    pick = F.lit(None).cast("int")
-    for fi in reversed(range(len(pats))):
-        pick = F.when(F.col(f"_ok{fi}"), F.lit(fi)).otherwise(pick)
-    per_col = per_col.select(q(by), "_ci", pick.alias("_pick"))
-    # A column with no value at all keeps the first format, as a column-wide
-    # parse of nothing succeeds with it (its values stay NULL either way).
-    # -1 marks "values, but no format fits": the text is then kept.
-    fits = per_col.groupBy(q(by)).agg(
-        *[F.max(F.when(F.col("_ci") == ci, F.coalesce(F.col("_pick"), F.lit(-1)))).alias(f"_m{ci}")
-          for ci, _ in enumerate(columns)])
-    fits = fits.select(q(by), *[F.when(F.col(f"_m{ci}") == -1, F.lit(None).cast("int"))
-                                .otherwise(F.coalesce(F.col(f"_m{ci}"), F.lit(0))).alias(f"_fmt_{ci}")
-                                for ci, _ in enumerate(columns)])
-    joined = join_summary(df, fits, by, "left")
+    fits = df.groupBy(q(by)).agg(*format_fits(columns, formats)).select(
+        q(by), *[fitting_format(ci, formats).alias(f"_fmt_{ci}") for ci in range(len(columns))])
+    joined = df.join(fits, by, "left")
     idx = {c: i for i, c in enumerate(columns)}
-    out = []
-    for name in df.columns:
-        if name not in idx:
-            out.append(q(name))
-            continue
-        ci = idx[name]
-        parsed = F.lit(None).cast("timestamp")
-        for fi in reversed(range(len(pats))):
-            parsed = F.when(F.col(f"_fmt_{ci}") == fi, try_parse(q(name), pats[fi])).otherwise(parsed)
-        text = F.when(F.col(f"_fmt_{ci}").isNull(), q(name)).otherwise(
-            F.date_format(parsed, out_pattern))
-        out.append(text.alias(name))
+    out = [rewritten(q(c), F.col(f"_fmt_{idx[c]}"), formats, out_pattern).alias(c) if c in idx else q(c)
+           for c in df.columns]
     if chosen_suffix:
-        for ci, c in enumerate(columns):
-            fmt = F.lit(None).cast("string")
-            for fi in reversed(range(len(formats))):
-                fmt = F.when(F.col(f"_fmt_{ci}") == fi, F.lit(formats[fi])).otherwise(fmt)
-            out.append(fmt.alias(f"{c}{chosen_suffix}"))
+        names = F.array(*[F.lit(f) for f in formats])
+        out += [F.get(names, F.col(f"_fmt_{ci}")).alias(f"{c}{chosen_suffix}") for ci, c in enumerate(columns)]
     return joined.select(*out)
 
 
 def merge_lines(lines: DataFrame, file_col: str = "file_name",
                 no_col: str = "line_no", line_col: str = "line",
                 header_lines: int = 1, dedupe: bool = False,
-                reuse_input: bool = True) -> DataFrame:
+                sizes: DataFrame | None = None) -> DataFrame:
     """Merge overlapping extracts of one report.
 
     The largest file (by bytes, ties by name) is kept whole. From every other
     file the first ``header_lines`` lines are skipped and only lines the base
     file does not contain are added; repeated lines keep their multiplicity
-    unless ``dedupe``. ``line_no`` counts lines from the file's first line.
-
-    The base is chosen by a global aggregate over per-file sizes (one row,
-    a fixed size, so it is broadcast); the membership test is a left anti
-    join against the base's distinct lines, so a line repeated very often
-    reaches the join once.
-
-    The input is read by four branches (sizes, base, rest, seen lines); with
-    ``reuse_input`` it is persisted (memory, then local disk; recomputed from
-    its source if an executor is lost) so the source is scanned once.
+    unless ``dedupe``. ``line_no`` counts from 0 in each file.
+
+    ``sizes`` may give the files' bytes as (file, bytes), as a file listing
+    does; else the bytes of the lines are summed. The base is one row, so it
+    is broadcast. The membership test is an anti join on the line's hash and
+    the line against the base's distinct lines, which are combined on the map
+    side; where one line of the other files is very frequent, AQE splits its
+    partition. Nothing is persisted and no job runs before the result does.
     """
-    if reuse_input:
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = lines.groupBy(q(file_col)).agg(
-        F.sum(F.length(q(line_col)) + 1).alias("_bytes"),
-        F.min(q(no_col)).alias("_first_no"))
+    if sizes is None:
+        sizes = lines.groupBy(q(file_col)).agg(
+            F.sum(F.octet_length(q(line_col)) + 1).alias("_bytes"))
+    else:
+        sizes = sizes.toDF(file_col, "_bytes")
     base = sizes.agg(F.min(F.struct(-F.col("_bytes"), q(file_col))).alias("_b")).select(
         F.col(f"_b.`{file_col}`").alias("_base_file"))
     tagged = lines.join(F.broadcast(base), q(file_col) == F.col("_base_file"), "left")
-    is_base = F.col("_base_file").isNotNull()
-    base_lines = tagged.where(is_base).drop("_base_file")
-    rest = (tagged.where(~is_base).drop("_base_file")
-            .transform(lambda r: join_summary(r, sizes.select(q(file_col), "_first_no"), file_col))
-            .where(q(no_col) - F.col("_first_no") >= header_lines).drop("_first_no"))
-    seen = base_lines.select(q(line_col)).distinct()
-    added = rest.join(seen, on=line_col, how="left_anti").select(*lines.columns)
-    out = base_lines.select(*lines.columns).unionByName(added)
+    base_lines = tagged.where(F.col("_base_file").isNotNull()).select(*lines.columns)
+    rest = tagged.where(F.col("_base_file").isNull() & (q(no_col) >= header_lines))
+    rest = rest.withColumn("_h", F.xxhash64(q(line_col)))
+    seen = base_lines.select(F.xxhash64(q(line_col)).alias("_h"), q(line_col)).distinct()
+    added = rest.join(seen, ["_h", line_col], "left_anti").select(*lines.columns)
+    out = base_lines.unionByName(added)
     return out.dropDuplicates([line_col]) if dedupe else out
 
 
 def distinct_files(files: DataFrame, path_col: str = "path",
                    length_col: str = "length", hash_col: str = "md5") -> DataFrame:
     """Drop files with the same size and content hash as another file; the
-    first by path is kept. The source files are never deleted."""
-    others = [c for c in files.columns if c != path_col]
-    best = files.groupBy(q(length_col), q(hash_col)).agg(
-        F.min(F.struct(q(path_col), *[q(c) for c in others
-                                     if c not in (length_col, hash_col)])).alias("_f"))
-    return best.select(*[F.col(f"_f.`{c}`").alias(c) if c not in (length_col, hash_col)
-                         else q(c) for c in files.columns])
+    first by path is kept. Only path, size and hash go through the aggregate;
+    other columns (a file's content, say) stay on their row, which a semi
+    join on the kept paths picks. The source files are never deleted."""
+    keys = files.groupBy(q(length_col), q(hash_col)).agg(F.min(q(path_col)).alias(path_col))
+    if set(files.columns) == {path_col, length_col, hash_col}:
+        return keys.select(*[q(c) for c in files.columns])
+    return files.join(keys.select(q(path_col)), path_col, "left_semi").select(*[q(c) for c in files.columns])

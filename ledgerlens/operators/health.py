@@ -81,27 +81,26 @@ def pending_all(daily: DataFrame, interval: DataFrame) -> DataFrame:
     return daily.unionByName(interval, allowMissingColumns=True)
 
 
-def pending_messages(pending: DataFrame, now: str, lines_per_message: int = 500,
+def pending_messages(pending: DataFrame, now: str,
                      quiet_times: Sequence[str] = QUIET_MESSAGE_TIMES) -> DataFrame:
-    """The notification text: one row per message part, each listing at most
-    about ``lines_per_message`` pending jobs ('name---time---freq---path'),
-    sorted within the part. Parts are hash buckets of the script name, their
-    number grows with the pending count, so no part is unbounded. With no
-    pending job, one 'none pending' row at the quiet-hours times, else none.
+    """The notification as lines: (head, line), one row per pending job
+    ('name---time---freq---path') under the message's heading. The rows sort
+    by ``line``; a sender writes the head once and the lines after it, so
+    their shape does not depend on how many there are. With no pending job,
+    one 'none pending' row without a head at the quiet-hours times, else none.
     """
     line = F.concat_ws(PENDING_FIELD_SEP, *[F.coalesce(F.col(c).cast("string"), F.lit("nan"))
                                            for c in PENDING])
-    n = pending.agg(F.count(F.lit(1)).alias("n"))
-    # Number of parts as a scalar subquery: evaluated once, no join needed.
-    parts = n.select(F.greatest(F.lit(1), F.ceil(F.col("n") / lines_per_message))
-                     .cast("bigint")).scalar()
-    bucket = F.pmod(F.conv(F.substring(F.md5(F.coalesce(F.col("scriptname"), F.lit(""))), 1, 8),
-                           16, 10).cast("bigint"), parts)
-    tagged = pending.select(bucket.alias("part"), line.alias("line"))
-    msgs = tagged.groupBy("part").agg(
-        F.array_join(F.array_sort(F.collect_list("line")), PENDING_LINE_SEP).alias("_lines"))
-    msgs = msgs.select("part", F.concat(F.lit(PENDING_MESSAGE_HEAD), F.col("_lines")).alias("message"))
-    quiet = now[11:16] in quiet_times
-    none = n.where((F.col("n") == 0) & F.lit(quiet)).select(
-        F.lit(0).cast("bigint").alias("part"), F.lit(NO_PENDING_MESSAGE).alias("message"))
-    return msgs.unionByName(none)
+    rows = pending.select(F.lit(PENDING_MESSAGE_HEAD).alias("head"), line.alias("line"))
+    if now[11:16] not in quiet_times:
+        return rows
+    none = pending.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
+        F.lit(None).cast("string").alias("head"), F.lit(NO_PENDING_MESSAGE).alias("line"))
+    return rows.unionByName(none)
+
+
+def message_text(rows: DataFrame) -> DataFrame:
+    """The notification as one text, for a bounded number of pending jobs: it
+    gathers all lines in one row."""
+    return rows.groupBy("head").agg(F.array_sort(F.collect_list("line")).alias("l")).select(
+        F.concat(F.coalesce("head", F.lit("")), F.array_join("l", PENDING_LINE_SEP)).alias("message"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.layouts import OVERDUE_HOURS, PENDING_FIELD_SEP, PENDING_LINE_SEP, PENDING_MESSAGE_HEAD
+from ledgerlens.layouts import NO_PENDING_MESSAGE, OVERDUE_HOURS, PENDING_FIELD_SEP, PENDING_MESSAGE_HEAD
 from ledgerlens.operators.health import (
     completion_records, pending_all, pending_daily, pending_interval, pending_messages,
 )
@@ -88,6 +88,20 @@ def q_job_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending_messages(_pending(spark, sf_dir), RUN_TS)
 
 
+def q_job_message_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message at a quiet time when no job is pending: of the pending
+    jobs only those without a script name are asked for, and there are none."""
+    quiet = RUN_DATE + " 07:15:00"
+    expected, done = _inputs(spark, sf_dir)
+    return pending_messages(pending_daily(expected, done, quiet).where(F.col("scriptname").isNull()), quiet)
+
+
+def q_job_pending_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval jobs before the gate's time: nothing is checked yet."""
+    expected, done = _inputs(spark, sf_dir)
+    return pending_interval(spark, expected, done, RUN_DATE + " 00:10:00", RUN_DATE)
+
+
 _EXPECTED_SQL = """
 expected AS (
   SELECT 'script_' || c_custkey || '.py' AS scriptname,
@@ -135,16 +149,15 @@ FROM r""",
     "job_pending_interval": "WITH " + _EXPECTED_SQL + "SELECT * FROM interval_jobs",
     "job_pending_all": "WITH " + _EXPECTED_SQL + "SELECT * FROM daily UNION ALL SELECT * FROM interval_jobs",
     "job_message": "WITH " + _EXPECTED_SQL + """,
-p AS (SELECT * FROM daily UNION ALL SELECT * FROM interval_jobs),
-n AS (SELECT greatest(1, CAST(ceil(count(*) / 500.0) AS BIGINT)) AS parts FROM p),
-t AS (
-  SELECT ('0x' || substr(md5(coalesce(scriptname, '')), 1, 8))::BIGINT % (SELECT parts FROM n) AS part,
-    coalesce(scriptname, 'nan') || '""" + PENDING_FIELD_SEP + """' || coalesce(schedule_time, 'nan') || '""" + PENDING_FIELD_SEP + """' ||
-    coalesce(frequency, 'nan') || '""" + PENDING_FIELD_SEP + """' || coalesce(scriptpath, 'nan') AS line
-  FROM p)
-SELECT part, '""" + PENDING_MESSAGE_HEAD.replace("\n", "' || chr(10) || '") + """' ||
-  string_agg(line, '  ' || chr(10) ORDER BY line) AS message
-FROM t GROUP BY part""",
+p AS (SELECT * FROM daily UNION ALL SELECT * FROM interval_jobs)
+SELECT '""" + PENDING_MESSAGE_HEAD.replace("\n", "' || chr(10) || '") + """' AS head,
+  coalesce(scriptname, 'nan') || '""" + PENDING_FIELD_SEP + """' || coalesce(schedule_time, 'nan') || '""" + PENDING_FIELD_SEP + """' ||
+  coalesce(frequency, 'nan') || '""" + PENDING_FIELD_SEP + """' || coalesce(scriptpath, 'nan') AS line
+FROM p""",
+    "job_message_empty": "WITH " + _EXPECTED_SQL + """
+SELECT CAST(NULL AS VARCHAR) AS head, '""" + NO_PENDING_MESSAGE + """' AS line
+WHERE NOT EXISTS (SELECT * FROM daily WHERE scriptname IS NULL)""",
+    "job_pending_gate": "WITH " + _EXPECTED_SQL + "SELECT * FROM interval_jobs WHERE false",
 }
 
 QUERIES = {
@@ -153,4 +166,6 @@ QUERIES = {
     "job_pending_interval": q_job_pending_interval,
     "job_pending_all": q_job_pending_all,
     "job_message": q_job_message,
+    "job_message_empty": q_job_message_empty,
+    "job_pending_gate": q_job_pending_gate,
 }

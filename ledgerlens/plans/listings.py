@@ -50,19 +50,21 @@ def split_duplicates(mod: DataFrame) -> DataFrame:
 
 def duplicate_counts(mod: DataFrame) -> DataFrame:
     """How many listings are duplicated and how many are distinct."""
-    return split_duplicates(mod).groupBy("is_duplicated").agg(
-        F.count(F.lit(1)).alias("listings"))
+    per_key = mod.groupBy(F.col("asin1")).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.groupBy((F.col("_n") > 1).alias("is_duplicated")).agg(F.sum("_n").alias("listings"))
 
 
 # --------------------------------------------------------------- test render
 
 def render_listing_report(part: DataFrame) -> DataFrame:
     """Raw listing rows (all text) from ``part``; every 11th part has no
-    asin1, every 7th no channel."""
+    asin1, every 7th no channel, every 13th an empty first field, and every 5th
+    an item name with quotes and a tab."""
     return part.select(
-        F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")).alias("seller-sku"),
+        F.when(F.col("p_partkey") % 13 != 0, F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string"))).alias("seller-sku"),
         F.when(F.col("p_partkey") % 11 != 0, F.col("p_brand")).alias("asin1"),
-        F.col("p_name").alias("item-name"),
+        F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit('12" "black",\t'), F.col("p_name")))
+         .otherwise(F.col("p_name")).alias("item-name"),
         F.col("p_retailprice").cast("string").alias("price"),
         F.col("p_size").cast("string").alias("quantity"),
         F.concat(F.lit("PID"), F.col("p_partkey").cast("string")).alias("product-id"),
@@ -79,7 +81,7 @@ RAW_LISTING = ["seller-sku", "asin1", "item-name", "price", "quantity", "product
 def read_raw_listings(spark: SparkSession, path: str) -> DataFrame:
     """Raw tab-delimited listing report(s): bytes decoded UTF-8 or Latin-1,
     fields taken by the names in each file's header line."""
-    lines = read_lines(spark, path, glob="*.csv")
+    lines = read_lines(spark, path, glob="*.csv", strip=False)
     return fields_by_header(lines, known_delimiter(lines, "\t"), RAW_LISTING)
 
 
@@ -106,7 +108,7 @@ def q_listing_dup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LISTING_SQL = """
 WITH l AS (
-  SELECT 'SKU-' || p_partkey AS "seller-sku",
+  SELECT CASE WHEN p_partkey % 13 <> 0 THEN 'SKU-' || p_partkey END AS "seller-sku",
          CASE WHEN p_partkey % 11 <> 0 THEN p_brand END AS asin1,
          'PID' || p_partkey AS "product-id",
          CASE WHEN p_partkey % 7 <> 0 THEN p_type END AS "fulfillment-channel",

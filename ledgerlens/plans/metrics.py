@@ -1,6 +1,6 @@
 """Metric samples: the highest device per time bucket, and threshold alerts
-with hysteresis. Samples are the events table: device = user, value = the
-event's value (it crosses 79 and 90 often)."""
+with hysteresis. Samples are the events table: device = a name made of the user,
+value = the event's value (it crosses 79 and 90 often)."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from ledgerlens.plans.common import table
 
 
 def samples_from_events(events: DataFrame) -> DataFrame:
-    return events.select(F.col("user_id").alias("device"), "ts", F.col("event_id").alias("seq"),
+    return events.select(F.concat(F.lit("vol-"), F.col("user_id").cast("string")).alias("device"), "ts", F.col("event_id").alias("seq"),
                          F.col("value").alias("pct"))
 
 
@@ -26,7 +26,7 @@ def q_hysteresis_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HYSTERESIS_SQL = """
 WITH s AS (
-  SELECT user_id AS device, ts, event_id, value AS pct,
+  SELECT 'vol-' || user_id AS device, ts, event_id, value AS pct,
     CASE WHEN value > 90 THEN 'ALERT' WHEN value <= 79 THEN 'NORMAL' END AS d
   FROM events),
 w AS (
@@ -51,10 +51,10 @@ WHERE state <> prev_state
 
 ORACLE = {
     "metric_argmax": """
-SELECT date_trunc('hour', ts) AS bucket, user_id AS max_device, value AS max_value,
+SELECT date_trunc('hour', ts) AS bucket, 'vol-' || user_id AS max_device, value AS max_value,
   count(*) OVER (PARTITION BY date_trunc('hour', ts)) AS samples
 FROM events
-QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY value DESC, user_id ASC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY value DESC, 'vol-' || user_id ASC) = 1""",
     "hysteresis_alert": HYSTERESIS_SQL,
 }
 

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 
 from ledgerlens.plans.common import RUN_DATE, table
 from ledgerlens.session import scratch_path
-from ledgerlens.sinks import publish_partitioned, write_csv, write_marker
+from ledgerlens.sinks import publish_or_blank, publish_partitioned, read_markers, write_marker
 
 FILE_TYPES = ["USA", "CA", "Mexico"]
-SALT_BUCKETS = 4   # files per partition: a hot partition is written by several tasks
 
 
 def _typed(orders: DataFrame) -> DataFrame:
@@ -21,10 +20,9 @@ def _typed(orders: DataFrame) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Group rows of a partition into few files, with a salt so one large
-    partition is still written by several tasks."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALT_BUCKETS))
-    return df.repartition("run_date", "file_type", salt)
+    """Group rows of a partition into few files; adaptive execution splits a
+    large partition over as many tasks as its measured size asks for."""
+    return df.hint("rebalance", "run_date", "file_type")
 
 
 def q_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,11 +47,10 @@ def q_empty_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Mexico has no reports this run: its output is empty but published.
     o = o.where(F.col("file_type") != "Mexico")
     root = scratch_path(spark, "empty-publish")
-    for ft in FILE_TYPES:
-        write_csv(o.where(F.col("file_type") == ft).drop("file_type"), f"{root}/{ft}")
+    publish_or_blank(o, root, "file_type", FILE_TYPES)
     counts = []
     for ft in FILE_TYPES:
-        back = spark.read.option("header", True).csv(f"{root}/{ft}")
+        back = spark.read.option("header", True).csv(f"{root}/file_type={ft}")
         counts.append(back.agg(F.count(F.lit(1)).alias("rows"),
                                F.lit(len(back.columns)).alias("columns")).select(
             F.lit(ft).alias("file_type"), "rows", "columns"))
@@ -65,7 +62,8 @@ def q_empty_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_publish_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the data, then one marker row per published partition with its
-    row count (counted from what was written)."""
+    row count (counted from what was written); the marker step runs twice, as
+    after a failure, and leaves one marker per partition."""
     o = _typed(table(spark, sf_dir, "orders"))
     root = scratch_path(spark, "marker")
     publish_partitioned(_spread(o), f"{root}/data")
@@ -73,7 +71,8 @@ def q_publish_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = written.groupBy("file_type", F.col("run_date").cast("string").alias("run_date")) \
         .agg(F.count(F.lit(1)).alias("rows")).withColumn("job", F.lit("transactions"))
     write_marker(spark, counts, f"{root}/publications")
-    return spark.read.parquet(f"{root}/publications")
+    write_marker(spark, counts, f"{root}/publications")  # a run repeated
+    return read_markers(spark, f"{root}/publications")
 
 
 ORACLE = {

@@ -12,7 +12,7 @@ from pyspark.sql.types import (
 from ledgerlens.functions import iso_date, percent_text
 from ledgerlens.layouts import INVENTORY_OUT, TRAFFIC_OUT, TRAFFIC_PERCENT
 from ledgerlens.operators import conform, distinct_files, merge_lines, with_constants
-from ledgerlens.operators.delimited import fields_by_header, infer_delimiters
+from ledgerlens.operators.delimited import NO_DELIMITER, delimiter_rejects, fields_by_header, infer_delimiters
 from ledgerlens.plans.common import RUN_DATE, table
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import write_csv
@@ -46,8 +46,10 @@ _INV_SRC = {  # ledger column -> customer expression (text)
 
 def render_inventory_lines(customer: DataFrame) -> DataFrame:
     """One ledger file per market segment, each with its own delimiter; the
-    FURNITURE file has no Location column and an extra column; dates come
-    as month-first, day-first, ISO or junk text."""
+    FURNITURE file has no Location column and 21 extra columns, 20 of them
+    first, so it is wider than 32; MACHINERY titles hold the delimiter and
+    quotes; dates come as month-first, day-first, ISO or junk text. One more
+    file has no delimiter at all."""
     seg = F.col("c_mktsegment")
     k = F.col("c_custkey") % 4
     d = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 300).cast("int"))
@@ -56,13 +58,16 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
     names = [c for c in INVENTORY_OUT if c != "file_name"]
     furn = seg == "FURNITURE"
     vals = [date_txt if n == "Date" else F.expr(_INV_SRC.get(n, "'0'")) for n in names]
-    fv = [v for n, v in zip(names, vals) if n != "Location"] + [F.lit("note")]
+    vals[names.index("Title")] = F.when(seg == "MACHINERY", F.concat(
+        F.lit('"Lamp, 12"" black '), F.col("c_name"), F.lit('"'))).otherwise(F.col("c_name"))
+    fv = ([F.lit(f"x{i}") for i in range(20)] + [v for n, v in zip(names, vals) if n != "Location"] + [F.lit("note")])
     hv = [F.lit(n) for n in names]
-    hfv = [F.lit(n) for n in names if n != "Location"] + [F.lit("Extra Column")]
+    hfv = ([F.lit(f"Extra {i}") for i in range(20)] + [F.lit(n) for n in names if n != "Location"]
+           + [F.lit("Extra Column")])
     delim = F.lit(None).cast("string")
     for sname, dl in _SEG_DELIM.items():
         delim = F.when(seg == sname, F.lit(dl)).otherwise(delim)
-    # Field values hold no delimiter or quote, so joining is valid CSV.
+    # Only the titles of MACHINERY hold a delimiter or quote; they are quoted.
     data_arr = F.when(furn, F.array(*fv)).otherwise(F.array(*vals))
     head_arr = F.when(furn, F.array(*hfv)).otherwise(F.array(*hv))
     staged = customer.select("c_custkey", "c_mktsegment", delim.alias("_d"),
@@ -75,7 +80,10 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
                            data_line.alias("line"), header_line.alias("_header"), furn.alias("_f"))
     headers = rows.groupBy("file_name").agg(F.first("_header").alias("line")) \
         .select("file_name", F.lit(0).cast("bigint").alias("line_no"), "line")
-    return headers.unionByName(rows.select("file_name", "line_no", "line"))
+    broken = customer.where(F.col("c_custkey") % 10 == 0).select(
+        F.lit("inventory_broken.csv").alias("file_name"), (F.col("c_custkey") + 1).alias("line_no"),
+        F.lit("export failed").alias("line"))
+    return headers.unionByName(rows.select("file_name", "line_no", "line")).unionByName(broken)
 
 
 def q_delimiter_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +91,11 @@ def q_delimiter_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory_job(render_inventory_lines(table(spark, sf_dir, "customer")))
 
 
+def q_delimiter_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger files whose delimiter cannot be told, with the reason."""
+    return delimiter_rejects(render_inventory_lines(table(spark, sf_dir, "customer")))
+
+
 # -------------------------------------------------------------------- traffic
 
 _INT_FIELDS = ["mobileAppSessions", "browserSessions", "sessions", "mobileAppPageViews",
@@ -189,13 +202,15 @@ def q_encoding_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer published as CSV beside a JSON file, read back with a '*.csv'
-    filter and an all-string schema, typed by rule, with file lineage."""
+    filter and an all-string schema, typed by rule, with file lineage. Every
+    third name holds quotes, a separator and a line break."""
     c = table(spark, sf_dir, "customer")
     path = scratch_path(spark, "csv-roundtrip")
-    write_csv(c.select([F.col(x).cast("string") for x in c.columns]), path)
+    odd = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('12" "pipe", a\nb '), F.col("c_name"))).otherwise(F.col("c_name"))
+    write_csv(c.withColumn("c_name", odd).select([F.col(x).cast("string") for x in c.columns]), path)
     c.limit(5).write.mode("append").json(path)  # a neighbour the filter must skip
     from ledgerlens.layouts import string_schema
-    back = read_delimited(spark, path, string_schema(c.columns), with_file="file_name")
+    back = read_delimited(spark, path, string_schema(c.columns), with_file="file_name", multi_line=True)
     return back.select(
         F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
         F.col("c_nationkey").cast("int").alias("c_nationkey"),
@@ -224,11 +239,13 @@ def q_file_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_line_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event type is an extract of 'day,user' lines with a header; the
-    largest is the base, the others add only lines it lacks."""
+    largest in bytes is the base, the others add only lines it lacks. The
+    purchase lines hold accented letters: fewer characters, more bytes."""
     e = table(spark, sf_dir, "events")
     fname = F.concat(F.lit("extract_"), F.col("event_type"), F.lit(".csv"))
     data = e.select(fname.alias("file_name"), (F.col("event_id") + 1).alias("line_no"),
-                    F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), F.col("user_id").cast("string"))
+                    F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), F.col("user_id").cast("string"),
+                                F.when(F.col("event_type") == "purchase", F.lit("ñññ")).otherwise(F.lit("nnnn")))
                     .alias("line"))
     header = data.select("file_name").distinct().select(
         "file_name", F.lit(0).cast("bigint").alias("line_no"), F.lit("day,user").alias("line"))
@@ -246,6 +263,8 @@ def _inventory_sql() -> str:
     for n in names:
         if n == "Date":
             e = date_sql
+        elif n == "Title":
+            e = "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Lamp, 12\" black ' || c_name ELSE c_name END"
         elif n == "Location":
             e = "CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE 'US' END"
         else:
@@ -302,6 +321,9 @@ FROM items"""
 
 ORACLE = {
     "delimiter_infer": _inventory_sql(),
+    "delimiter_rejects": f"""
+SELECT DISTINCT 'inventory_broken.csv' AS file_name, 'export failed' AS first_line, '{NO_DELIMITER}' AS reason
+FROM customer WHERE c_custkey % 10 = 0 AND c_custkey < 5000""",
     "traffic_flatten": _traffic_sql(),
     "encoding_fallback": """
 SELECT doc_id, text,
@@ -309,7 +331,8 @@ SELECT doc_id, text,
        ELSE 'UTF-8' END AS encoding
 FROM documents""",
     "csv_roundtrip": """
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, true AS is_csv FROM customer""",
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '12" "pipe", a' || chr(10) || 'b ' || c_name ELSE c_name END AS c_name,
+  c_nationkey, c_acctbal, c_mktsegment, true AS is_csv FROM customer""",
     "conform_layout": f"""
 SELECT c_custkey, c_mktsegment, c_name, CAST(NULL AS VARCHAR) AS missing_column,
   0 AS active_flag, '{RUN_DATE}' AS run_date
@@ -322,10 +345,11 @@ GROUP BY length, md5""",
     "line_merge": """
 WITH l AS (
   SELECT 'extract_' || event_type || '.csv' AS file_name, event_id + 1 AS line_no,
-         strftime(ts, '%Y-%m-%d') || ',' || CAST(user_id AS VARCHAR) AS line FROM events
+         strftime(ts, '%Y-%m-%d') || ',' || CAST(user_id AS VARCHAR)
+           || CASE WHEN event_type = 'purchase' THEN ',ñññ' ELSE ',nnnn' END AS line FROM events
   UNION ALL
   SELECT DISTINCT 'extract_' || event_type || '.csv', 0, 'day,user' FROM events),
-s AS (SELECT file_name, sum(length(line) + 1) AS bytes FROM l GROUP BY file_name),
+s AS (SELECT file_name, sum(octet_length(encode(line)) + 1) AS bytes FROM l GROUP BY file_name),
 b AS (SELECT file_name FROM s ORDER BY bytes DESC, file_name LIMIT 1)
 SELECT l.* FROM l JOIN b USING (file_name)
 UNION ALL
@@ -335,6 +359,7 @@ SELECT l.* FROM l WHERE file_name <> (SELECT file_name FROM b) AND line_no > 0
 
 QUERIES = {
     "delimiter_infer": q_delimiter_infer,
+    "delimiter_rejects": q_delimiter_rejects,
     "traffic_flatten": q_traffic_flatten,
     "encoding_fallback": q_encoding_fallback,
     "csv_roundtrip": q_csv_roundtrip,

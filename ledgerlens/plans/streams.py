@@ -30,7 +30,8 @@ def q_stream_hysteresis(spark: SparkSession, sf_dir: str) -> DataFrame:
     query."""
     schema = table(spark, sf_dir, "events").schema
     root = scratch_path(spark, "stream-alert")
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
     alerts = hysteresis_stream(samples_from_events(stream))
     q = (alerts.writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/checkpoint").outputMode("append")

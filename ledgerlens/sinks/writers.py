@@ -13,10 +13,11 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
               single_file: bool = False, mode: str = "overwrite") -> str:
     """CSV with a header and no index. An empty DataFrame still yields one
     header-only file, so downstream readers always find the run's file.
+    A quote inside a field is doubled, as CSV readers expect.
     ``single_file`` coalesces to one task: only for small outputs."""
     out = df.coalesce(1) if single_file else df
     (out.write.mode(mode).option("header", header).option("sep", sep)
-     .option("emptyValue", "").csv(path))
+     .option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path))
     return path
 
 
@@ -30,6 +31,29 @@ def publish_partitioned(df: DataFrame, path: str,
     return path
 
 
+def publish_or_blank(df: DataFrame, path: str, by: str, values: Sequence[str]) -> str:
+    """CSV below one ``by=value`` folder per value, all in one pass over the
+    data; a value of ``values`` that has no rows gets a header-only file."""
+    (df.write.mode("overwrite").partitionBy(by).option("header", True)
+     .option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path))
+    found = {r[0] for r in df.sparkSession.read.option("header", True).csv(path).select(by).distinct().collect()} \
+        if _has_rows(df.sparkSession, path) else set()
+    blank = df.drop(by).where(F.lit(False))
+    for v in values:
+        if v not in found:
+            write_csv(blank, f"{path}/{by}={v}")
+    return path
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a partitioned write left any file (it makes no folder for an
+    empty table)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return any("=" in s.getPath().getName() for s in files.listStatus(root))
+
+
 MARKER_SCHEMA = StructType([
     StructField("job", StringType(), False),
     StructField("file_type", StringType(), True),
@@ -39,11 +63,23 @@ MARKER_SCHEMA = StructType([
 
 
 def write_marker(spark: SparkSession, counts: DataFrame, path: str) -> str:
-    """Append publication rows (job, file_type, run_date, rows) after the
-    data is written: the trigger a downstream loader waits for.
+    """Publication rows (job, file_type, run_date, rows), written after the
+    data: the trigger a downstream loader waits for. Markers of the same run
+    date and file type are replaced, so a run repeated leaves one each.
 
     ``counts`` is a small DataFrame (one row per published partition),
     computed by Spark from the written data."""
-    counts.select(*[F.col(f.name).cast(f.dataType) for f in MARKER_SCHEMA.fields]) \
-        .write.mode("append").parquet(path)
+    (counts.select(*[F.col(f.name).cast(f.dataType) for f in MARKER_SCHEMA.fields])
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date", "file_type").parquet(path))
+    return path
+
+
+def read_markers(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(MARKER_SCHEMA).parquet(path).select(*MARKER_SCHEMA.names)
+
+
+def write_lines(lines: DataFrame, path: str, line_col: str = "line") -> str:
+    """Merged lines as text files, one line each, in the order of the rows."""
+    lines.select(F.col(line_col).alias("value")).write.mode("overwrite").text(path)
     return path

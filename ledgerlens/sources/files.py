@@ -13,15 +13,20 @@ from ledgerlens.functions.text import strip_text
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
                    sep: str = ",", header: bool = True, glob: str | None = "*.csv",
-                   encoding: str = "UTF-8", with_file: str | None = None) -> DataFrame:
+                   encoding: str = "UTF-8", with_file: str | None = None,
+                   multi_line: bool = False) -> DataFrame:
     """Delimited text with an explicit all-string schema.
 
     ``glob`` restricts a folder read to matching names (``*.csv``,
     ``*.{csv,json}``, ``mod*``); sub-folders are not searched. With
-    ``with_file`` the source file name is added as a lineage column.
+    ``with_file`` the source file name is added as a lineage column. Quotes
+    follow the CSV rule: a quote inside a quoted field is doubled. With
+    ``multi_line`` a quoted field may hold line breaks; a file is then read
+    by one task.
     """
     reader = (spark.read.schema(schema).option("header", header).option("sep", sep)
-              .option("encoding", encoding).option("multiLine", False)
+              .option("encoding", encoding).option("multiLine", multi_line)
+              .option("quote", '"').option("escape", '"')
               .option("recursiveFileLookup", False))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -51,12 +56,14 @@ def decode_fallback(content: Column) -> Column:
 
 
 def explode_lines(df: DataFrame, file_col: str, text_col: str,
-                  keep: Sequence[str] = ()) -> DataFrame:
+                  keep: Sequence[str] = (), strip: bool = True) -> DataFrame:
     """Text of a file -> one row per line: (file, line_no, line).
 
     A leading byte-order mark is dropped, lines split on CR LF, CR or LF,
-    and each line is stripped. A final line break does not start another
-    line, and an empty file has none. ``line_no`` counts from 0 in file order.
+    and each line is stripped unless ``strip`` is off (delimited lines keep
+    their leading blanks and tabs, which are fields). A final line break does
+    not start another line, and an empty file has none. ``line_no`` counts
+    from 0 in file order.
 
     The text is split once per file; nothing evaluated per output line looks
     at the whole text again (that would be quadratic in the file size).
@@ -68,16 +75,16 @@ def explode_lines(df: DataFrame, file_col: str, text_col: str,
     exploded = staged.where(F.col("_t") != "").select(
         *keep, "file_name", F.posexplode(F.split("_b", "\r\n|\r|\n")).alias("line_no", "_raw"))
     return exploded.select(*keep, "file_name", F.col("line_no").cast("bigint").alias("line_no"),
-                           strip_text(F.col("_raw")).alias("line"))
+                           (strip_text(F.col("_raw")) if strip else F.col("_raw")).alias("line"))
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str],
-               glob: str | None = "*.csv") -> DataFrame:
+               glob: str | None = "*.csv", strip: bool = True) -> DataFrame:
     """(file_name, line_no, line) for every line of every file."""
     files = read_binary_files(spark, paths, glob)
     files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"),
                          decode_fallback(F.col("content")).alias("text"))
-    return explode_lines(files, "file", "text")
+    return explode_lines(files, "file", "text", strip=strip)
 
 
 def read_text_files(spark: SparkSession, paths: str | Sequence[str],

@@ -5,8 +5,10 @@ current alert episode's start) is kept between micro-batches with
 ``applyInPandasWithState``. Within a batch a device's samples are handled as
 arrays (forward fill of decisive levels), not row by row. Samples of one
 device are assumed to arrive in time order across batches, as a sampler
-emits them; within a batch they are sorted. A batch holds at most what the
-source's trigger limit admits, so one device's group stays bounded.
+emits them; within a batch they are sorted. A device's group holds what the
+source admits per micro-batch: give the source a trigger limit
+(``maxFilesPerTrigger`` or ``maxBytesPerTrigger``), which delays data but
+drops none. A device is a name or a number, of the input's type.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerlens.layouts import ALERT_ABOVE, NORMAL_AT_OR_BELOW, REMIND_EVERY
 
-OUTPUT_SCHEMA = "device long, ts timestamp_ntz, pct double, event string"
 STATE_SCHEMA = "level string, seen long, start long"
 
 
@@ -53,6 +54,7 @@ def _handler(hi: float, lo: float, every: int):
 def hysteresis_stream(samples: DataFrame, hi: float = ALERT_ABOVE, lo: float = NORMAL_AT_OR_BELOW,
                       every: int = REMIND_EVERY) -> DataFrame:
     """Streaming (device, ts, seq, pct) -> (device, ts, pct, event)."""
+    kind = samples.schema["device"].dataType.simpleString()
     return samples.groupBy("device").applyInPandasWithState(
-        _handler(hi, lo, every), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        _handler(hi, lo, every), f"device {kind}, ts timestamp_ntz, pct double, event string", STATE_SCHEMA, "append",
         GroupStateTimeout.NoTimeout)

@@ -111,13 +111,54 @@ def test_hysteresis_null_device_kept(spark):
     assert got == [(None, "ALERT"), (None, "NORMAL")]
 
 
-def test_join_summary_broadcasts_only_under_bound(spark):
-    from ledgerlens.operators.frames import join_summary
-    big = spark.range(1000).withColumn("k", F.col("id") % 10)
-    small = big.groupBy("k").count()
-    under = join_summary(big, small, "k", max_rows=100)
-    over = join_summary(big, small, "k", max_rows=5)
-    assert "BroadcastExchange" in under._jdf.queryExecution().executedPlan().toString()
-    over_plan = over._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in over_plan.lower()
-    assert under.count() == over.count() == 1000
+def test_text_devices(spark):
+    from ledgerlens.operators.alerts import argmax_per_bucket
+    df = _samples(spark, [50, 95, 95, 40]).withColumn("device", F.concat(F.lit("disk"), F.col("seq") % 3))
+    df = df.withColumn("ts", F.lit("2024-01-01 00:10:00").cast("timestamp_ntz"))
+    (row,) = argmax_per_bucket(df).collect()
+    assert (row.max_device, row.max_value, row.samples) == ("disk1", 95.0, 4)
+    assert {r.device for r in alert_events(df).collect()} == {"disk1", "disk2"}
+
+
+def test_wide_and_quoted_files(spark):
+    from ledgerlens.operators.delimited import delimiter_rejects
+    wide = [f"c{i}" for i in range(40)]
+    lines = [("w.csv", 0, ",".join(wide)), ("w.csv", 1, ",".join(str(i) for i in range(40))),
+             ("q.csv", 0, "Title,ASIN"), ("q.csv", 1, '"Lamp, black",B1'), ("q.csv", 2, '"12"" pipe",'),
+             ("q.csv", 3, '12" rod,B3'), ("e.tsv", 0, "Title\tASIN"), ("e.tsv", 1, "\tB4"), ("e.tsv", 2, '""\tB5'),
+             ("u.csv", 0, "nothing here"), ("u.csv", 1, "a;b, c"),
+             *(("l.csv", i, "a,b" if i < 70 else "a,b,c") for i in range(80))]
+    df = spark.createDataFrame(lines, "file_name string, line_no long, line string")
+    assert {r.file_name for r in delimiter_rejects(df).collect()} == {"u.csv", "l.csv"}
+    files = infer_delimiters(df)
+    (w,) = fields_by_header(df, files, ["c0", "c39", "c32"]).where("file_name = 'w.csv'").collect()
+    assert (w.c0, w.c39, w.c32) == ("0", "39", "32")
+    got = [(r.Title, r.ASIN) for r in fields_by_header(df, files, ["Title", "ASIN"])
+           .where("file_name in ('q.csv', 'e.tsv')").orderBy("file_name", "line_no").collect()]
+    assert got == [(None, "B4"), ("", "B5"), ("Lamp, black", "B1"), ('12" pipe', None), ('12" rod', "B3")]
+
+
+def test_merge_base_by_bytes(spark):
+    lines = [("a.csv", 0, "h"), ("a.csv", 1, "ééééé"), ("b.csv", 0, "h"), ("b.csv", 1, "abcdef"), ("b.csv", 2, "ééééé")]
+    df = spark.createDataFrame(lines, "file_name string, line_no long, line string")
+    small = df.where("file_name = 'a.csv' OR line_no < 2")
+    assert sorted((r.file_name, r.line) for r in merge_lines(small).collect()) == [
+        ("a.csv", "h"), ("a.csv", "ééééé"), ("b.csv", "abcdef")]
+    sizes = spark.createDataFrame([("a.csv", 1), ("b.csv", 9)], "f string, n long")
+    assert {r.file_name for r in merge_lines(df, sizes=sizes).collect()} == {"b.csv"}
+
+
+def test_no_job_runs_before_the_result(spark):
+    import ledgerlens.plans.settlement as settlement
+    import ledgerlens.plans.transactions as transactions
+    from ledgerlens.plans.common import RUN_TS, table
+    li = table(spark, "/root/testdata/sf0.001", "lineitem")
+    rows = settlement.render_settlement_rows(li)
+    lines = transactions.render_transaction_lines(li, "US")
+    spark.sparkContext.setJobGroup("plan-only", "plan-only")
+    settlement.settlement_job(rows, RUN_TS, order=["l_orderkey", "l_linenumber"])
+    transactions.transactions_job(lines, "US", RUN_TS)
+    alert_events(_samples(spark, [50, 95]))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
