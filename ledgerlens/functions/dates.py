@@ -137,6 +137,21 @@ def utc_to_pacific_text(ts) -> Column:
     return F.date_format(utc_to_pacific(ts), "yyyy-MM-dd HH:mm:ss")
 
 
+def run_window(run_date) -> dict[str, Column]:
+    """A run's dates by name: the day itself, the days around it, the compact
+    text of report names, and that text read back."""
+    day = F.to_date(_c(run_date))
+    compact = F.date_format(day, "yyyyMMdd")
+    return {"run_date": day, "previous_day": F.date_sub(day, 1), "two_days_before": F.date_sub(day, 2),
+            "next_day": F.date_add(day, 1), "run_compact": compact,
+            "run_iso": F.date_format(F.to_date(compact, "yyyyMMdd"), "yyyy-MM-dd")}
+
+
+def weekday_list(run_date, prefix: str = "list_files_", suffix: str = ".csv") -> Column:
+    """Name of the job list of a run date's weekday (Monday 0)."""
+    return F.concat(F.lit(prefix), F.weekday(_c(run_date)).cast("string"), F.lit(suffix))
+
+
 def duration_seconds(start, end) -> Column:
     return (F.unix_timestamp(_c(end).cast("timestamp"))
             - F.unix_timestamp(_c(start).cast("timestamp")))

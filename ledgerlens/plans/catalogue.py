@@ -13,16 +13,33 @@ from ledgerlens.operators import conform
 from ledgerlens.plans.common import table
 from ledgerlens.session import scratch_path
 
-CATALOGUE_SCHEMA = StructType(
+REPORT_SCHEMA = StructType(
     [StructField(c, ArrayType(StringType()) if c == "marketplaceIds" else StringType())
-     for c in CATALOGUE] + [StructField("position", LongType())])
+     for c in CATALOGUE])
+PAGE_SCHEMA = StructType([StructField("page", LongType()), StructField("reports", ArrayType(REPORT_SCHEMA))])
+PAGE_SIZE = 100   # reports per listing page; the last page may hold fewer
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """All landed pages of a listing (one JSON object per line, any number
-    of files) as one table. ``position`` is the report's place in the
-    listing, recorded when the pages were landed."""
-    return spark.read.schema(CATALOGUE_SCHEMA).json(path)
+def read_catalogue(spark: SparkSession, path: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """All landed pages of a listing (one JSON object per page: its number
+    and its reports; any number of pages per file) joined to one table.
+    ``position`` is the report's place in the whole listing: the pages before
+    its own are full."""
+    pages = spark.read.schema(PAGE_SCHEMA).json(path)
+    rows = pages.select("page", F.posexplode("reports").alias("_at", "_r"))
+    return rows.select("_r.*", (F.col("page") * page_size + F.col("_at")).alias("position"))
+
+
+def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
+    """How many rows a run has, as one row to report."""
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def reverse_listing(cat: DataFrame) -> DataFrame:
+    """The listing from its end: ``position`` counts from the last report.
+    The listing's length is a scalar subquery, so nothing is joined."""
+    last = cat.agg(F.max("position")).scalar()
+    return cat.withColumn("position", last - F.col("position"))
 
 
 def _utc(c: str):
@@ -93,9 +110,18 @@ def render_catalogue(orders: DataFrame) -> DataFrame:
         o("o_orderkey").alias("position"))
 
 
+def render_pages(orders: DataFrame) -> DataFrame:
+    """The listing as pages of 100 reports in order of their position."""
+    cat = render_catalogue(orders)
+    report = F.struct("position", F.struct(*CATALOGUE).alias("r"))
+    pages = cat.groupBy(F.floor(F.col("position") / PAGE_SIZE).alias("page")).agg(
+        F.sort_array(F.collect_list(report)).alias("l"))
+    return pages.select("page", F.transform("l", lambda x: x["r"]).alias("reports"))
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "catalogue")
-    render_catalogue(table(spark, sf_dir, "orders")).write.mode("overwrite").json(path)
+    render_pages(table(spark, sf_dir, "orders")).write.mode("overwrite").json(path)
     return read_catalogue(spark, path)
 
 
@@ -107,6 +133,16 @@ def q_catalogue_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_downloads(_landed(spark, sf_dir))
 
 
+def q_catalogue_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing from its end, with each report's place in that order."""
+    return reverse_listing(_landed(spark, sf_dir)).select("reportId", "processingStatus", "position")
+
+
+def q_catalogue_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many reports of the listing are ready to download."""
+    return row_count(_landed(spark, sf_dir).where(F.col("processingStatus") == "DONE"))
+
+
 _FMT = ("strftime(CAST(o_orderdate AS DATE), '%Y%m%d') || '000000_' || "
         "strftime(CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderdate AS DATE) + 1 ELSE CAST(o_orderdate AS DATE) END, "
         "'%Y%m%d') || '235959'")
@@ -128,9 +164,17 @@ SELECT CAST(o_orderkey AS VARCHAR) AS reportId,
   'settlement_report_' || {_FMT} || '_' || (o_orderkey + 1) || '.csv' AS filename,
   'transformed_settlement_report_' || {_FMT} || '.csv' AS transformed_name
 FROM orders WHERE o_orderstatus = 'F'""",
+    "catalogue_reverse": """
+SELECT CAST(o_orderkey AS VARCHAR) AS reportId,
+  CASE o_orderstatus WHEN 'F' THEN 'DONE' WHEN 'O' THEN 'IN_PROGRESS' ELSE 'CANCELLED' END AS processingStatus,
+  max(o_orderkey) OVER () - o_orderkey AS position
+FROM orders""",
+    "catalogue_count": "SELECT count(*) AS rows FROM orders WHERE o_orderstatus = 'F'",
 }
 
 QUERIES = {
     "catalogue_pick": q_catalogue_pick,
     "catalogue_label": q_catalogue_label,
+    "catalogue_reverse": q_catalogue_reverse,
+    "catalogue_count": q_catalogue_count,
 }

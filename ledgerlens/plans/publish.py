@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.plans.common import RUN_DATE, table
 from ledgerlens.session import scratch_path
-from ledgerlens.sinks import publish_or_blank, publish_partitioned, read_markers, write_marker
+from ledgerlens.sinks import publish_or_blank, publish_partitioned, publish_zones, read_markers, write_marker
 
 FILE_TYPES = ["USA", "CA", "Mexico"]
 
@@ -75,6 +75,23 @@ def q_publish_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_markers(spark, f"{root}/publications")
 
 
+def q_publish_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each file type lands as a raw and, for finished orders, a modified
+    file; both zones are published for the run date, and the published lines
+    of every file are counted."""
+    o = _typed(table(spark, sf_dir, "orders"))
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "zones")
+    line = F.concat_ws(",", "o_orderkey", "o_orderstatus")
+    for ft in FILE_TYPES:
+        mine = o.where(F.col("file_type") == ft)
+        mine.select(line.alias("value")).write.text(f"{landing}/orders_{ft}.csv")
+        mine.where(F.col("o_orderstatus") == "F").select(line.alias("value")).write.text(f"{landing}/mod_orders_{ft}.csv")
+    publish_zones(spark, landing, root, RUN_DATE)
+    back = spark.read.text(root)
+    return back.groupBy("zone", F.col("run_date").cast("string").alias("run_date"), "file").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("characters"))
+
+
 ORACLE = {
     "partition_sink": """
 SELECT o_orderkey, o_custkey,
@@ -92,10 +109,18 @@ USING (file_type)""",
 SELECT 'transactions' AS job, ['USA', 'CA', 'Mexico'][o_orderkey % 3 + 1] AS file_type,
   CAST(year(o_orderdate) AS VARCHAR) AS run_date, count(*) AS rows
 FROM orders GROUP BY ALL""",
+    "publish_zones": f"""
+SELECT zone, '{RUN_DATE}' AS run_date, prefix || ft || '.csv' AS file, count(*) AS lines,
+  CAST(sum(length(o_orderkey || ',' || o_orderstatus)) AS BIGINT) AS characters
+FROM (SELECT *, ['USA', 'CA', 'Mexico'][o_orderkey % 3 + 1] AS ft FROM orders) o
+JOIN (VALUES ('raw', 'orders_'), ('modified', 'mod_orders_')) z(zone, prefix)
+  ON zone = 'raw' OR o_orderstatus = 'F'
+GROUP BY zone, prefix, ft""",
 }
 
 QUERIES = {
     "partition_sink": q_partition_sink,
     "empty_publish": q_empty_publish,
     "publish_marker": q_publish_marker,
+    "publish_zones": q_publish_zones,
 }

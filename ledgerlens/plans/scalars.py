@@ -11,6 +11,7 @@ from ledgerlens.functions import (
     clean_text, int_or_zero, iso_date, localise_month, money, money_eu, percent_text,
     utc_to_pacific_text,
 )
+from ledgerlens.functions.dates import run_window, weekday_list
 from ledgerlens.plans.common import table
 
 _KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -102,16 +103,11 @@ def q_run_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run parameters from a run date: the days before and after, compact
     'yyyyMMdd' text and back, and a 'yyyyMMddHHmmss' start time parsed."""
     o = table(spark, sf_dir, "orders")
-    run = F.to_date("o_orderdate")
-    compact = F.date_format(run, "yyyyMMdd")
     start_txt = F.date_format(F.col("o_orderdate") + F.make_dt_interval(
         F.lit(0), (F.col("o_orderkey") % 24).cast("int"), (F.col("o_custkey") % 60).cast("int")),
         "yyyyMMddHHmmss")
     return o.select(
-        "o_orderkey", run.alias("run_date"),
-        F.date_sub(run, 1).alias("previous_day"), F.date_sub(run, 2).alias("two_days_before"),
-        F.date_add(run, 1).alias("next_day"), compact.alias("run_compact"),
-        F.date_format(F.to_date(compact, "yyyyMMdd"), "yyyy-MM-dd").alias("run_iso"),
+        "o_orderkey", *[c.alias(n) for n, c in run_window("o_orderdate").items()],
         F.to_timestamp_ntz(start_txt, F.lit("yyyyMMddHHmmss")).alias("start_time"))
 
 
@@ -120,7 +116,7 @@ def q_weekday_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     wd = F.weekday("o_orderdate")
     return o.select("o_orderkey", wd.alias("weekday"),
-                    F.concat(F.lit("list_files_"), wd.cast("string"), F.lit(".csv")).alias("list_file"))
+                    weekday_list("o_orderdate").alias("list_file"))
 
 
 def q_percent_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,8 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured (a shared file system path) and is
-    used as is. Only when nothing is set, as in local tests, a fresh local
-    folder is created.
+    used as is. Only when nothing is set and Spark runs in local mode, as in
+    tests, a fresh local folder is created; on a cluster a machine-local
+    folder would be seen by one machine only, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -1,5 +1,5 @@
 """Writers: CSV with header, partitioned publication, completion markers."""
 
 from ledgerlens.sinks.writers import (  # noqa: F401
-    publish_or_blank, publish_partitioned, read_markers, write_csv, write_lines, write_marker,
+    publish_or_blank, publish_partitioned, publish_zones, read_markers, write_csv, write_lines, write_marker,
 )

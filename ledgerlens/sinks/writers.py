@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,23 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
     return any("=" in s.getPath().getName() for s in files.listStatus(root))
 
 
+def publish_zones(spark: SparkSession, landing: str, path: str, run_date: str,
+                  modified: str = "mod") -> str:
+    """Publish a landing folder's text files in one pass: those whose name
+    starts with ``modified`` to the zone 'modified', the others to 'raw',
+    each below the run date and the file's name. A repeated run replaces its
+    own files only."""
+    name = F.regexp_extract(F.regexp_replace("_metadata.file_path", "^.*" + re.escape(landing.rstrip("/").rsplit("/", 1)[-1]) + "/", ""),
+                            "^[^/]+", 0)
+    lines = spark.read.option("recursiveFileLookup", True).text(landing).select("value", name.alias("file"))
+    lines = lines.withColumns({
+        "zone": F.when(F.col("file").startswith(modified), F.lit("modified")).otherwise(F.lit("raw")),
+        "run_date": F.lit(run_date)})
+    (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("zone", "run_date", "file").text(path))
+    return path
+
+
 MARKER_SCHEMA = StructType([
     StructField("job", StringType(), False),
     StructField("file_type", StringType(), True),

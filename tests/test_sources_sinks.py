@@ -79,3 +79,42 @@ def test_on_arrival_processes_each_file_once(spark):
     on_arrival(spark, src + "/in", schema, proc, root + "/out", root + "/ckpt")  # nothing new
     got = sorted((r.id, r.s) for r in spark.read.parquet(root + "/out").collect())
     assert got == [(1, "A"), (2, "B")]
+
+
+def test_json_documents_and_brace_glob(spark, tmp_path):
+    import json
+    from ledgerlens.sources import read_json_documents
+    from ledgerlens.plans.reports import traffic_schema
+    for n in range(2):
+        doc = {"salesAndTrafficByAsin": [{"parentAsin": f"P{n}", "childAsin": "C", "trafficByAsin": {"sessions": 3}}]}
+        (tmp_path / f"business_report_2024-10-2{n}.json").write_text(json.dumps(doc, indent=1))
+    (tmp_path / "notes.txt").write_text("not json")
+    docs = read_json_documents(spark, str(tmp_path), traffic_schema(), glob="*.{csv,json}")
+    rows = docs.select("file_name", "salesAndTrafficByAsin").collect()
+    assert {(r.file_name, r.salesAndTrafficByAsin[0].parentAsin) for r in rows} == {
+        ("business_report_2024-10-20.json", "P0"), ("business_report_2024-10-21.json", "P1")}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    import pytest
+    from ledgerlens import session
+
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self): return None
+        def getConf(self): return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_quotes_and_line_breaks_round_trip(spark, tmp_path):
+    from ledgerlens.layouts import string_schema
+    from ledgerlens.sinks import write_csv
+    rows = [('12" pipe', "a, b"), ('"quoted"', "line\nbreak"), ("plain", None)]
+    path = write_csv(spark.createDataFrame(rows, "a string, b string"), str(tmp_path / "out"))
+    back = read_delimited(spark, path, string_schema(["a", "b"]), multi_line=True)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
