@@ -18,8 +18,8 @@ BINS = 32
 class Boosted:
     """Logistic gradient boosting of depth-limited trees on binned features."""
 
-    def __init__(self, rounds: int = 90, depth: int = 5, rate: float = 0.2, smooth: float = 1.0,
-                 share: float = 0.35, seed: int = 1):
+    def __init__(self, rounds: int = 80, depth: int = 5, rate: float = 0.2, smooth: float = 1.0,
+                 share: float = 0.5, seed: int = 1):
         self.rounds, self.depth, self.rate, self.smooth = rounds, depth, rate, smooth
         self.share, self.seed = share, seed  # each tree sees a share of the features
 
@@ -220,10 +220,43 @@ class _Writer:
     def extra(self) -> str:
         return self.r.choice([self.advert, self.advert, self.notice, self.sidebar, self.form, self.menu])()
 
+    def bare(self) -> str:
+        """A page of blocks alone, or with a footer or menu around them."""
+        r = self.r
+        blocks = [self.main_block(k == 0 and r.random() < 0.5) for k in range(r.choice([1, 2, 3, 6]))]
+        if r.random() < 0.4:
+            blocks = [f"<article>{''.join(blocks)}</article>"]
+        if r.random() < 0.5:
+            blocks = [self.menu(), *blocks] if r.random() < 0.5 else [self.header(), *blocks]
+        if r.random() < 0.6:
+            blocks.append(self.footer())
+        body = "".join(blocks)
+        return f"<html><body>{body}</body></html>" if r.random() < 0.6 else body
+
+    def soup(self) -> str:
+        """A page of nothing but div elements with class names."""
+        r, m = self.r, " data-main"
+        title = f'<div class="{r.choice(["title", "headline", "post-title", "entry-title"])}"{m}>{self.phrase(2, 10)}</div>'
+        blocks = [title] + [f"<div{m}>{self.prose()}</div>" for _ in range(r.choice([1, 2, 4, 8]))]
+        main = f'<div class="{r.choice(["content", "article", "post", "story", "main", "text", "entry"])}">{"".join(blocks)}</div>'
+        around = []
+        for words in (["menu", "nav", "topnav"], ["sidebar", "side", "widget"], ["notice", "cookie", "alert"],
+                      ["ad", "banner", "promo", "sponsored"], ["comments", "replies", "discussion"], ["footer", "copyright"]):
+            if r.random() < 0.6:
+                inner = self.links(3, "span") if words[0] == "menu" else r.choice(
+                    [self.sentence(), self.prose(3), f"<div>{self.prose(3)}</div>"])
+                around.append((r.choice([0, 1, 1]), f'<div class="{r.choice(words)}">{inner}</div>'))
+        return ("<body>" + "".join(x for after, x in around if not after) + main
+                + "".join(x for after, x in around if after) + "</body>")
+
     def page(self) -> str:
         r = self.r
+        if (kind := r.random()) < 0.1:
+            return self.bare()
+        if kind < 0.2:
+            return self.soup()
         blocks = [self.main_block(k == 0) for k in range(r.choice([1, 1, 2, 2, 3, 4, 6, 9, 14, 25]))]
-        if r.random() < 0.4:
+        for _ in range(r.choice([0, 0, 0, 1, 1, 2])):
             blocks.insert(r.randint(1, len(blocks)), self.extra())
         if r.random() < 0.25:
             blocks.append(self.tag("div", self.links(3, "span"), ["share", "tags", "social", "related", "breadcrumb"]))

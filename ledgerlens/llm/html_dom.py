@@ -51,7 +51,7 @@ GROUPS = {t: n for n, tags in enumerate([
     "div center", "#run"]) for t in tags.split()}
 N_GROUPS = 15
 MARKED_TAGS = ("nav", "header", "footer", "aside", "form")
-N_FEATURES = 28 + N_GROUPS + 2 * len(MARKED_TAGS)
+N_FEATURES = 30 + N_GROUPS + 2 * len(MARKED_TAGS)
 LABEL = "data-main"
 
 
@@ -245,6 +245,9 @@ def features(nodes: list[Node]) -> list[list[float]]:
         own_marks = [float(n.tag == t) for t in MARKED_TAGS]
         row += own_marks
         row += marks
+        # Any boilerplate tag here or above; any sign of main text here or above.
+        row += [float(max(own_marks) or max(marks) or bool(n.talk or talk)),
+                float(n.tag in ("article", "main") or in_article or n.for_ > 0 or for_ > 0)]
         rows.append(row)
         above[id(n)] = (depth + 1, against + n.against + n.hidden, for_ + n.for_, talk + n.talk,
                         tuple(max(a, b) for a, b in zip(marks, own_marks)),
