@@ -40,19 +40,36 @@ def range_sorted(rows: DataFrame, key: str, weight: str, target: int, order: lis
     and sorted by ``order``. Bounds come from an exact weight histogram of
     ``rows`` (see range_bounds); ``also`` are further rows of the same columns
     that are placed by the same bounds. Null keys go to shard 0."""
-    small_arrow_batches(rows.sparkSession)
+    spark = rows.sparkSession
+    small_arrow_batches(spark)
     bounds = np.array(range_bounds(rows.select(key, weight), key, weight, target), np.int64)
+    n = len(bounds)
+    places = np.array(partition_keys(spark, n), np.int64)
 
-    @pandas_udf("long")
-    def shard(keys: pd.Series, known: pd.Series) -> pd.Series:
+    @pandas_udf("shard long, place long")
+    def shard(keys: pd.Series, known: pd.Series) -> pd.DataFrame:
         at = np.searchsorted(bounds, keys.to_numpy(np.int64), side="right") - 1
-        return pd.Series(np.where(known.to_numpy(bool), np.maximum(at, 0), 0))
+        at = np.where(known.to_numpy(bool), np.maximum(at, 0), 0)
+        return pd.DataFrame({"shard": at, "place": places[at]})
 
     if also is not None:
         rows = rows.unionByName(also)
     number = F.coalesce(F.col(key).cast("long"), F.lit(0))
-    placed = rows.withColumn("_shard", shard(number, F.col(key).isNotNull()))
-    return placed.repartition("_shard").sortWithinPartitions("_shard", *order)
+    names = rows.columns
+    placed = rows.withColumn("_at", shard(number, F.col(key).isNotNull())).select(
+        *names, F.col("_at.shard").alias("_shard"), F.col("_at.place").alias("_place"))
+    return placed.repartition(n, "_place").sortWithinPartitions("_shard", *order).drop("_place")
+
+
+def partition_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` hash partitions a number that is dealt to it, so
+    each shard gets a partition of its own instead of sharing one by chance.
+    A partition no number was found for takes the shard's number itself."""
+    if n == 1:
+        return [0]
+    found = (spark.range(16 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("k")).collect())
+    keys = {r["p"]: r["k"] for r in found}
+    return [keys.get(p, p) for p in range(n)]
 
 
 def temporary_name(folder: str) -> str:
