@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerlens.llm.common import id_and_text, read_table, small_arrow_batches
-from ledgerlens.llm.tokens import BYTE_LEVEL_PATTERN, CACHE_WORDS, byte_letters, vocabulary_path
+from ledgerlens.llm.tokens import BYTE_LEVEL_PATTERN, byte_letters, vocabulary_path
 
 #: White space as the pre-tokenizer's pattern has it (Unicode White_Space).
 WHITE = r"\t-\r \x85\xa0  -     　"
 UNITS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+#: Unit counts kept before they are forgotten.
+CACHE_UNITS = 300_000
 #: States kept before the table is built anew.
 MAX_STATES = 200_000
 #: Code points of a chunk.
@@ -157,7 +159,7 @@ class Transducer:
             if unit not in known:
                 known[unit] = self.count_unit(unit)
         total = sum(map(known.__getitem__, units))
-        if len(known) > CACHE_WORDS:
+        if len(known) > CACHE_UNITS:
             known.clear()
         return total
 

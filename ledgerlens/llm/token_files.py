@@ -101,6 +101,19 @@ class _File:
         return pa.RecordBatch.from_pylist([self.row], schema)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches put together up to about ``size`` bytes, so the
+    words they share are looked up once."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 1,
                       id_col: str = "doc_id", text_col: str = "text",
                       shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -117,8 +130,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out, end = word_ids(vocabulary), None, np.array([end_id], "<u4")
         width = 2 if max(end_id, encoder.tokenizer.get_vocab_size()) <= 1 << 16 else 4
-        for batch in batches:
-            coded = encoder.encode(batch["_text"].to_pylist())
+        for batch in gathered(batches):
+            coded = encoder.encode(batch["_text"].cast(pa.binary()).to_pylist())
             for shard, doc_id, ids in zip(batch["_shard"].to_pylist(), batch["_id"].to_pylist(), coded):
                 if out is not None and (out.row["shard"] != shard or out.row["n_bytes"] >= file_bytes):
                     part = out.row["part"] + 1 if out.row["shard"] == shard else 0
@@ -141,33 +154,39 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     return commit(both.drop("temporary_index"), folder)
 
 
-def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
+def read_token_files(manifest: DataFrame, folder: str, digest: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids): every record of the published files;
-    ``start`` counts the ids of all records before it in id order."""
+    ``start`` counts the ids of all records before it in id order. With
+    ``digest`` the ids' CRC-32 (as uint32) takes the place of the ids."""
     files = manifest.where("kind = 'rec'")
     before = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per file, no document rows.
     files = files.select("file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
+    last = ("ids_crc32", pa.int64()) if digest else ("ids", pa.binary())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = file_system(folder)
-        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
-                            ("ids", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), last])
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
         for batch in batches:
             for name, base in zip(batch["file"].to_pylist(), batch["base"].to_pylist()):
                 with system.open_input_stream(f"{root}/{name}", buffer_size=1 << 20) as source:
                     held, size = [], 0
                     while (payload := read_frame(source)) is not None:
                         doc_id, ids = parse_payload(payload)
-                        held.append((doc_id, base, len(ids), ids.tobytes()))
+                        held.append((doc_id, base, len(ids), zlib.crc32(ids) if digest else ids.tobytes()))
                         base, size = base + len(ids), size + len(payload)
                         if size > 4 << 20:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+                            yield batch_of(held)
                             held, size = [], 0
                     if held:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+                        yield batch_of(held)
 
-    return spread(files).mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return spread(files).mapInArrow(
+        read, "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary"))
 
 
 def read_record(folder: str, name: str, number: int) -> tuple[int | None, np.ndarray]:
@@ -187,8 +206,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
     manifest = write_token_files(read_table(spark, sf_dir, "documents"), folder,
                                  vocabulary_path("word_bpe_49k.json"))
-    return read_token_files(manifest, folder).select(
-        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_token_files(manifest, folder, digest=True)
 
 
 QUERIES = {"op8_token_files": op8_token_files}

@@ -5,17 +5,20 @@ Vocabulary files are given by path and opened once per Python worker.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
 from functools import lru_cache
-from struct import pack
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words kept in a worker's cache; it is emptied when it has more.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
+#: Words that the library encodes as one text.
+JOINED_WORDS = 1000
 
 
 def vocabulary_path(name: str) -> str:
@@ -32,11 +35,37 @@ def library_tokenizer(path: str):
     return tokenizer
 
 
+#: Words, one a line: letters of ASCII and Latin-1, then at most punctuation;
+#: other words match with both groups empty.
+SIMPLE_WORDS = re.compile(
+    "^(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?:;]*)$|[^\n]*$)", re.M).findall
+#: Normaliser steps under which such letters just turn to lower case.
+LOWER_STEPS = ["NFC", "Replace", "Lowercase"]
+
+
+def joined_ids(tokenizer, words: list[str]) -> list[bytes]:
+    """Ids of each word as little-endian uint32. Many words are encoded as
+    one text; the offsets of the ids tell them apart again."""
+    found: list[bytes] = []
+    for i in range(0, len(words), 64 * JOINED_WORDS):
+        groups = [words[k:k + JOINED_WORDS] for k in range(i, min(len(words), i + 64 * JOINED_WORDS), JOINED_WORDS)]
+        for group, c in zip(groups, tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            starts = np.fromiter((a for a, _ in c.offsets), np.int64, len(c.ids))
+            stops = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1)
+            cuts = (4 * np.searchsorted(starts, stops)).tolist()
+            raw = np.array(c.ids, "<u4").tobytes()
+            found += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+    return found
+
+
 class WordIds(dict):
     """White-space separated word (UTF-8) -> its ids as little-endian uint32.
 
     Exact for a tokenizer that drops white space and never joins characters
-    across it: a text's ids are then its words' ids one after another.
+    across it: a text's ids are then its words' ids one after another. In the
+    same way a simple word is its lower-case letters, encoded by the library's
+    model alone, and its punctuation, so the variants of a word share one
+    encoding; all other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -46,23 +75,59 @@ class WordIds(dict):
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         if steps[0].get("behavior") != "Removed" or not steps[0].get("invert"):
             raise ValueError("this tokenizer does not drop white space")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.encode("utf-8").split() for t in texts]
+        self.letters = None
+        split = steps[0]["pattern"].get("Regex", "")
+        if ([n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])] == LOWER_STEPS
+                and r"|[\p{L}]+|" in split and r"|[^\s\p{L}\p{N}]+" in split):
+            from tokenizers import Tokenizer, normalizers, pre_tokenizers
+            self.letters = Tokenizer.from_file(path)
+            self.letters.normalizer = normalizers.Sequence([])
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, given in UTF-8."""
+        words = [t.split() for t in texts]
         self.learn(set().union(*words))
         found = [b"".join(map(self.__getitem__, w)) for w in words]
         self.trim()
         return found
 
-    def trim(self) -> None:
-        if len(self) > CACHE_WORDS:
+    def trim(self, most: int = CACHE_WORDS) -> None:
+        if len(self) > most:
             self.clear()
+        if len(self.parts) > most:
+            self.parts = {"": b""}
 
     def learn(self, words: set) -> None:
-        new = [w for w in words if w not in self]
-        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        for word, c in zip(new, coded):
-            self[word] = pack(f"<{len(c.ids)}I", *c.ids)
+        """Encode the words that are not known yet."""
+        collecting = gc.isenabled()
+        gc.disable()  # many short-lived tuples, no cycles
+        try:
+            self._learn([w for w in words if w not in self])
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _learn(self, new: list[bytes]) -> None:
+        if not new:
+            return
+        joined = b"\n".join(new).decode("utf-8")
+        if self.letters is None:
+            self.update(zip(new, joined_ids(self.tokenizer, joined.split("\n"))))
+            return
+        # One match per word; a word that is not simple has an empty stem.
+        stems, ends = zip(*SIMPLE_WORDS(joined))
+        stems = "\n".join(stems).lower().split("\n")
+        parts = self.parts
+        for texts, tokenizer in ((stems, self.letters), (ends, self.tokenizer)):
+            unknown = [t for t in set(texts) if t not in parts]
+            parts.update(zip(unknown, joined_ids(tokenizer, unknown)))
+        known = parts.__getitem__
+        self.update(zip(new, [a + b for a, b in zip(map(known, stems), map(known, ends))]))
+        hard = [w for w, s in zip(new, stems) if not s]
+        self.update(zip(hard, joined_ids(self.tokenizer, [w.decode("utf-8") for w in hard])))
 
 
 @lru_cache(maxsize=2)

@@ -37,7 +37,7 @@ def some_rows() -> list[tuple]:
 
 def test_encoders_match_the_library(library):
     texts = [t or "" for _, t, _ in ROWS] + fuzzed(3000, 1) + ["<|ENDOFTEXT|>. a", "x'S. Y!!, Z_. É́", "ΑΣ. ΑΣ"]
-    assert [np.frombuffer(x, "<u4").tolist() for x in word_ids(WORDS).encode(texts)] == [
+    assert [np.frombuffer(x, "<u4").tolist() for x in word_ids(WORDS).encode([t.encode() for t in texts])] == [
         ids_of(library, WORDS, t) for t in texts]
     assert [byte_ids(BYTE).encode(t).tolist() for t in texts] == [ids_of(library, BYTE, t) for t in texts]
 
@@ -45,7 +45,7 @@ def test_encoders_match_the_library(library):
 def test_latin_words_match_the_library(library):
     letters = [chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100))]
     texts = [a + b + e for a, b in product(letters, letters[::7]) for e in ("", ".", "?!")]
-    assert [np.frombuffer(x, "<u4").tolist() for x in word_ids(WORDS).encode(texts)] == [
+    assert [np.frombuffer(x, "<u4").tolist() for x in word_ids(WORDS).encode([t.encode() for t in texts])] == [
         c.ids for c in library[WORDS].encode_batch(texts, add_special_tokens=False)]
 
 
