@@ -70,10 +70,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = docs.columns
     verdict = (exact_groups(docs, id_col, text_col, keep).filter("kept")
                .select(F.col(id_col).alias("_k_id"), F.col("text_sha256").alias("_k_sha")).distinct())
-    rows = docs.withColumn("_row_sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    on = rows[id_col].eqNullSafe(verdict["_k_id"]) & (rows["_row_sha"] == verdict["_k_sha"])
-    return (rows.join(verdict.hint("merge"), on, "left_semi")
-            .dropDuplicates(["_row_sha"]).select(*cols))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), F.col(id_col).alias("_id"),
+                       F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("_sha"))
+    on = rows["_id"].eqNullSafe(verdict["_k_id"]) & (rows["_sha"] == verdict["_k_sha"])
+    return (rows.join(verdict.hint("merge"), on, "left_semi").dropDuplicates(["_sha"])
+            .select(*[F.col(f"_row.`{c}`").alias(c) for c in cols]))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
