@@ -178,6 +178,13 @@ SPANISH_MONTHS = [
     ("nov", "November"), ("dic", "December"),
 ]
 
+# Base names of the traffic report's counts and percentages.
+TRAFFIC_INT_FIELDS = ["mobileAppSessions", "browserSessions", "sessions", "mobileAppPageViews",
+               "browserPageViews", "pageViews"]
+TRAFFIC_PERCENT_FIELDS = ["mobileAppSessionPercentage", "browserSessionPercentage", "sessionPercentage",
+               "mobileAppPageViewsPercentage", "browserPageViewsPercentage", "pageViewsPercentage",
+               "buyBoxPercentage", "unitSessionPercentage"]
+
 # Delimiters considered when a file's delimiter is not known.
 DELIMITER_CANDIDATES = [",", "\t", ";", "|"]
 DELIMITER_SAMPLE_CHARS = 5012
@@ -204,7 +211,7 @@ class TxnProfile:
 
 def _txn_profile(country: str, raw: list[str], type_col_out: str | None = None) -> TxnProfile:
     date_col = raw[0]
-    id_cols = [raw[raw.index(c)] for c in raw if c in (
+    id_cols = [c for c in raw if c in (
         "order postal", "settlement id", "código postal del pedido",
         "Id. de liquidación")]
     money_from = raw.index("product sales") if "product sales" in raw else raw.index(

@@ -10,7 +10,9 @@ from pyspark.sql.types import (
 )
 
 from ledgerlens.functions import iso_date, percent_text
-from ledgerlens.layouts import INVENTORY_OUT, TRAFFIC_OUT, TRAFFIC_PERCENT
+from ledgerlens.layouts import (
+    INVENTORY_OUT, TRAFFIC_INT_FIELDS, TRAFFIC_OUT, TRAFFIC_PERCENT, TRAFFIC_PERCENT_FIELDS,
+)
 from ledgerlens.operators import conform, distinct_files, merge_lines, with_constants
 from ledgerlens.operators.delimited import NO_DELIMITER, delimiter_rejects, fields_by_header, infer_delimiters
 from ledgerlens.plans.common import RUN_DATE, table
@@ -98,18 +100,11 @@ def q_delimiter_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -------------------------------------------------------------------- traffic
 
-_INT_FIELDS = ["mobileAppSessions", "browserSessions", "sessions", "mobileAppPageViews",
-               "browserPageViews", "pageViews"]
-_PCT_FIELDS = ["mobileAppSessionPercentage", "browserSessionPercentage", "sessionPercentage",
-               "mobileAppPageViewsPercentage", "browserPageViewsPercentage", "pageViewsPercentage",
-               "buyBoxPercentage", "unitSessionPercentage"]
-
-
 def traffic_schema() -> StructType:
     traffic = []
-    for f in _INT_FIELDS:
+    for f in TRAFFIC_INT_FIELDS:
         traffic += [StructField(f, LongType()), StructField(f + "B2B", LongType())]
-    for f in _PCT_FIELDS:
+    for f in TRAFFIC_PERCENT_FIELDS:
         traffic += [StructField(f, DoubleType()), StructField(f + "B2B", DoubleType())]
     amount = StructType([StructField("amount", DoubleType()),
                          StructField("currencyCode", StringType())])
@@ -154,9 +149,9 @@ def render_traffic_docs(li: DataFrame) -> DataFrame:
     ints = {"mobileAppSessions": q, "browserSessions": q + 1, "sessions": 2 * q + 1,
             "mobileAppPageViews": 2 * q, "browserPageViews": 3 * q, "pageViews": 5 * q}
     traffic = []
-    for i, f in enumerate(_INT_FIELDS):
+    for i, f in enumerate(TRAFFIC_INT_FIELDS):
         traffic += [ints[f].alias(f), (L("l_linenumber") + i).cast("bigint").alias(f + "B2B")]
-    for i, f in enumerate(_PCT_FIELDS):
+    for i, f in enumerate(TRAFFIC_PERCENT_FIELDS):
         a, b = (L("l_discount"), L("l_tax")) if i % 2 == 0 else (L("l_tax"), L("l_discount"))
         traffic += [a.alias(f), F.when(L("l_linenumber") % 5 != 0, b).alias(f + "B2B")]
 
@@ -282,10 +277,10 @@ def _traffic_sql() -> str:
     ints = {"mobileAppSessions": "q", "browserSessions": "q + 1", "sessions": "2 * q + 1",
             "mobileAppPageViews": "2 * q", "browserPageViews": "3 * q", "pageViews": "5 * q"}
     val = {}
-    for i, f in enumerate(_INT_FIELDS):
+    for i, f in enumerate(TRAFFIC_INT_FIELDS):
         val[f"trafficByAsin.{f}"] = ints[f]
         val[f"trafficByAsin.{f}B2B"] = f"CAST(l_linenumber + {i} AS BIGINT)"
-    for i, f in enumerate(_PCT_FIELDS):
+    for i, f in enumerate(TRAFFIC_PERCENT_FIELDS):
         a, b = ("l_discount", "l_tax") if i % 2 == 0 else ("l_tax", "l_discount")
         val[f"trafficByAsin.{f}"] = a
         val[f"trafficByAsin.{f}B2B"] = f"CASE WHEN l_linenumber % 5 <> 0 THEN {b} END"

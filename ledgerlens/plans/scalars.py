@@ -12,6 +12,7 @@ from ledgerlens.functions import (
     utc_to_pacific_text,
 )
 from ledgerlens.functions.dates import run_window, weekday_list
+from ledgerlens.layouts import SPANISH_MONTHS
 from ledgerlens.plans.common import table
 
 _KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -53,7 +54,7 @@ def q_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
                     clean_text(seg).alias("c_mktsegment"))
 
 
-_MONTHS_ES = ["ene", "feb", "marzo", "abr", "mayo", "jun", "jul", "ago", "sept", "oct", "nov", "dic"]
+_MONTHS_ES = [es for es, _ in SPANISH_MONTHS]
 
 
 def q_month_localise(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,9 @@ BASE_CONF = {
     # shuffle output of one side is below this size: a runtime size check.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM does not compile methods above 8,000 bytes of byte code; a stage
+    # whose generated method is longer runs faster without whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
