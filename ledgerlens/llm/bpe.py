@@ -15,6 +15,8 @@ text is looked up, and the pieces are joined in order.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,47 +28,53 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import id_and_text, read_table, small_arrow_batches, written
+from ledgerlens.llm.common import id_and_text, read_table, shared_folder, small_arrow_batches
+from ledgerlens.llm.shards import file_system
 from ledgerlens.llm.tokens import library_tokenizer, vocabulary_path, word_ids
 
 #: Text bytes of a block (a longer document is a block of its own).
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 4 << 20
+#: Words of the table a worker holds at once; a bucket past this is encoded
+#: in several goes.
+BUCKET_WORDS = 100_000
 #: Parts into which the word table is dealt.
 WORD_BUCKETS = 128
 
 
 def _squeeze(a: np.ndarray) -> bytes:
-    return zlib.compress(a.tobytes(), 1)
+    """Numbers in as few bytes as the largest needs, byte planes apart."""
+    most = int(a.max()) if len(a) else 0
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    planes = a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + zlib.compress(planes.tobytes(), 1)
 
 
-def _index_type(n: int) -> str:
-    return "<u2" if n <= 1 << 16 else "<u4"
+def _expand(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel()
 
 
-def _block_rows(number: int, ids: list, texts: list[bytes], buckets: int) -> Iterator[tuple]:
-    """(block, bucket, n, data): one row per bucket with its distinct words,
-    and the occurrences as row of bucket -1 (see _read_occurrences)."""
+def _block(texts: list[bytes], buckets: int) -> tuple[list[tuple], list[bytes]]:
+    """([(bucket, n, words)], [lengths, occurrences]): the distinct words of
+    the block by bucket, and each document's words as their numbers in that
+    order."""
     split = [t.split() for t in texts]
-    distinct = set().union(*split)
     dealt: list[list[bytes]] = [[] for _ in range(buckets)]
-    for word in distinct:
+    for word in set().union(*split):
         dealt[zlib.crc32(word) % buckets].append(word)
-    place, n = {}, 0
+    place, rows = {}, []
     for bucket, words in enumerate(dealt):
         if words:
             words.sort()
-            place.update(zip(words, range(n, n + len(words))))
-            n += len(words)
-            yield number, bucket, len(words), zlib.compress(b" ".join(words), 1)
-    lengths = np.fromiter(map(len, split), "<u4", len(split))
-    found = np.fromiter((place[w] for words in split for w in words), _index_type(n), int(lengths.sum()))
-    yield number, -1, n, len(lengths).to_bytes(4, "little") + lengths.tobytes() + _squeeze(found)
-
-
-def _read_occurrences(n: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    docs = int.from_bytes(data[:4], "little")
-    lengths = np.frombuffer(data, "<u4", docs, 4)
-    return lengths, np.frombuffer(zlib.decompress(data[4 + 4 * docs:]), _index_type(n))
+            place.update(zip(words, range(len(place), len(place) + len(words))))
+            rows.append((bucket, len(words), zlib.compress(b" ".join(words), 1)))
+    lengths = np.fromiter(map(len, split), np.int64, len(split))
+    found = np.empty(int(lengths.sum()), np.int64)
+    at = 0
+    for words in split:
+        found[at:at + len(words)] = list(map(place.__getitem__, words))
+        at += len(words)
+    return rows, [_squeeze(lengths), _squeeze(found)]
 
 
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
@@ -77,93 +85,116 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     added; special strings inside a text become their special token. A null
     or empty text has no ids. Repeated rows are all returned; an empty table
     gives no rows; other columns are ignored.
+
+    The occurrences of a block are a file in the shared folder, named by its
+    place and content and written under a temporary name first; the block's
+    word rows name it. A task that runs again after a loss writes the same file, or, if
+    it got its rows in another order, another one with rows of its own; a
+    block that does not get all its words back stops the job.
     """
     spark = docs.sparkSession
     small_arrow_batches(spark)
     rows = id_and_text(docs, id_col, text_col)
     id_type = rows.schema["_id"].dataType.simpleString()
+    folder = shared_folder(spark, "bpe-blocks")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, ids, texts, size, schema = TaskContext.get().partitionId() << 32, [], [], 0, None
-
-        def close() -> pa.RecordBatch:
-            out = [[*row, ids if row[1] < 0 else None] for row in _block_rows(number, ids, texts, buckets)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
+        files, root = file_system(folder)
+        files.create_dir(root, recursive=True)
+        names = ["block", "bucket", "n", "total", "data"]
+        kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+
+        def close(number: int, ids: pa.Array, texts: list[bytes]) -> pa.RecordBatch:
+            found, parts = _block(texts, buckets)
+            # The ids travel as Arrow bytes beside the occurrences.
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, pa.schema([("_id", ids.type)])) as out:
+                out.write_batch(pa.RecordBatch.from_arrays([ids], names=["_id"]))
+            parts.append(sink.getvalue().to_pybytes())
+            digest = hashlib.sha1()
+            for piece in (*parts, *(r[2] for r in found)):
+                digest.update(piece)
+            name = f"{TaskContext.get().partitionId()}-{number}-{digest.hexdigest()}"
+            if files.get_file_info(f"{root}/{name}").type.name == "NotFound":
+                held = f"{root}/_{uuid.uuid4().hex}"
+                with files.open_output_stream(held) as out:
+                    for piece in parts:
+                        out.write(len(piece).to_bytes(8, "little") + piece)
+                files.move(held, f"{root}/{name}")
+            total = sum(r[1] for r in found)
+            table = [(name, *r[:2], total, r[2]) for r in found] or [(name, 0, 0, 0, zlib.compress(b""))]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*table), kinds)], names=names)
+
+        number, held_ids, texts, size = 0, [], [], 0
         for batch in batches:
-            schema = schema or pa.schema([
-                ("block", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32()), ("data", pa.binary()),
-                ("ids", pa.list_(batch.schema.field("_id").type))])
-            for doc_id, text in zip(batch["_id"].to_pylist(), batch["_text"].to_pylist()):
-                text = text.encode("utf-8")
+            column, first = batch["_id"], 0
+            for k, text in enumerate(batch["_text"].cast(pa.binary()).to_pylist()):
                 if texts and size + len(text) > block_bytes:
-                    yield close()
-                    number, ids, texts, size = number + 1, [], [], 0
-                ids.append(doc_id)
+                    held_ids.append(column.slice(first, k - first))
+                    yield close(number, pa.concat_arrays(held_ids), texts)
+                    number, held_ids, texts, size, first = number + 1, [], [], 0, k
                 texts.append(text)
                 size += len(text)
+            held_ids.append(column.slice(first))
         if texts:
-            yield close()
-
-    # Written once: the words and the occurrences of a block must come from
-    # one and the same split, also when an executor is lost.
-    blocks = written(rows.mapInArrow(split, f"block long, bucket int, n int, data binary, ids array<{id_type}>"),
-                     "bpe-blocks")
+            yield close(number, pa.concat_arrays(held_ids), texts)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A bucket's words -> their ids: a count per word, then the ids."""
+        """A bucket's words -> how many ids each has, and the ids."""
         table = word_ids(vocabulary)
         for batch in batches:
-            lists = [zlib.decompress(d).split(b" ") for d in batch["data"].to_pylist()]
+            lists = [zlib.decompress(d).split() for d in batch["data"].to_pylist()]
             table.learn(set().union(*lists))
             out = []
             for words in lists:
                 found = list(map(table.__getitem__, words))
-                counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-                ids = np.frombuffer(b"".join(found), "<u4")
-                out.append(_squeeze(np.concatenate([counts, ids]).astype("<u4")))
-            table.trim()
-            yield pa.RecordBatch.from_arrays([batch["block"], batch["bucket"], batch["n"], pa.array(out, pa.binary())],
-                                             names=["block", "bucket", "n", "data"])
-
-    table = (blocks.where("bucket >= 0").select("block", "bucket", "n", "data")
-             .repartition(buckets, "bucket").sortWithinPartitions("bucket")
-             .mapInArrow(look_up, "block long, bucket int, n int, data binary"))
-    met = (table.withColumn("ids", F.lit(None).cast(f"array<{id_type}>"))
-           .unionByName(blocks.where("bucket < 0"))
-           .withColumn("_order", F.when(F.col("bucket") < 0, buckets).otherwise(F.col("bucket")))
-           .repartition("block").sortWithinPartitions("block", "_order").drop("_order"))
+                counts = _squeeze(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+                out.append(len(counts).to_bytes(4, "little") + counts
+                           + _squeeze(np.frombuffer(b"".join(found), "<u4")))
+            table.trim(BUCKET_WORDS)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("block", "bucket", "n", "total")),
+                                              pa.array(out, pa.binary())],
+                                             names=["block", "bucket", "n", "total", "data"])
+
+    shape = "block string, bucket int, n int, total int, data binary"
+    table = (rows.mapInArrow(split, shape)
+             .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(look_up, shape)
+             .repartition("block").sortWithinPartitions("block", "bucket"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block's word ids in bucket order, then its occurrences."""
-        counts, ids = [], []
+        """The word ids of a block in bucket order meet its occurrences."""
+        files, root = file_system(folder)
+        counts, ids, have = [], [], 0
         for batch in batches:
-            schema = pa.schema([("_id", batch.schema.field("ids").type.value_type), ("ids", pa.binary())])
-            for i, (bucket, n) in enumerate(zip(batch["bucket"].to_pylist(), batch["n"].to_pylist())):
-                data = batch["data"][i].as_py()
-                if bucket >= 0:
-                    words = np.frombuffer(zlib.decompress(data), "<u4")
-                    counts.append(words[:n])
-                    ids.append(words[n:])
+            for name, n, total, data in zip(*(batch[c].to_pylist() for c in ("block", "n", "total", "data"))):
+                cut = 4 + int.from_bytes(data[:4], "little")
+                counts.append(_expand(data[4:cut]).astype(np.int64))
+                ids.append(_expand(data[cut:]).astype("<u4"))
+                have += n
+                if have < total:
                     continue
-                lengths, at = _read_occurrences(n, data)
-                size = np.concatenate(counts).astype(np.int64) if counts else np.zeros(0, np.int64)
-                flat = np.concatenate(ids) if ids else np.zeros(0, "<u4")
-                first = np.cumsum(size) - size
-                own = size[at]
+                with files.open_input_stream(f"{root}/{name}") as source:
+                    parts = [source.read(int.from_bytes(source.read(8), "little")) for _ in range(3)]
+                size, flat = np.concatenate(counts), np.concatenate(ids)
+                lengths, at = _expand(parts[0]).astype(np.int64), _expand(parts[1])
+                if have != total or len(size) != total or (len(at) and int(at.max()) >= total):
+                    raise ValueError(f"the words of block {name} are not complete")
+                counts, ids, have = [], [], 0
+                first, own = np.cumsum(size) - size, size[at]
                 ends = np.concatenate([[0], np.cumsum(own)])
                 # Position of each id of the block in the list of word ids.
                 spots = np.repeat(first[at] - ends[:-1], own) + np.arange(ends[-1])
-                all_ids = flat[spots].astype("<u4")
-                stops = 4 * ends[np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])]
-                raw = memoryview(all_ids.tobytes())
-                out = [bytes(raw[a:b]) for a, b in zip(stops.tolist(), stops[1:].tolist())]
-                counts, ids = [], []
-                yield pa.RecordBatch.from_arrays(
-                    [batch["ids"][i].values, pa.array(out, pa.binary())], schema=schema)
-
-    return met.mapInArrow(join, f"_id {id_type}, ids binary").withColumnRenamed("_id", id_col)
+                raw = memoryview(flat[spots].tobytes())
+                stops = (4 * ends[np.concatenate([[0], np.cumsum(lengths)])]).tolist()
+                found = pa.ipc.open_stream(parts[2]).read_all().combine_chunks()["_id"]
+                found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
+                out = pa.array([bytes(raw[a:b]) for a, b in zip(stops, stops[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([found, out], names=["_id", "ids"])
+
+        if counts:
+            raise ValueError("the words of a block are not complete")
+
+    return table.mapInArrow(join, f"_id {id_type}, ids binary").withColumnRenamed("_id", id_col)
 
 
 @lru_cache(maxsize=2)
