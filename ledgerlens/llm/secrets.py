@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ledgerlens.llm.common import id_and_text, read_table, shared_folder, small_arrow_batches
+from ledgerlens.llm.common import id_and_text, read_table, shared_folder, small_arrow_batches, written
 
 
 class Rule:
@@ -82,16 +82,17 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
                                     F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def scan(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
-         rules=RULES) -> DataFrame:
-    """Scan what the ledger in ``folder`` lacks, append it, and return one row
-    per input row: (id, blob, spans of the given rules by start and order).
-
-    A null text counts as the empty blob. Repeated rows and other paths of a
-    blob all get its spans; an empty table appends nothing and gives no rows;
-    other columns are ignored. A batch is published by its folder's success
-    marker; a batch that was cut short leaves pairs that the next scan sees
-    as unseen.
+def scan_blobs(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
+               rules=RULES) -> DataFrame:
+    """Scan what the ledger in ``folder`` lacks, append it, and return
+    (blob, spans) of the blobs in which the given rules found anything, spans
+    by start and rule order, as a written table: a join with it starts from
+    plain shuffles, which adaptive execution can split where one blob has
+    very many paths.
+
+    A null text counts as the empty blob; an empty table appends nothing.
+    A batch's files appear when its job commits; one that was cut short adds
+    nothing, and the next scan sees its pairs as unseen.
     """
     spark = docs.sparkSession
     small_arrow_batches(spark)
@@ -126,8 +127,18 @@ def scan(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "
     sort = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), order[s["rule"]].alias("n"), s["stop"].alias("stop"), s["kind"].alias("kind")))
     known = known.select("blob", F.sort_array(sort).alias("spans"))
+    return written(known, "secret-spans")
+
+
+def scan(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
+         rules=RULES) -> DataFrame:
+    """``scan_blobs``, joined back to all paths: one row per input row, (id,
+    blob, spans). Repeated rows and other paths of a blob all get its spans;
+    an empty table gives no rows; other columns are ignored."""
+    known = scan_blobs(docs, folder, id_col, text_col, rules)
+    rows = id_and_text(docs, id_col, text_col).select("_id", F.unhex(F.sha2("_text", 256)).alias("blob"))
     none = F.expr("cast(array() AS array<struct<start: bigint, n: int, stop: bigint, kind: string>>)")
-    return (rows.select("_id", "blob").join(known, "blob", "left")
+    return (rows.join(known, "blob", "left")
             .select(F.col("_id").alias(id_col), "blob", F.coalesce("spans", none).alias("spans")))
 
 
@@ -136,8 +147,7 @@ def redact(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
     """``docs`` with every found span of the text replaced by ``mask`` and, if
     there is a column n_chars, that column made right; other rows and columns
     stay as they are."""
-    found = scan(docs, folder, id_col, text_col).where(F.size("spans") > 0)
-    found = found.groupBy("blob").agg(F.first("spans").alias("_spans"))
+    found = scan_blobs(docs, folder, id_col, text_col).withColumnRenamed("spans", "_spans")
 
     @pandas_udf("string")
     def masked(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
