@@ -183,9 +183,9 @@ def merge_lines(lines: DataFrame, file_col: str = "file_name",
         sizes = sizes.toDF(file_col, "_bytes")
     base = sizes.agg(F.min(F.struct(-F.col("_bytes"), q(file_col))).alias("_b")).select(
         F.col(f"_b.`{file_col}`").alias("_base_file"))
-    tagged = lines.join(F.broadcast(base), q(file_col) == F.col("_base_file"), "left")
-    base_lines = tagged.where(F.col("_base_file").isNotNull()).select(*lines.columns)
-    rest = tagged.where(F.col("_base_file").isNull() & (q(no_col) >= header_lines))
+    in_base = q(file_col) == F.col("_base_file")
+    base_lines = lines.join(F.broadcast(base), in_base, "left_semi")
+    rest = lines.join(F.broadcast(base), in_base, "left_anti").where(q(no_col) >= header_lines)
     rest = rest.withColumn("_h", F.xxhash64(q(line_col)))
     seen = base_lines.select(F.xxhash64(q(line_col)).alias("_h"), q(line_col)).distinct()
     added = rest.join(seen, ["_h", line_col], "left_anti").select(*lines.columns)
