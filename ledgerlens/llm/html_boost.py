@@ -173,9 +173,24 @@ class _Writer:
                           f"<p>&copy; 2024 {self.phrase(1, 4)}</p>" + self.links(3, "span"), f"<ul>{self.links(4)}</ul>"])
         return self.tag(r.choice(["footer", "footer", "div"]), inner, ["footer", "site-footer", "colophon", "foot", "copyright"])
 
+    def button(self) -> str:
+        return f"<button>{self.phrase(1, 3)}" + ("</button>" if self.r.random() < 0.7 else "")  # else its parent closes it
+
+    def choice(self) -> str:
+        options = "".join(f"<option>{self.phrase(1, 2)}" for _ in range(self.r.randint(2, 5)))
+        return f"<select>{options}" + ("</select>" if self.r.random() < 0.8 else "")
+
+    def embedded(self) -> str:
+        """Controls, which are no main text, or fallback contents, which are."""
+        if self.r.random() < 0.6:
+            return self.r.choice([self.button, self.choice])()
+        name = self.r.choice(["noscript", "object", "canvas", "audio", "video"])
+        return f"<{name}><p data-main>{self.sentence()}</p></{name}>" if self.r.random() < 0.4 else \
+            f"<{name} data-main>{self.sentence()}</{name}>"
+
     def notice(self) -> str:
         r = self.r
-        inner = r.choice([self.prose(2), f"<p>{self.prose(3)}</p>", f"<p>{self.sentence()}</p><button>OK</button>"])
+        inner = r.choice([self.prose(2), f"<p>{self.prose(3)}</p>", f"<p>{self.sentence()}</p>{self.button()}"])
         return self.tag(r.choice(["div", "div", "section", "aside", "p"]) if "<p>" not in inner else "div", inner,
                         ["cookie", "cookie-banner", "consent", "notice", "gdpr", "popup", "alert", "modal", "notification"])
 
@@ -196,7 +211,9 @@ class _Writer:
 
     def form(self) -> str:
         r = self.r
-        inner = f"<label>{self.phrase(1, 4)}</label><input><button>{self.word()}</button>"
+        inner = f"<label>{self.phrase(1, 4)}</label><input>{self.button()}"
+        if r.random() < 0.2:
+            inner = self.choice() + inner
         if r.random() < 0.5:
             inner = f"<p>{self.sentence()}</p>" + inner
         out = f"<form>{inner}</form>"
@@ -258,6 +275,8 @@ class _Writer:
         blocks = [self.main_block(k == 0) for k in range(r.choice([1, 1, 2, 2, 3, 4, 6, 9, 14, 25]))]
         for _ in range(r.choice([0, 0, 0, 1, 1, 2])):
             blocks.insert(r.randint(1, len(blocks)), self.extra())
+        if r.random() < 0.2:
+            blocks.insert(r.randint(1, len(blocks)), self.embedded())
         if r.random() < 0.25:
             blocks.append(self.tag("div", self.links(3, "span"), ["share", "tags", "social", "related", "breadcrumb"]))
         body, name = "\n".join(blocks), r.choice(["article"] * 4 + ["main", "div", "div", "div", "section", ""])
@@ -271,6 +290,8 @@ class _Writer:
             body = self.tag(r.choice(["div", "main", "section", "div"]), body, ["wrap", "container", "page", "layout", "content", "col", "row"])
         before = [f() for f in (self.header, self.menu, self.advert, self.notice, self.sidebar, self.form) if r.random() < 0.4]
         after = [f() for f in (self.comments, self.comments, self.sidebar, self.advert, self.form, self.notice, self.menu) if r.random() < 0.35]
+        if r.random() < 0.1:
+            before.append(f"<noscript>{self.sentence()}" + ("</noscript>" if r.random() < 0.8 else ""))
         if r.random() < 0.3:
             r.shuffle(before)
         after.append(self.footer() if r.random() < 0.8 else "")

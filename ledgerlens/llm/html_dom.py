@@ -1,10 +1,12 @@
 """A tolerant HTML block tree with features for each block.
 
 Only what block extraction needs: block elements become nodes, inline markup
-is flattened into the runs of text of the block it stands in, comments and
-contents of scripts, styles and the like are dropped. A block that holds both
-text and other blocks gets a nameless child for each run of its own text, so
-every text lies in a leaf.
+(formulas and drawings too) is flattened into the runs of text of the block it
+stands in. Only comments and the contents of script, style, title, textarea
+and iframe are dropped; buttons, fallback contents and the like are blocks that
+close with their parent at the latest. A block that holds both text and other
+blocks gets a nameless child for each run of its own text, so every text lies
+in a leaf.
 """
 
 from __future__ import annotations
@@ -17,9 +19,17 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr label".split())
 VOID = frozenset("area base basefont br col embed frame hr img input link meta param source track wbr".split())
-#: Elements whose content is no page text.
-DROPPED = frozenset("script style noscript template svg iframe object title textarea select button math canvas "
-                    "audio video datalist".split())
+#: Raw text: without an end tag these hold the rest of the page.
+DROPPED = frozenset("script style title textarea iframe".split())
+#: Blocks that may stand inside a paragraph.
+EMBEDDED = frozenset("noscript template object select button canvas audio video datalist".split())
+#: Roots of foreign content: its elements are inline, and a start tag of
+#: LEAVES ends it unless an element of HOLDS is open in it.
+FOREIGN = frozenset(("math", "svg"))
+LEAVES = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strike strong sub sup table tt u ul var".split())
+HOLDS = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 #: A start tag closes an open element of these first, up to the named scope.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -48,8 +58,9 @@ TALK = frozenset("comment comments commentlist reply replies respond responses r
 GROUPS = {t: n for n, tags in enumerate([
     "h1 h2 h3 h4 h5 h6", "p", "li ul ol dl dt dd menu", "table tbody thead tfoot tr td th caption", "nav", "header",
     "footer", "aside", "form fieldset", "article main", "section", "figure figcaption", "blockquote pre",
-    "div center", "#run"]) for t in tags.split()}
-N_GROUPS = 15
+    "div center", "#run", "button select option optgroup datalist template",
+    "noscript object canvas audio video"]) for t in tags.split()}
+N_GROUPS = 17
 MARKED_TAGS = ("nav", "header", "footer", "aside", "form")
 N_FEATURES = 30 + N_GROUPS + 2 * len(MARKED_TAGS)
 LABEL = "data-main"
@@ -90,15 +101,18 @@ def parse(html: str) -> list[Node]:
     root = Node("#page", None)
     nodes, stack = [root], [("#page", root)]  # an inline element has no node of its own
     block, link_depth, at = root, 0, 0
+    foreign = muted = 0  # open roots of foreign content, and DROPPED ones in it
 
     def text(piece: str) -> None:
-        if piece:
+        if piece and not muted:
             block.runs.append((len(block.children), piece, link_depth > 0))
 
     def pop_to(k: int) -> None:
-        nonlocal block, link_depth
+        nonlocal block, link_depth, foreign, muted
         for tag, _ in stack[k:]:
             link_depth -= tag == "a"
+            foreign -= tag in FOREIGN
+            muted -= tag in DROPPED
         del stack[k:]
         block = next(n for _, n in reversed(stack) if n is not None)
 
@@ -119,6 +133,12 @@ def parse(html: str) -> list[Node]:
                 if tag in INLINE and stack[k][1] is not None:
                     break
             continue
+        if foreign and tag in LEAVES:
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in HOLDS or stack[k][1] is not None:
+                    break
+                if stack[k][0] in FOREIGN:
+                    pop_to(k)
         if tag in VOID:
             if tag == "br":
                 text(" ")
@@ -126,6 +146,12 @@ def parse(html: str) -> list[Node]:
                 block.children.append(None)  # separates the runs around it
             block.tags += 1
             continue
+        if tag in FOREIGN or foreign and tag not in INLINE and tag not in GROUPS and tag not in EMBEDDED:
+            if not m[3].endswith("/"):  # closes with the foreign content at the latest
+                stack.append((tag, None))
+                foreign += tag in FOREIGN
+                muted += tag in DROPPED
+            continue
         if tag in DROPPED:
             if not m[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
@@ -139,6 +165,12 @@ def parse(html: str) -> list[Node]:
         closes, scope = CLOSES.get(tag, ((), ()))
         for k in range(len(stack) - 1, 0, -1):
             name = stack[k][0]
+            if tag in EMBEDDED:  # closes no paragraph, at most its like around it
+                if stack[k][1] is None:
+                    continue
+                if name == tag and tag in ("button", "select"):
+                    pop_to(k)
+                break
             if name == "p" or name in closes:
                 pop_to(k)
                 break
@@ -151,9 +183,25 @@ def parse(html: str) -> list[Node]:
         if m[3].endswith("/") and tag not in ("p", "div", "li", "td", "tr", "body", "html"):
             pop_to(len(stack) - 1)
     text(html[at:])
+    _drop_empty(nodes)
     return _leaves(root)
 
 
+def _drop_empty(nodes: list[Node]) -> None:
+    """Embedded blocks without text go, so they do not cut the text around them."""
+    empty: set[int] = set()
+    for node in reversed(nodes):
+        if empty and any(id(c) in empty for c in node.children):
+            places, kept = [0], []
+            for c in node.children:
+                if id(c) not in empty:
+                    kept.append(c)
+                places.append(len(kept))
+            node.children, node.runs = kept, [(places[k], p, link) for k, p, link in node.runs]
+        if node.tag in EMBEDDED and not node.children and not any(p.strip() for _, p, _ in node.runs):
+            empty.add(id(node))
+
+
 def _leaves(root: Node) -> list[Node]:
     """Move runs into leaves; the nodes in page order."""
     ordered, todo = [], [root]

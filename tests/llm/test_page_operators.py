@@ -75,6 +75,35 @@ def test_parse_blocks():
         assert len(features(parse(broken))) >= 1
 
 
+def leaf_texts(html: str) -> list[str]:
+    return [n.text for n in parse(html) if n.text]
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "object", "noscript", "canvas", "math", "video", "audio", "svg",
+                                 "template", "datalist"])
+def test_unclosed_elements_end_with_their_parent(tag):
+    nodes = parse(f"<div class=cookie><p>We use cookies</p><{tag}>OK</div><article><p>one<p>two</article>")
+    assert [n.text for n in nodes if n.text] == ["We use cookies", "OK", "one", "two"]
+    assert [n.parent.tag for n in nodes if n.text][2:] == ["article"] * 2
+    assert leaf_texts(f"<article><{tag}>x<p>one</article><p>two") == ["x", "one", "two"]
+
+
+def test_only_raw_text_is_dropped():
+    assert leaf_texts("<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds <video src=v></video>always"
+                      "<svg><title>icon</title><path d=z /></svg>.</p><p>next") == ["where x=2 holds always.", "next"]
+    assert leaf_texts("<p>a <button>b</button> c") == ["a", "b", "c"]
+    assert leaf_texts("<svg><title>icon<p>one<svg><style>s</svg>two") == ["onetwo"]
+    for tag in ("script", "style", "title", "textarea", "iframe"):
+        assert leaf_texts(f"<p>one<{tag}>x</{tag}>two<{tag}>y<p>three") == ["onetwo"]
+
+
+def test_article_after_an_unclosed_button():
+    prose = "The long story of the river and the town goes on here, with many words and a full stop."
+    page = (f"<html><body><div class=cookie><p>We use cookies.</p><button>OK</div><article><h1>River town</h1>"
+            f"<p>{prose}</p><p>{prose} Again.</p></article><footer>&copy; us</footer></body></html>")
+    assert html_extract.main_texts([page], html_extract.fitted()) == [f"River town\n\n{prose}\n\n{prose} Again."]
+
+
 def test_decoding_is_consistent():
     nodes = parse("<div><p>a</p><div><p>b</p></div></div><div><p>c</p></div>")
     score = np.zeros(len(nodes))
