@@ -43,6 +43,18 @@ class Rule:
         return [m.span() for m in self.pattern.finditer(text) if m.end(self.group) - m.start(self.group) >= self.least]
 
 
+#: A private key from its BEGIN line over headers and body to the END line. If
+#: no END line comes before other dashes: headers, then the run of pieces of 16
+#: or more base64 characters and one shorter piece; the shorter piece alone only
+#: at the end of the text. Line breaks may be escaped, quoted or marked.
+_GAP = r"""(?:\\[nrt]|<br\x20?/?>|[\s"'>|#*;,+\\])"""
+_BASE64 = "[A-Za-z0-9+/=]"
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----(?:"
+    r"(?:[^-]++|-(?!----))*+-----END [A-Z0-9 ]*PRIVATE KEY-----"
+    rf"|(?:{_GAP}*+[A-Z][A-Za-z-]*+:[\x20\t]*+[^\s\\]++)*+"
+    rf"(?:(?:{_GAP}*+{_BASE64}{{16,}}+)++(?:(?<!=){_GAP}++{_BASE64}++)?+|{_GAP}*+{_BASE64}++(?=\s*\Z)))?+")
+
 #: Fixed rules first, in the order spans of one start are listed; then known
 #: token shapes of widely used services.
 RULES = [
@@ -50,7 +62,7 @@ RULES = [
          1, 8, ("password", "passwd", "secret", "token", "apikey", "api_key"), any_case=True),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 16, ("akia",)),
     Rule("hex", 1, r"[0-9a-f]{32,}"),
-    Rule("key", 1, r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----", hints=("private key",)),
+    Rule("key", 2, PRIVATE_KEY, hints=("private key",)),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat", 1, r"xox[abeoprs]-[A-Za-z0-9-]{10,}", hints=("xox",)),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hints=("eyj",)),

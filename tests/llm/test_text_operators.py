@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
 import re
@@ -172,3 +173,34 @@ def test_redact(spark):
     same = Counter((r["doc_id"], r["text"]) for r in out.collect() if r["doc_id"] != 8)
     assert same == Counter((i, t) for i, t, _ in ROWS if i != 8)
     assert rows[4]["text"] == LONG
+
+
+def pem(r: random.Random, size: int = 1200) -> list[str]:
+    body = base64.b64encode(r.randbytes(size)).decode()
+    return [body[k:k + 64] for k in range(0, len(body), 64)]
+
+
+def test_private_keys_are_covered_whole(spark):
+    r = random.Random(9)
+    begin, end, name = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n"
+    texts, bodies = [], []
+    for break_ in ("\n", "\r\n", "\\n", " ", "\n> ", '\\n" +\n    "', "\n\t"):
+        for head in ("", name.replace("\n", break_) + break_):
+            for tail in (end, "", "-----END RSA PRI", "-----END CERTIFICATE-----"):
+                bodies.append(pem(r, r.choice([1191, 1192, 1193, 607, 40])))
+                texts.append("before it " + begin + break_ + head + break_.join(bodies[-1]) + break_ + tail
+                             + ("\nafter it all, more." if tail == end else ""))
+    bodies.append(["MIIEpA"])
+    texts.append(begin + "\nMIIEpA\n")
+    bodies.append([])
+    texts.append(f"A file with {begin} in its first line, no key")
+    docs = documents(spark, [(n, t, "en") for n, t in enumerate(texts)])
+    out = {x["doc_id"]: x["text"] for x in secrets.redact(docs, shared_folder(spark, "test-ledger")).collect()}
+    for n, (text, lines) in enumerate(zip(texts, bodies)):
+        assert "BEGIN" not in out[n] and not [x for x in lines if x in out[n]], (text, out[n])
+        assert not text.startswith("before") or out[n].startswith("before it [SECRET]"), out[n]
+        assert "after it" not in text or out[n] == "before it [SECRET]\nafter it all, more."
+    assert out[len(texts) - 1] == "A file with [SECRET] in its first line, no key"
+    twice = f"{begin}\n{bodies[0][0]}\n{end} and {begin}\n{bodies[1][0]}\n{end}."
+    assert [s[0] for s in secrets.find(twice)] == ["key", "key"]
+    assert "key@2" in {x.key for x in secrets.RULES}
