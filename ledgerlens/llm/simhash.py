@@ -75,15 +75,17 @@ def fingerprint(text: str, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 width: int = 3) -> DataFrame:
-    """(_id, _fp): the fingerprint of every row as a signed long."""
+                 width: int = 3, hashed: bool = False) -> DataFrame:
+    """(_id, _fp): the fingerprint of every row as a signed long; ``hashed``
+    adds the text's MD5 as _hash."""
     small_arrow_batches(docs.sparkSession)
+    extra = [F.unhex(F.md5("_text")).alias("_hash")] if hashed else []
 
     @pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))
 
-    return id_and_text(docs, id_col, text_col).select("_id", of("_text").alias("_fp"))
+    return id_and_text(docs, id_col, text_col).select("_id", of("_text").alias("_fp"), *extra)
 
 
 @lru_cache(maxsize=1)
@@ -226,13 +228,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              width: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, all
-    columns. Rows that share an id are taken for one document; rows of a
-    component without any id stay."""
-    found = near_duplicates(docs, id_col, text_col, width, max_bits)
-    stay = (found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-            .select(F.col(id_col).alias("_stay")).distinct())
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
+    """One row of ``docs`` for each component, all columns: the row with the
+    smallest id (any id before null), of rows that share that id the one with
+    the smallest text hash.
+
+    Of rows that repeat both id and text any one stays (they differ at most in
+    other columns). Rows are chosen by (id, text hash), so null or repeated
+    ids bring back no other row.
+    """
+    marked = written(fingerprints(docs, id_col, text_col, width, hashed=True), "simhash-marks")
+    best = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_hash")
+    firsts = written(marked.groupBy("_fp").agg(F.min(best).alias("_best")), "simhash-firsts")
+    roots = components(links(firsts.select("_fp"), max_bits))
+    # A lone fingerprint is its own root.
+    chosen = (firsts.join(roots, firsts["_fp"] == roots["node"], "left")
+              .groupBy(F.coalesce("root", "_fp").alias("_root")).agg(F.min("_best").alias("_best")))
+
+    def key(i, h):
+        """One column for (id, text hash), null ids apart."""
+        return F.md5(F.concat(h, F.when(i.isNull(), F.lit("n")).otherwise(F.lit("v")).cast("binary"),
+                              F.coalesce(i.cast("string"), F.lit("")).cast("binary")))
+
+    stay = chosen.select(key(F.col("_best._id"), F.col("_best._hash")).alias("_key"))
+    cols = docs.columns
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
+        key(F.col(id_col), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))).alias("_key"))
+    # Copies go on the map side, before the join.
+    return (rows.dropDuplicates(["_key"]).join(stay, "_key", "left_semi")
+            .select(*[F.col(f"_row.`{c}`").alias(c) for c in cols]))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

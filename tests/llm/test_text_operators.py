@@ -100,6 +100,22 @@ def test_simhash_whole(spark):
     assert {r["doc_id"] for r in kept.collect()} - {None} == set(low.values())
 
 
+def test_simhash_keep_one_of_null_and_repeated_ids(spark):
+    one, two, three, four = (" ".join(f"{name}{n}" for n in range(40)) for name in ("river", "stone", "cloud", "ember"))
+    rows = [(None, one, "en"), (None, one, "en"), (None, one.upper(), "en"),  # no id at all
+            (None, two, "en"), (5, two, "en"), (5, two, "en"), (7, two.upper(), "en"),
+            (5, three, "en"), (3, three.upper(), "en"), (3, three.replace(" ", "  "), "en"),  # 5 stays only above
+            (None, four, "en"), (None, four, "de"), (9, "", "en"), (None, None, "en")]
+    docs = documents(spark, rows)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], " ".join((r["text"] or "").lower().split())) for r in kept.collect()]
+    assert Counter(got) == Counter([(None, one), (5, two), (3, three), (None, four), (9, "")])
+    again = simhash.keep_one(documents(spark, rows[::-1], 5))
+    assert {(r["doc_id"], r["text"]) for r in again.collect()} == {(r["doc_id"], r["text"]) for r in kept.collect()}
+    assert simhash.keep_one(documents(spark, [])).collect() == []
+
+
 @pytest.mark.parametrize("busy", [1000, 3])
 def test_links_and_components(spark, monkeypatch, busy):
     monkeypatch.setattr(simhash, "BUSY_KEY", busy)
