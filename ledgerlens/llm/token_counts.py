@@ -16,7 +16,8 @@ the pre-tokenizer's pieces, whatever stands before. A chunk's state map is thus
 state it is entered with, the tokens of what is closed inside, and the text
 after the last one, which is the state it is left with. The maps compose
 associatively; long texts are cut into chunks that different tasks count, and
-their maps are combined by a parallel prefix scan.
+the maps of one text are combined pairwise in one task. A chunk without white
+space is its own map, so a text without any meets whole in that task.
 """
 
 from __future__ import annotations
@@ -195,6 +196,14 @@ class Transducer:
             step *= 2
         return maps
 
+    def reduce(self, maps: list[tuple]) -> tuple:
+        """The map of all chunks, neighbours composed pairwise; no prefix is
+        kept, so the texts held stay about as long as the chunks together."""
+        while len(maps) > 1:
+            pairs = [self.compose(maps[i], maps[i + 1]) for i in range(0, len(maps) - 1, 2)]
+            maps = pairs + maps[2 * len(pairs):]
+        return maps[0]
+
     def total(self, found: tuple) -> int:
         """Tokens of a whole text, given its map."""
         head, count, tail = found
@@ -247,7 +256,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
         maps = [(h, int(c), None if x is None or x != x else x)
                 for h, c, x in zip(found["head"], found["count"], found["tail"])]
         first = found.iloc[[0]]
-        return first[["_id", "n_bytes", "_copies"]].assign(n_tokens=t.total(t.scan(maps)[-1]))
+        return first[["_id", "n_bytes", "_copies"]].assign(n_tokens=t.total(t.reduce(maps)))
 
     long = (mapped.groupBy("_id", "_hash", "n_bytes")
             .applyInPandas(composed, f"_id {id_type}, n_bytes long, _copies long, n_tokens long")

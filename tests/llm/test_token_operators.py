@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
@@ -175,3 +176,18 @@ def test_transducer_forgets_and_scans(library, monkeypatch):
 def test_decode_nulls(spark):
     df = spark.range(2).select(F.when(F.col("id") == 0, F.lit(None).cast("binary")).otherwise(F.lit(b"")).alias("ids"))
     assert {r["decoded"] for r in bpe.decode(df, WORDS).collect()} == {None, ""}
+
+
+def test_composing_an_unbroken_text_keeps_no_prefixes(library):
+    t = token_counts.transducer(BYTE)
+    text = "".join(chr(0x4E00 + n % 500) for n in range(200_000))
+    maps = [t.chunk_map(text[k:k + 1000]) for k in range(0, len(text), 1000)]
+    tracemalloc.start()
+    found = t.reduce(maps)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000  # the prefixes together are 40 MB
+    assert t.total(found) == len(ids_of(library, BYTE, text))
+    for n in (1, 2, 3, 5):
+        cut = "a b" * n
+        assert t.total(t.reduce([t.chunk_map(c) for c in [cut, *["x yz "] * n]])) == len(ids_of(library, BYTE, cut + "x yz " * n))
