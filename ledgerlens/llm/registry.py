@@ -16,6 +16,9 @@ _MODULES = [
     "ledgerlens.llm.token_files",
     "ledgerlens.llm.bpe",
     "ledgerlens.llm.token_counts",
+    "ledgerlens.llm.whitening",
+    "ledgerlens.llm.alignment",
+    "ledgerlens.llm.topk_search",
     "corpus_pipeline",
 ]
 
