@@ -34,11 +34,13 @@ from ledgerlens.llm.common import id_and_text, read_table, small_arrow_batches,
 from ledgerlens.llm.tokens import byte_ids, vocabulary_path
 
 #: Text bytes of a block (a longer document is a block of its own).
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: Characters of chunks, and their pairs, that a worker remembers from block
 #: to block; a table beyond is emptied.
-TABLE_CHARS = 2_000_000
-TABLE_PAIRS = 1_000_000
+TABLE_CHARS = 3_000_000
+TABLE_PAIRS = 2_000_000
+#: Characters of chunks that are encoded as one text.
+JOINED_CHARS = 1 << 16
 #: Links of a group from which equal ids are brought together first.
 LARGE_GROUP = 4096
 #: Bits for an id of B in a pair's code.
@@ -55,29 +57,87 @@ def chunks_of(text: str) -> list[str]:
     return [" " + w for w in text.split(" ")]
 
 
+class Encoders:
+    """The two encoders and the bytes of their ids."""
+
+    def __init__(self, path_a: str, path_b: str):
+        import sentencepiece
+        a = byte_ids(path_a)
+        if a.fast is None:
+            raise ValueError("a byte-level vocabulary without normaliser is expected for A")
+        self.a, self.size_a = a.fast, np.zeros(max(a.vocabulary.values()) + 1, np.int64)
+        for piece, i in a.vocabulary.items():
+            self.size_a[i] = len(piece)
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if any("▁" in n.lstrip("▁") for n in names) or self.b.encode("a  b ", out_type=str)[-1] != "▁":
+            raise ValueError("pieces of B may not hold a space after another character")
+        self.pieces = [bytes([int(n[3:-1], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode("utf-8")
+                       for i, n in enumerate(names)]
+        self.size_b = np.fromiter(map(len, self.pieces), np.int64, len(self.pieces))
+
+    def of_b(self, texts: list[str]) -> list[np.ndarray]:
+        """B adds the first space itself; an empty text, though, gets no ids."""
+        found = self.b.encode([t[1:] for t in texts], num_threads=1)
+        return [np.array(f or [self.b.piece_to_id("▁")], np.int64) for f in found]
+
+    def both(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(chunks whose bytes B keeps, in another order; A's ids and their
+        number a chunk; the same of B).
+
+        Chunks that end in other than white space are joined: the next one
+        starts with a space, which is where both tokenizers cut. A joined text
+        that B changes is taken apart again."""
+        joined: list[list[str]] = []
+        size = JOINED_CHARS
+        for c in chunks:
+            if c[-1].isspace() or len(c) >= JOINED_CHARS:
+                joined.append([c])
+                size = JOINED_CHARS
+            elif size + len(c) > JOINED_CHARS:
+                joined.append([c])
+                size = len(c)
+            else:
+                joined[-1].append(c)
+                size += len(c)
+        good: list[str] = []
+        ids_a, ids_b, ends = [], [], []
+        for part in range(0, len(joined), 16):
+            todo = joined[part:part + 16]
+            texts = ["".join(g) for g in todo]
+            for group, text, b in zip(todo, texts, self.of_b(texts)):
+                self._checked(group, text, b, good, ids_a, ids_b, ends)
+        if not good:
+            none = np.zeros(0, np.int64)
+            return good, none, none, none, none
+        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
+        ends = np.cumsum(np.concatenate(ends))
+        n_a, n_b = (np.diff(np.searchsorted(np.cumsum(size[ids]), ends, "right"), prepend=0)
+                    for size, ids in ((self.size_a, a), (self.size_b, b)))
+        return good, a, n_a, b, n_b
+
+    def _checked(self, group, text, b, good, ids_a, ids_b, ends) -> None:
+        raw = text.encode("utf-8")
+        if b"".join(map(self.pieces.__getitem__, b.tolist())) == raw:
+            good += group
+            ids_a.append(np.array(self.a.encode_to_numpy(text, disallowed_special=()), np.int64))
+            ids_b.append(b)
+            ends.append(np.array([len(raw)]) if len(group) == 1 else
+                        np.fromiter((len(c.encode("utf-8")) for c in group), np.int64, len(group)))
+        elif len(group) > 1:
+            for c, own in zip(group, self.of_b(group)):
+                self._checked([c], c, own, good, ids_a, ids_b, ends)
+
+
+@lru_cache(maxsize=1)
+def encoders(path_a: str, path_b: str) -> Encoders:
+    return Encoders(path_a, path_b)
+
+
 @lru_cache(maxsize=1)
-def encoders(path_a: str, path_b: str) -> tuple:
-    """(encode A, byte length of A's ids, B's processor, bytes of B's ids)."""
-    import sentencepiece
-    a = byte_ids(path_a)
-    if a.fast is None:
-        raise ValueError("a byte-level vocabulary without normaliser is expected for A")
-    size_a = np.zeros(max(a.vocabulary.values()) + 1, np.int64)
-    for piece, i in a.vocabulary.items():
-        size_a[i] = len(piece)
-    b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-    names = [b.id_to_piece(i) for i in range(b.get_piece_size())]
-    if any("▁" in n.lstrip("▁") for n in names) or b.encode("a  b ", out_type=str)[-1] != "▁":
-        raise ValueError("pieces of B may not hold a space after another character")
-    pieces = [bytes([int(n[3:-1], 16)]) if b.is_byte(i) else n.replace("▁", " ").encode("utf-8")
-              for i, n in enumerate(names)]
-    return a.fast.encode_ordinary, size_a, b, pieces
-
-
-def _encode_b(b, chunks: list[str]) -> list[list[int]]:
-    """B adds a space itself; an empty text, though, would get no ids."""
-    found = b.encode([c[1:] for c in chunks], num_threads=1)
-    return [f or [b.piece_to_id("▁")] for f in found]
+def _numbers(size: int) -> pa.Array:
+    """Ids below ``size`` as text before ',' then before '|' then before ';'."""
+    return pa.array([f"{i}{end}" for end in ",|;" for i in range(size)], pa.large_string())
 
 
 def last_tokens(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,41 +218,30 @@ class ChunkTable:
         new = [c for c in chunks if c not in self.number]
         if not new:
             return
-        encode_a, size_a, b, pieces = encoders(*self.paths)
+        use = encoders(*self.paths)
+        good, a, n_a, b, n_b = use.both(new)
+        bad = set(new).difference(good)
         base = len(self.text)
-        self.number.update(zip(new, range(base, base + len(new))))
+        self.number.update(zip([*good, *bad], range(base, base + len(new))))
         self.characters += sum(map(len, new))
-        ids_a = [encode_a(c) for c in new]
-        ids_b = _encode_b(b, new)
-        good = [b"".join(map(pieces.__getitem__, y)) == c.encode("utf-8") for c, y in zip(new, ids_b)]
-        counts = np.zeros((len(new), 4), np.int64)
-        n_pairs = np.zeros(len(new), np.int64)
-        texts: list[bytes | None] = [None] * len(new)
-        own = [i for i, g in enumerate(good) if g]
-        if own:
-            a, b_ids = [ids_a[i] for i in own], [ids_b[i] for i in own]
-            n_a, n_b = (np.fromiter(map(len, x), np.int64, len(own)) for x in (a, b_ids))
-            flat_a, flat_b = (np.fromiter((i for x in xs for i in x), np.int64, int(n.sum())) for xs, n in ((a, n_a), (b_ids, n_b)))
-            sizes_b = np.fromiter(map(len, pieces), np.int64, len(pieces))
-            ends_a, ends_b = np.cumsum(size_a[flat_a]), np.cumsum(sizes_b[flat_b])
-            label_a, label_b = last_tokens(ends_a, ends_b)
+        counts, n_pairs = np.zeros((len(new), 4), np.int64), np.zeros(len(new), np.int64)
+        if good:
+            n = len(good)
+            label_a, label_b = last_tokens(np.cumsum(use.size_a[a]), np.cumsum(use.size_b[b]))
             lasts = np.flatnonzero(label_a == np.arange(len(label_a)))
             group_a, group_b = np.searchsorted(lasts, label_a), np.searchsorted(lasts, label_b)
-            chunk_of_a = np.repeat(np.arange(len(own)), n_a)
-            chunk_of_group = chunk_of_a[lasts]
-            group, code, times = _group_links(group_a, group_b, flat_a, flat_b)
-            pair_keys, place = np.unique(code, return_inverse=True)
-            keys, total = summed(chunk_of_group[group] * max(1, len(pair_keys)) + place, times)
-            chunk, code = keys // max(1, len(pair_keys)), pair_keys[keys % max(1, len(pair_keys))]
-            at = np.array(own)
+            chunk_of_group = np.repeat(np.arange(n), n_a)[lasts]
+            group, code, times = _group_links(group_a, group_b, a, b)
+            codes, place = np.unique(code, return_inverse=True)
+            keys, total = summed(chunk_of_group[group] * len(codes) + place, times)
             links = np.bincount(group_a) * np.bincount(group_b)
-            counts[at] = np.stack([n_a, n_b, np.bincount(chunk_of_group, minlength=len(own)),
-                                   np.bincount(chunk_of_group, weights=links, minlength=len(own)).astype(np.int64)], 1)
-            n_pairs[at] = np.bincount(chunk, minlength=len(own))
-            for i, found in zip(own, _as_text(group_a, group_b, flat_a, flat_b, chunk_of_group, len(own))):
-                texts[i] = found
-            self.codes, self.times = np.concatenate([self.codes, code]), np.concatenate([self.times, total])
-        self.text += texts
+            counts[:n] = np.stack([n_a, n_b, np.bincount(chunk_of_group, minlength=n),
+                                   np.bincount(chunk_of_group, weights=links, minlength=n).astype(np.int64)], 1)
+            n_pairs[:n] = np.bincount(keys // len(codes), minlength=n)
+            self.text += _as_text(group_a, group_b, a, b, chunk_of_group, n)
+            self.codes = np.concatenate([self.codes, codes[keys % len(codes)]])
+            self.times = np.concatenate([self.times, total])
+        self.text += [None] * len(bad)
         self.counts = np.concatenate([self.counts, counts])
         self.n_pairs = np.concatenate([self.n_pairs, n_pairs])
         self.first = np.cumsum(self.n_pairs) - self.n_pairs
@@ -200,12 +249,23 @@ class ChunkTable:
 
 def _as_text(group_a, group_b, ids_a, ids_b, chunk_of_group, n_chunks: int) -> list[bytes]:
     """'a1,a2|b1;a3|b2,b3' of each chunk."""
-    a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    n = len(chunk_of_group)
-    cut_a, cut_b = (np.cumsum(np.bincount(g, minlength=n)).tolist() for g in (group_a, group_b))
-    groups = [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b)]
-    cuts = np.cumsum(np.bincount(chunk_of_group, minlength=n_chunks)).tolist()
-    return [";".join(groups[i:j]).encode() for i, j in zip([0, *cuts], cuts)]
+    size = 1 + max(int(ids_a.max()), int(ids_b.max()))
+    size = 1 << size.bit_length()
+    n_a, n_b = np.bincount(group_a), np.bincount(group_b)
+    both = n_a + n_b
+    start = np.cumsum(both) - both
+    rows = np.empty(len(ids_a) + len(ids_b), np.int64)
+    at_a = spread(start, n_a)
+    at_b = spread(start + n_a, n_b)
+    rows[at_a], rows[at_b] = ids_a, ids_b
+    rows[start + n_a - 1] += size
+    rows[start + both - 1] += 2 * size
+    found = _numbers(size).take(pa.array(rows))
+    offsets = np.frombuffer(found.buffers()[1], np.int64, len(rows) + 1, found.offset * 8)
+    data = memoryview(found.buffers()[2])
+    stops = offsets[np.cumsum(np.bincount(chunk_of_group, weights=both, minlength=n_chunks).astype(np.int64))].tolist()
+    # Without the ';' after the chunk's last group.
+    return [bytes(data[i:j - 1]) for i, j in zip([int(offsets[0]), *stops], stops)]
 
 
 @lru_cache(maxsize=1)
