@@ -38,6 +38,7 @@ COLUMNS = {
     "op8_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op9_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op12_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
 }
 
 
@@ -53,6 +54,17 @@ def test_query_covers_its_table(spark, name):
         assert got.count() == want.count()
 
 
+def test_vector_queries_cover_their_table(spark):
+    ids = {r[0] for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id").collect()}
+    white = registry.queries()["op11_embedding_whitening"](spark, SF)
+    assert white.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    assert dict(white.dtypes)["deviation"] == "bigint"
+    assert sorted((r[0], r[1]) for r in white.collect()) == sorted((i, k) for i in ids for k in range(1, 5))
+    top = registry.queries()["op13_topk_search"](spark, SF)
+    assert top.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted((r[0], r[1]) for r in top.collect()) == sorted((i, k) for i in ids if i % 50 == 0 for k in range(1, 6))
+
+
 def passes(text: str) -> bool:
     m = measured(text)
     lines = [x for x in text.split("\n") if WORD.search(x)]
