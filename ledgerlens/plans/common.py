@@ -4,7 +4,7 @@ machine clock, so results repeat)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 RUN_DATE = "2024-10-21"            # a Monday
 RUN_TS = "2024-10-21 09:30:00"     # the job's 'now'
@@ -12,3 +12,26 @@ RUN_TS = "2024-10-21 09:30:00"     # the job's 'now'
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def land_files(lines: DataFrame, root: str, order: list[Column], name: str = "file", line: str = "line") -> str:
+    """Rendered lines as files: one text file per ``name`` (a path below
+    ``root``, folders included), lines in ``order``. A downloaded report lies
+    in one file, so a file is written by one task; readers cut it again."""
+    spark = lines.sparkSession
+    staged = f"{root}/_staged"
+    (lines.repartition(name).sortWithinPartitions(name, *order).select(lines[line].alias("value"), name)
+     .write.partitionBy(name).text(staged))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for folder in files.listStatus(path(staged)):
+        if "=" not in folder.getPath().getName():
+            continue
+        target = path(f"{root}/{unescape(folder.getPath().getName().split('=', 1)[1])}")
+        files.mkdirs(target.getParent())
+        for part in files.listStatus(folder.getPath()):
+            if part.getPath().getName().startswith("part-"):
+                files.rename(part.getPath(), target)
+    files.delete(path(staged), True)
+    return root

@@ -12,13 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.layouts import LISTING_DEDUP, LISTING_MOD, string_schema
+from ledgerlens.layouts import LISTING_DEDUP, LISTING_MOD
 from ledgerlens.operators import conform, first_per_key, flag_duplicates, with_constants
 from ledgerlens.plans.common import RUN_DATE, table
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import write_csv
-from ledgerlens.operators.delimited import fields_by_header, known_delimiter
-from ledgerlens.sources import read_delimited, read_lines
+from ledgerlens.sources import read_fields
 
 # Channel first, then status, both NULLs last; the seller sku breaks ties so
 # the choice never depends on input order.
@@ -59,11 +58,11 @@ def duplicate_counts(mod: DataFrame) -> DataFrame:
 def render_listing_report(part: DataFrame) -> DataFrame:
     """Raw listing rows (all text) from ``part``; every 11th part has no
     asin1, every 7th no channel, every 13th an empty first field, and every 5th
-    an item name with quotes and a tab."""
+    an item name with quotes, a tab and line breaks."""
     return part.select(
         F.when(F.col("p_partkey") % 13 != 0, F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string"))).alias("seller-sku"),
         F.when(F.col("p_partkey") % 11 != 0, F.col("p_brand")).alias("asin1"),
-        F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit('12" "black",\t'), F.col("p_name")))
+        F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit('12" "black",\t\n|first "line"\n'), F.col("p_name")))
          .otherwise(F.col("p_name")).alias("item-name"),
         F.col("p_retailprice").cast("string").alias("price"),
         F.col("p_size").cast("string").alias("quantity"),
@@ -81,8 +80,7 @@ RAW_LISTING = ["seller-sku", "asin1", "item-name", "price", "quantity", "product
 def read_raw_listings(spark: SparkSession, path: str) -> DataFrame:
     """Raw tab-delimited listing report(s): bytes decoded UTF-8 or Latin-1,
     fields taken by the names in each file's header line."""
-    lines = read_lines(spark, path, glob="*.csv", strip=False)
-    return fields_by_header(lines, known_delimiter(lines, "\t"), RAW_LISTING)
+    return read_fields(spark, path, RAW_LISTING, "\t")
 
 
 def _published_modified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +89,7 @@ def _published_modified(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(raw, raw_path, sep="\t")
     mod_path = scratch_path(spark, "listings-mod")
     write_csv(modify_listings(read_raw_listings(spark, raw_path), RUN_DATE), mod_path, sep="|")
-    return read_delimited(spark, mod_path, string_schema(LISTING_MOD), sep="|")
+    return read_fields(spark, mod_path, LISTING_MOD, "|").select(*[f"`{c}`" for c in LISTING_MOD])
 
 
 def q_listing_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

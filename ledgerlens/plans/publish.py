@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.plans.common import RUN_DATE, table
 from ledgerlens.session import scratch_path
-from ledgerlens.sinks import publish_or_blank, publish_partitioned, publish_zones, read_markers, write_marker
+from ledgerlens.sinks import (
+    publish_or_blank, publish_partitioned, publish_zones, read_manifest, read_markers, read_published, replace_partitions,
+    write_marker,
+)
 
 FILE_TYPES = ["USA", "CA", "Mexico"]
 
@@ -26,18 +29,31 @@ def _spread(df: DataFrame) -> DataFrame:
 
 
 def q_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish orders by (run_date, file_type); re-run the CA partitions with
-    changed rows (dynamic overwrite leaves the others as they were); read
-    back only run dates from 1998 on (partition pruning)."""
+    """Publish orders by (run_date, file_type). A re-run of all CA partitions
+    has finished orders only, so later years become empty; a re-run of Mexico
+    1996 has no rows at all. Read back run dates from 1994 on (only their
+    folders are read)."""
     o = _typed(table(spark, sf_dir, "orders"))
     path = scratch_path(spark, "published")
-    publish_partitioned(_spread(o), path)
-    rerun = o.where(F.col("file_type") == "CA").withColumn("o_orderstatus", F.lower("o_orderstatus"))
-    publish_partitioned(_spread(rerun), path)
-    back = spark.read.parquet(path)
-    return back.where(F.col("run_date") >= "1998").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        F.col("run_date").cast("string").alias("run_date"), "file_type")
+    keys = o.select("run_date", "file_type").distinct()
+    replace_partitions(_spread(o), path, keys)
+    rerun = o.where((F.col("file_type") == "CA") & (F.col("o_orderstatus") == "F")).withColumn("o_orderstatus", F.lower("o_orderstatus"))
+    replace_partitions(_spread(rerun), path, keys.where("file_type = 'CA'"))
+    replace_partitions(o.where(F.lit(False)), path, spark.createDataFrame([("1996", "Mexico")], "run_date string, file_type string"))
+    return read_published(spark, path, o.schema).where(F.col("run_date") >= "1994").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "run_date", "file_type")
+
+
+def q_publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest after a run and a re-run that only has every other file
+    type's finished orders: published keys and their row counts, empty ones
+    included."""
+    o = _typed(table(spark, sf_dir, "orders"))
+    path = scratch_path(spark, "published")
+    keys = o.select("run_date", "file_type").distinct()
+    replace_partitions(_spread(o), path, keys)
+    replace_partitions(_spread(o.where("o_orderstatus = 'F' AND file_type <> 'CA'")), path, keys.where("file_type <> 'CA'"))
+    return read_manifest(spark, path).select("run_date", "file_type", "rows")
 
 
 def q_empty_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +114,12 @@ SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 3 = 1 THEN lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus,
   o_totalprice, CAST(year(o_orderdate) AS VARCHAR) AS run_date,
   ['USA', 'CA', 'Mexico'][o_orderkey % 3 + 1] AS file_type
-FROM orders WHERE year(o_orderdate) >= 1998""",
+FROM orders WHERE year(o_orderdate) >= 1994 AND (o_orderkey % 3 <> 1 OR o_orderstatus = 'F')
+  AND NOT (o_orderkey % 3 = 2 AND year(o_orderdate) = 1996)""",
+    "publish_manifest": """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS run_date, ['USA', 'CA', 'Mexico'][o_orderkey % 3 + 1] AS file_type,
+  count(*) FILTER (o_orderkey % 3 = 1 OR o_orderstatus = 'F') AS rows
+FROM orders GROUP BY ALL""",
     "empty_publish": """
 SELECT t.file_type, coalesce(c.n, 0) AS rows, 5 AS columns
 FROM (VALUES ('USA'), ('CA'), ('Mexico')) t(file_type)
@@ -120,6 +141,7 @@ GROUP BY zone, prefix, ft""",
 
 QUERIES = {
     "partition_sink": q_partition_sink,
+    "publish_manifest": q_publish_manifest,
     "empty_publish": q_empty_publish,
     "publish_marker": q_publish_marker,
     "publish_zones": q_publish_zones,

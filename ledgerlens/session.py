@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster job wants as well as a local run.
 BASE_CONF = {
@@ -81,5 +81,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back: branches of a plan
+    read the files instead of computing it again, and a lost executor costs
+    nothing."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sf_dir_default() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

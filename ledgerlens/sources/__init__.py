@@ -3,5 +3,5 @@
 
 from ledgerlens.sources.files import (  # noqa: F401
     decode_fallback, explode_lines, read_binary_files, read_delimited,
-    read_json_documents, read_lines, read_text_files,
+    read_fields, read_json_documents, read_lines, read_records, read_text_files,
 )

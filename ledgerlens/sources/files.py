@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlens.functions.text import strip_text
+from ledgerlens.layouts import DELIMITER_CANDIDATES
+from ledgerlens.operators.delimited import FILE_KEY, fields_by_header, known_delimiter
+from ledgerlens.operators.records import gathered, leaves_open
+from ledgerlens.session import stored
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
@@ -78,13 +82,83 @@ def explode_lines(df: DataFrame, file_col: str, text_col: str,
                            (strip_text(F.col("_raw")) if strip else F.col("_raw")).alias("line"))
 
 
+def plain_path(c: Column) -> Column:
+    """A path of the scan's metadata, which is percent-encoded, as it is."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def _numbered(spark: SparkSession, paths: str | Sequence[str], glob: str | None, strip: bool,
+              delimiters: Sequence[str] | None) -> tuple[DataFrame, DataFrame]:
+    """(lines, ranges). With ``delimiters`` the lines also carry ``_odd``: a
+    line of their file leaves a quoted field open."""
+    reader = spark.read.option("recursiveFileLookup", False)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    raw = reader.text(list(paths) if not isinstance(paths, str) else paths).select(
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"),
+        F.col("_metadata.file_block_start").alias("_range"), place.alias("_place"), F.col("value").alias("_raw"))
+    opens = leaves_open(F.col("_raw"), delimiters) if delimiters else F.lit(False)
+    ranges = raw.groupBy("_path", "_name", "_range").agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"),
+        F.bool_and(F.is_valid_utf8("_raw")).alias("_valid"), F.bool_or(opens).alias("_opens"))
+    by_file = Window.partitionBy("_path")
+    before = by_file.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = stored(ranges.select(
+        "_path", "_range", plain_path(F.col("_path")).alias("file_path"), plain_path(F.col("_name")).alias("file_name"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.min("_valid").over(by_file).alias("_utf8"), F.max("_opens").over(by_file).alias("_odd")), "file-ranges")
+    text = F.when(F.col("_utf8"), F.col("_raw")).otherwise(F.decode(F.col("_raw").cast("binary"), "ISO-8859-1"))
+    lines = raw.drop("_name").join(ranges, ["_path", "_range"]).select(
+        "file_path", "file_name", (F.col("_place") + F.col("_shift")).alias("line_no"), text.alias("_text"), "_odd")
+    unmarked = F.when((F.col("line_no") == 0) & F.col("_text").startswith("\ufeff"), F.substring("_text", 2, 2147483647)) \
+        .when((F.col("line_no") == 0) & F.col("_text").startswith("\u00ef\u00bb\u00bf"), F.substring("_text", 4, 2147483647)) \
+        .otherwise(F.col("_text"))
+    return lines.select("file_path", "file_name", "line_no", (strip_text(unmarked) if strip else unmarked).alias("line"), "_odd"), ranges
+
+
 def read_lines(spark: SparkSession, paths: str | Sequence[str],
                glob: str | None = "*.csv", strip: bool = True) -> DataFrame:
-    """(file_name, line_no, line) for every line of every file."""
-    files = read_binary_files(spark, paths, glob)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"),
-                         decode_fallback(F.col("content")).alias("text"))
-    return explode_lines(files, "file", "text", strip=strip)
+    """(file_path, file_name, line_no, line) for every line of every file.
+
+    Files of any size: Spark's text source reads a file in byte ranges, many
+    tasks a file. A range's lines are numbered where they are read; a small
+    table of the ranges (first number and count of each), stored once, gives
+    every range its offset by a running sum, and is joined back. Lines end in
+    CR LF, CR or LF; a byte-order mark is dropped; a final line break starts no
+    further line.
+
+    A file whose bytes are not valid UTF-8 is read as Latin-1, all of it.
+    ``file_path`` tells files apart; ``file_name`` is its last part, which files
+    of several folders may share. ``strip`` cuts white space off each line.
+    """
+    return _numbered(spark, paths, glob, strip, None)[0].drop("_odd")
+
+
+def read_records(spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", strip: bool = False,
+                 delimiters: Sequence[str] = DELIMITER_CANDIDATES) -> DataFrame:
+    """``read_lines`` with the lines of a quoted field joined to one record:
+    (file_path, file_name, line_no, line), see ``operators.join_records``.
+    Which files need it is found in the pass that numbers the lines; the others
+    are read as they are."""
+    lines, ranges = _numbered(spark, paths, glob, strip, delimiters)
+    plain = lines.where(~F.col("_odd")).drop("_odd")
+    if ranges.where("_odd").isEmpty():
+        return plain
+    return plain.unionByName(gathered(lines.where("_odd").drop("_odd"), "file_path", delimiters))
+
+
+def read_fields(spark: SparkSession, paths: str | Sequence[str], layout: Sequence[str], delimiter: str,
+                glob: str | None = "*.csv") -> DataFrame:
+    """Delimited reports with a header line, each file's columns in its own
+    order: (file_path, file_name, line_no, columns of ``layout`` as text).
+
+    Files are read in ranges and may be of any size; fields may hold line
+    breaks, delimiters and quotes; bytes are UTF-8 or Latin-1; files of
+    several folders may share a name."""
+    records = read_records(spark, paths, glob, delimiters=[delimiter])
+    headers = known_delimiter(records.where("line_no = 0"), delimiter, FILE_KEY)
+    return fields_by_header(records, headers, layout, FILE_KEY, FILE_KEY)
 
 
 def read_text_files(spark: SparkSession, paths: str | Sequence[str],
