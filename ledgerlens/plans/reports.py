@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -15,20 +17,22 @@ from ledgerlens.layouts import (
 )
 from ledgerlens.operators import conform, distinct_files, merge_lines, with_constants
 from ledgerlens.operators.delimited import NO_DELIMITER, delimiter_rejects, fields_by_header, infer_delimiters
-from ledgerlens.plans.common import RUN_DATE, table
+from ledgerlens.operators.records import join_records
+from ledgerlens.plans.common import RUN_DATE, land_files, table
 from ledgerlens.session import scratch_path
-from ledgerlens.sinks import write_csv
-from ledgerlens.sources import decode_fallback, read_delimited
+from ledgerlens.sinks import write_csv, write_lines
+from ledgerlens.sources import decode_fallback, file_sizes, read_delimited, read_lines, read_text_in_order
 
 # ------------------------------------------------------------------ inventory
 
 
-def inventory_job(lines: DataFrame) -> DataFrame:
-    """J-INV: lines of ledger files with unknown delimiters -> 22 columns,
-    'Date' as ISO text (month first when ambiguous), source file name."""
-    delims = infer_delimiters(lines)
+def inventory_job(records: DataFrame, by: Sequence[str] = ("file_name",)) -> DataFrame:
+    """J-INV: records of ledger files with unknown delimiters -> 22 columns,
+    'Date' as ISO text (month first when ambiguous), source file name. ``by``
+    tells files apart (``FILE_KEY`` for files read from folders)."""
+    delims = infer_delimiters(records, by=by)
     cols = [c for c in INVENTORY_OUT if c != "file_name"]
-    df = fields_by_header(lines, delims, cols)
+    df = fields_by_header(records, delims, cols, by, by)
     df = df.withColumn("Date", F.regexp_replace(F.col("Date"), "[./]", "-"))
     df = df.withColumn("Date", iso_date(F.col("Date")))
     return conform(df, INVENTORY_OUT)
@@ -49,8 +53,8 @@ _INV_SRC = {  # ledger column -> customer expression (text)
 def render_inventory_lines(customer: DataFrame) -> DataFrame:
     """One ledger file per market segment, each with its own delimiter; the
     FURNITURE file has no Location column and 21 extra columns, 20 of them
-    first, so it is wider than 32; MACHINERY titles hold the delimiter and
-    quotes; dates come as month-first, day-first, ISO or junk text. One more
+    first, so it is wider than 32; MACHINERY titles hold the delimiter,
+    quotes and a line break; dates come as month-first, day-first, ISO or junk text. One more
     file has no delimiter at all."""
     seg = F.col("c_mktsegment")
     k = F.col("c_custkey") % 4
@@ -61,7 +65,7 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
     furn = seg == "FURNITURE"
     vals = [date_txt if n == "Date" else F.expr(_INV_SRC.get(n, "'0'")) for n in names]
     vals[names.index("Title")] = F.when(seg == "MACHINERY", F.concat(
-        F.lit('"Lamp, 12"" black '), F.col("c_name"), F.lit('"'))).otherwise(F.col("c_name"))
+        F.lit('"Lamp, 12"" black\n'), F.col("c_name"), F.lit('"'))).otherwise(F.col("c_name"))
     fv = ([F.lit(f"x{i}") for i in range(20)] + [v for n, v in zip(names, vals) if n != "Location"] + [F.lit("note")])
     hv = [F.lit(n) for n in names]
     hfv = ([F.lit(f"Extra {i}") for i in range(20)] + [F.lit(n) for n in names if n != "Location"]
@@ -78,8 +82,10 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
     header_line = F.expr("array_join(_h, _d)")
     customer = staged
     fname = F.concat(F.lit("inventory_"), F.lower(seg), F.lit(".csv"))
-    rows = customer.select(fname.alias("file_name"), (F.col("c_custkey") + 1).alias("line_no"),
-                           data_line.alias("line"), header_line.alias("_header"), furn.alias("_f"))
+    # A title's line break makes two lines of the file.
+    rows = customer.select(fname.alias("file_name"), header_line.alias("_header"), furn.alias("_f"), "c_custkey",
+                           F.posexplode(F.split(data_line, "\n")).alias("_part", "line"))
+    rows = rows.withColumn("line_no", 2 * F.col("c_custkey") + 1 + F.col("_part"))
     headers = rows.groupBy("file_name").agg(F.first("_header").alias("line")) \
         .select("file_name", F.lit(0).cast("bigint").alias("line_no"), "line")
     broken = customer.where(F.col("c_custkey") % 10 == 0).select(
@@ -90,12 +96,12 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
 
 def q_delimiter_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J-INV over five ledger files rendered from customer."""
-    return inventory_job(render_inventory_lines(table(spark, sf_dir, "customer")))
+    return inventory_job(join_records(render_inventory_lines(table(spark, sf_dir, "customer"))))
 
 
 def q_delimiter_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger files whose delimiter cannot be told, with the reason."""
-    return delimiter_rejects(render_inventory_lines(table(spark, sf_dir, "customer")))
+    return delimiter_rejects(join_records(render_inventory_lines(table(spark, sf_dir, "customer"))))
 
 
 # -------------------------------------------------------------------- traffic
@@ -232,19 +238,44 @@ def q_file_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_files(files)
 
 
-def q_line_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event type is an extract of 'day,user' lines with a header; the
-    largest in bytes is the base, the others add only lines it lacks. The
-    purchase lines hold accented letters: fewer characters, more bytes."""
+def land_extracts(spark: SparkSession, sf_dir: str) -> str:
+    """Each event type as an extract of 'day,user' lines with a header, all in
+    a folder of their own under the same name; the purchase lines hold accented
+    letters: fewer characters, more bytes. Lines are those of the events in
+    order; every seventh is indented."""
     e = table(spark, sf_dir, "events")
-    fname = F.concat(F.lit("extract_"), F.col("event_type"), F.lit(".csv"))
-    data = e.select(fname.alias("file_name"), (F.col("event_id") + 1).alias("line_no"),
-                    F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), F.col("user_id").cast("string"),
-                                F.when(F.col("event_type") == "purchase", F.lit("ñññ")).otherwise(F.lit("nnnn")))
-                    .alias("line"))
-    header = data.select("file_name").distinct().select(
-        "file_name", F.lit(0).cast("bigint").alias("line_no"), F.lit("day,user").alias("line"))
-    return merge_lines(header.unionByName(data))
+    fname = F.concat(F.col("event_type"), F.lit("/extract.csv"))
+    line = F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), F.col("user_id").cast("string"),
+                       F.when(F.col("event_type") == "purchase", F.lit("ñññ")).otherwise(F.lit("nnnn")))
+    data = e.select(fname.alias("file"), F.col("event_id").alias("no"),
+                    F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("  "), line)).otherwise(line).alias("line"))
+    header = data.select("file").distinct().select("file", F.lit(-1).cast("bigint").alias("no"), F.lit("\ufeffday,user").alias("line"))
+    return land_files(header.unionByName(data), scratch_path(spark, "extracts"), [F.col("no")])
+
+
+def merged_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = land_extracts(spark, sf_dir)
+    lines = read_lines(spark, f"{folder}/*")
+    return merge_lines(lines, file_col="file_path", sizes=file_sizes(spark, f"{folder}/*"))
+
+
+def q_line_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extracts read as files (told apart by path, numbered in ranges);
+    the largest in bytes is the base, the others add only lines it lacks."""
+    return merged_extracts(spark, sf_dir).select(
+        F.element_at(F.split("file_path", "/"), -2).alias("extract"), "file_name", "line_no", "line")
+
+
+def q_merged_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged lines written as one text in order (largest extract first)
+    with a byte-order mark, and read back by their number."""
+    folder = land_extracts(spark, sf_dir)
+    sizes = file_sizes(spark, f"{folder}/*")
+    merged = merge_lines(read_lines(spark, f"{folder}/*"), file_col="file_path", sizes=sizes)
+    out = scratch_path(spark, "merged-text")
+    ordered = merged.join(sizes, merged["file_path"] == sizes["path"])
+    write_lines(ordered, out, order=[F.col("length").desc(), F.col("file_path"), F.col("line_no")], mark=True)
+    return read_text_in_order(spark, out).select("line_no", "line")
 
 
 # --------------------------------------------------------------------- oracles
@@ -259,7 +290,7 @@ def _inventory_sql() -> str:
         if n == "Date":
             e = date_sql
         elif n == "Title":
-            e = "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Lamp, 12\" black ' || c_name ELSE c_name END"
+            e = "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Lamp, 12\" black' || chr(10) || c_name ELSE c_name END"
         elif n == "Location":
             e = "CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE 'US' END"
         else:
@@ -314,6 +345,23 @@ SELECT {", ".join(cols)}
 FROM items"""
 
 
+_MERGED_SQL = """
+WITH e AS (
+  SELECT event_type AS file, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS line_no,
+         CASE WHEN event_id % 7 = 0 THEN 2 ELSE 0 END AS indent,
+         strftime(ts, '%Y-%m-%d') || ',' || CAST(user_id AS VARCHAR)
+           || CASE WHEN event_type = 'purchase' THEN ',ñññ' ELSE ',nnnn' END AS line FROM events),
+l AS (
+  SELECT * FROM e UNION ALL SELECT DISTINCT event_type, 0, 3, 'day,user' FROM events),
+s AS (SELECT file, sum(octet_length(encode(line)) + indent + 1) AS bytes FROM l GROUP BY file),
+b AS (SELECT file FROM s ORDER BY bytes DESC, file LIMIT 1),
+m AS (
+  SELECT l.* FROM l JOIN b USING (file)
+  UNION ALL
+  SELECT l.* FROM l WHERE file <> (SELECT file FROM b) AND line_no > 0
+    AND line NOT IN (SELECT line FROM l JOIN b USING (file)))
+"""
+
 ORACLE = {
     "delimiter_infer": _inventory_sql(),
     "delimiter_rejects": f"""
@@ -337,19 +385,10 @@ SELECT min(path) AS path, length, md5
 FROM (SELECT 'doc_' || doc_id || '.txt' AS path, CAST(octet_length(encode(text)) AS BIGINT) AS length,
              md5(text) AS md5 FROM documents) f
 GROUP BY length, md5""",
-    "line_merge": """
-WITH l AS (
-  SELECT 'extract_' || event_type || '.csv' AS file_name, event_id + 1 AS line_no,
-         strftime(ts, '%Y-%m-%d') || ',' || CAST(user_id AS VARCHAR)
-           || CASE WHEN event_type = 'purchase' THEN ',ñññ' ELSE ',nnnn' END AS line FROM events
-  UNION ALL
-  SELECT DISTINCT 'extract_' || event_type || '.csv', 0, 'day,user' FROM events),
-s AS (SELECT file_name, sum(octet_length(encode(line)) + 1) AS bytes FROM l GROUP BY file_name),
-b AS (SELECT file_name FROM s ORDER BY bytes DESC, file_name LIMIT 1)
-SELECT l.* FROM l JOIN b USING (file_name)
-UNION ALL
-SELECT l.* FROM l WHERE file_name <> (SELECT file_name FROM b) AND line_no > 0
-  AND line NOT IN (SELECT line FROM l JOIN b USING (file_name))""",
+    "line_merge": _MERGED_SQL + """
+SELECT file AS extract, 'extract.csv' AS file_name, line_no, line FROM m""",
+    "merged_text": _MERGED_SQL + """
+SELECT row_number() OVER (ORDER BY bytes DESC, file, line_no) - 1 AS line_no, line FROM m JOIN s USING (file)""",
 }
 
 QUERIES = {
@@ -361,4 +400,5 @@ QUERIES = {
     "conform_layout": q_conform_layout,
     "file_dedup": q_file_dedup,
     "line_merge": q_line_merge,
+    "merged_text": q_merged_text,
 }

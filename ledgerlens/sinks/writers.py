@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -97,7 +97,18 @@ def read_markers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MARKER_SCHEMA).parquet(path).select(*MARKER_SCHEMA.names)
 
 
-def write_lines(lines: DataFrame, path: str, line_col: str = "line") -> str:
-    """Merged lines as text files, one line each, in the order of the rows."""
-    lines.select(F.col(line_col).alias("value")).write.mode("overwrite").text(path)
+def write_lines(lines: DataFrame, path: str, order: Sequence[Column], line_col: str = "line",
+                mark: bool = False) -> str:
+    """Lines as text in ``order``, one line each; ``mark`` starts the text with
+    a byte-order mark.
+
+    The lines are range-sorted, so the parts in the order of their names are
+    the text (``cat part-*``), written by as many tasks as its size asks for.
+    The order should be total, else ties fall as they come."""
+    ordered = lines.orderBy(*order)
+    text = F.col(line_col)
+    if mark:
+        # The first row of the first part is the text's first line.
+        text = F.when(F.monotonically_increasing_id() == 0, F.concat(F.lit("\ufeff"), text)).otherwise(text)
+    ordered.select(text.alias("value")).write.mode("overwrite").text(path)
     return path

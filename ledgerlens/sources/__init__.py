@@ -2,6 +2,6 @@
 (never inferSchema: one odd value would change a column's type)."""
 
 from ledgerlens.sources.files import (  # noqa: F401
-    decode_fallback, explode_lines, read_binary_files, read_delimited,
-    read_fields, read_json_documents, read_lines, read_records, read_text_files,
+    decode_fallback, explode_lines, file_sizes, read_binary_files, read_delimited,
+    read_fields, read_json_documents, read_lines, read_records, read_text_files, read_text_in_order,
 )

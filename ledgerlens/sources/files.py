@@ -51,6 +51,16 @@ def read_binary_files(spark: SparkSession, paths: str | Sequence[str],
     return df.select("path", "length", "content", F.md5("content").alias("md5"))
 
 
+def file_sizes(spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
+    """(path, length) of files, from their listing: no content is read. Paths
+    are spelled as ``read_lines`` spells them."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", False)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    listed = reader.load(list(paths) if not isinstance(paths, str) else paths)
+    return listed.select(plain_path(F.col("_metadata.file_path")).alias("path"), "length")
+
+
 def decode_fallback(content: Column) -> Column:
     """Bytes -> text: UTF-8 when the bytes are valid UTF-8, else Latin-1
     (which accepts every byte, so no further fallback is reachable)."""
@@ -135,6 +145,17 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str],
     return _numbered(spark, paths, glob, strip, None)[0].drop("_odd")
 
 
+def read_text_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line) of a text that was written in order in several parts:
+    the parts' lines numbered through, parts by name."""
+    lines = read_lines(spark, path, glob="part-*", strip=False)
+    ends = lines.groupBy("file_name").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select(F.col("file_name").alias("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return lines.join(starts, F.col("file_name") == F.col("_part")).select(
+        (F.col("line_no") + F.col("_start")).alias("line_no"), "line")
+
+
 def read_records(spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", strip: bool = False,
                  delimiters: Sequence[str] = DELIMITER_CANDIDATES) -> DataFrame:
     """``read_lines`` with the lines of a quoted field joined to one record:
