@@ -78,6 +78,28 @@ def money_eu(c) -> Column:
     return _to_double(strip_text(F.replace(_c(c), F.lit(","), F.lit("."))))
 
 
+_DECIMAL = r"^[+-]?(?:\d+\.?\d*|\.\d+)$"
+
+
+def money_decimal(c) -> Column:
+    """Amount text (see ``money_text``) -> decimal(18,2), exactly: NULL for
+    text that is no plain number, has more than two decimals that count, or is
+    too large. Nothing is rounded."""
+    t = _c(c)
+    wide = F.when(t.rlike(_DECIMAL), t.try_cast("decimal(38,10)"))
+    cents = wide.try_cast("decimal(18,2)")
+    # Eleven decimals and more are seen in the text only.
+    return F.when((cents == wide) & ~t.rlike(r"\.\d{10}\d*[1-9]"), cents)
+
+
+def decimal_reasons(c) -> list[tuple[Column, str]]:
+    """Why ``money_decimal`` gives NULL."""
+    t = _c(c)
+    return [(~t.rlike(_DECIMAL), "not a number"),
+            (t.rlike(r"\.\d\d\d*[1-9]"), "more than two decimals"),
+            (F.lit(True), "too large for decimal(18,2)")]
+
+
 def int_or_zero(c) -> Column:
     """Coerce to a number, NULL or bad text to 0, truncate toward zero.
 
