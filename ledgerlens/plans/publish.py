@@ -3,15 +3,17 @@ published, and publication markers written after the data."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.plans.common import RUN_DATE, table
+from ledgerlens.plans.common import RUN_DATE, land_files, table
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import (
     publish_or_blank, publish_partitioned, publish_zones, read_manifest, read_markers, read_published, replace_partitions,
     write_marker,
 )
+from ledgerlens.sinks.publication import Folder
+from ledgerlens.sources import digests
 
 FILE_TYPES = ["USA", "CA", "Mexico"]
 
@@ -91,21 +93,36 @@ def q_publish_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_markers(spark, f"{root}/publications")
 
 
-def q_publish_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each file type lands as a raw and, for finished orders, a modified
-    file; both zones are published for the run date, and the published lines
-    of every file are counted."""
+def _land_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Per file type the orders as a raw and the finished ones as a modified
+    file: CR LF lines (USA), Latin-1 letters (CA), a byte-order mark (Mexico)."""
     o = _typed(table(spark, sf_dir, "orders"))
-    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "zones")
-    line = F.concat_ws(",", "o_orderkey", "o_orderstatus")
-    for ft in FILE_TYPES:
-        mine = o.where(F.col("file_type") == ft)
-        mine.select(line.alias("value")).write.text(f"{landing}/orders_{ft}.csv")
-        mine.where(F.col("o_orderstatus") == "F").select(line.alias("value")).write.text(f"{landing}/mod_orders_{ft}.csv")
+    line = F.concat_ws(",", "o_orderkey", "o_orderstatus", F.lit("é"))
+    first = F.min("o_orderkey").over(Window.partitionBy("file")) == F.col("o_orderkey")
+    each = o.select("o_orderkey", "file_type", line.alias("line"), F.explode(F.array_compact(F.array(
+        F.concat(F.lit("orders_"), F.col("file_type"), F.lit(".csv")),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("mod_orders_"), F.col("file_type"), F.lit(".csv")))))).alias("file"))
+    raw = (F.when(F.col("file_type") == "USA", F.concat("line", F.lit("\r")).cast("binary"))
+           .when(F.col("file_type") == "CA", F.encode("line", "ISO-8859-1"))
+           .otherwise(F.when(first, F.concat(F.lit("\ufeff"), F.col("line"))).otherwise(F.col("line")).cast("binary")))
+    return land_files(each.select("file", "o_orderkey", raw.cast("string").alias("line")), scratch_path(spark, "landing"),
+                      [F.col("o_orderkey")])
+
+
+def q_publish_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files published to their zones byte by byte. The next run of the
+    day finds one file less, which is then gone from its zone."""
+    landing, root = _land_orders(spark, sf_dir), scratch_path(spark, "zones")
     publish_zones(spark, landing, root, RUN_DATE)
-    back = spark.read.text(root)
-    return back.groupBy("zone", F.col("run_date").cast("string").alias("run_date"), "file").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("characters"))
+    Folder(spark, landing).delete("mod_orders_CA.csv")
+    published = publish_zones(spark, landing, root, RUN_DATE)
+    # The digests are those of the published objects, read again.
+    objects = digests(spark, f"{root}/objects", recursive=True).select(
+        F.element_at(F.split("path", "/objects/"), -1).alias("_o"), F.col("length").alias("length_now"), F.col("md5").alias("md5_now"))
+    here = F.element_at(F.split("object", "/objects/"), -1)
+    return published.join(objects, here == F.col("_o")).select(
+        "zone", "run_date", "name", F.col("length_now").alias("length"), F.col("md5_now").alias("md5"),
+        ((F.col("length") == F.col("length_now")) & (F.col("md5") == F.col("md5_now"))).alias("equal"))
 
 
 ORACLE = {
@@ -131,12 +148,18 @@ SELECT 'transactions' AS job, ['USA', 'CA', 'Mexico'][o_orderkey % 3 + 1] AS fil
   CAST(year(o_orderdate) AS VARCHAR) AS run_date, count(*) AS rows
 FROM orders GROUP BY ALL""",
     "publish_zones": f"""
-SELECT zone, '{RUN_DATE}' AS run_date, prefix || ft || '.csv' AS file, count(*) AS lines,
-  CAST(sum(length(o_orderkey || ',' || o_orderstatus)) AS BIGINT) AS characters
-FROM (SELECT *, ['USA', 'CA', 'Mexico'][o_orderkey % 3 + 1] AS ft FROM orders) o
-JOIN (VALUES ('raw', 'orders_'), ('modified', 'mod_orders_')) z(zone, prefix)
-  ON zone = 'raw' OR o_orderstatus = 'F'
-GROUP BY zone, prefix, ft""",
+WITH l AS (
+  SELECT *, o_orderkey || ',' || o_orderstatus || ',é' AS line, ['USA', 'CA', 'Mexico'][o_orderkey % 3 + 1] AS ft FROM orders),
+t AS (
+  SELECT zone, prefix || ft || '.csv' AS name, ft,
+    string_agg(line || CASE WHEN ft = 'USA' THEN chr(13) || chr(10) ELSE chr(10) END, '' ORDER BY o_orderkey) AS text
+  FROM l JOIN (VALUES ('raw', 'orders_'), ('modified', 'mod_orders_')) z(zone, prefix)
+    ON zone = 'raw' OR (o_orderstatus = 'F' AND ft <> 'CA')
+  GROUP BY ALL),
+b AS (
+  SELECT zone, name, CASE ft WHEN 'CA' THEN unhex(replace(hex(encode(text)), 'C3A9', 'E9'))
+    WHEN 'Mexico' THEN encode(chr(65279) || text) ELSE encode(text) END AS bytes FROM t)
+SELECT zone, '{RUN_DATE}' AS run_date, name, octet_length(bytes) AS length, md5(bytes) AS md5, true AS equal FROM b""",
 }
 
 QUERIES = {

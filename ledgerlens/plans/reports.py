@@ -21,7 +21,10 @@ from ledgerlens.operators.records import join_records
 from ledgerlens.plans.common import RUN_DATE, land_files, table
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import write_csv, write_lines
-from ledgerlens.sources import decode_fallback, file_sizes, read_delimited, read_lines, read_text_in_order
+from ledgerlens.sources import (
+    decode_fallback, digests, file_sizes, json_rejects, read_delimited, read_json_documents, read_lines, read_text_in_order,
+)
+from ledgerlens.sources.files import CORRUPT, DAMAGED, UNREADABLE
 
 # ------------------------------------------------------------------ inventory
 
@@ -124,22 +127,38 @@ def traffic_schema() -> StructType:
     return StructType([StructField("salesAndTrafficByAsin", ArrayType(item))])
 
 
-def flatten_traffic(docs: DataFrame, run_date: str, doc_col: str = "doc",
-                    file_col: str = "file_name") -> DataFrame:
+def parsed_traffic(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """JSON text as structs; the field ``_corrupt_record`` holds the text of a
+    damaged document."""
+    whole = StructType([*traffic_schema().fields, StructField(CORRUPT, StringType())])
+    return docs.withColumn(doc_col, F.from_json(F.col(doc_col), whole, {"columnNameOfCorruptRecord": CORRUPT}))
+
+
+B2B_SESSIONS = "trafficByAsin.browserSessionPercentageB2B"
+
+
+def flatten_traffic(docs: DataFrame, run_date: str, doc_col: str = "doc", file_col: str = "file_name",
+                    b2b_session_percent: bool = False, file_date_only: str | None = None) -> DataFrame:
     """J-TRAFFIC: sales-and-traffic documents -> one row per item, nested
     fields as dotted column names, 15 percentages as '%' text, plus year,
     file date (from the file name), file name and run date (40 columns).
 
     ``docs`` holds parsed documents (``doc`` a struct of ``traffic_schema``)
-    or JSON text, which is parsed with that schema."""
+    or JSON text, which is parsed with that schema; damaged documents give no
+    rows. ``file_date_only`` publishes the report of one day.
+    ``b2b_session_percent`` also writes the B2B share of browser sessions with
+    '%', which the published layout keeps as a number."""
     if dict(docs.dtypes).get(doc_col) == "string":
-        docs = docs.withColumn(doc_col, F.from_json(F.col(doc_col), traffic_schema()))
+        docs = parsed_traffic(docs, doc_col).where(F.col(f"{doc_col}.{CORRUPT}").isNull())
     items = docs.select(file_col, F.explode(f"{doc_col}.salesAndTrafficByAsin").alias("i"))
     file_date = F.regexp_extract(F.col(file_col), r"(\d{4}-\d{2}-\d{2})", 1)
+    if file_date_only:
+        # Only this day's report is published, of several that were made.
+        items = items.where(file_date == file_date_only)
     cols = []
     for name in TRAFFIC_OUT[:-4]:
         e = F.col("i." + name)
-        if name in TRAFFIC_PERCENT:
+        if name in TRAFFIC_PERCENT or (b2b_session_percent and name == B2B_SESSIONS):
             e = percent_text(e)
         cols.append(e.alias(name))
     return items.select(*cols, F.split_part(file_date, F.lit("-"), F.lit(1)).alias("year"),
@@ -182,6 +201,48 @@ def render_traffic_docs(li: DataFrame) -> DataFrame:
     return li.select(fname.alias("file_name"), doc.alias("doc"))
 
 
+def land_traffic(spark: SparkSession, sf_dir: str) -> str:
+    """The documents of a month as one file, an array of items over many
+    lines; of every fifth month the download was cut off, of February 1995 a
+    number came as text."""
+    docs = render_traffic_docs(table(spark, sf_dir, "lineitem"))
+    month = F.concat(F.regexp_extract("file_name", r"(\d{4}-\d{2})", 1), F.lit("-01"))
+    items = F.regexp_extract("doc", r'(?s)^\{"salesAndTrafficByAsin":\[(.*)\]\}$', 1)
+    body = docs.select(month.alias("day"), items.alias("line")).where("line <> ''")
+    # The first item is empty, so each other one starts with a comma.
+    wrong = F.lit('{"parentAsin":"P","trafficByAsin":{"sessions":"many"}}')
+    head = body.select("day").distinct().select("day", F.lit(0).alias("part"), F.when(
+        F.col("day") == "1995-02-01", F.concat(F.lit('{"salesAndTrafficByAsin":['), wrong)).otherwise(
+        F.lit('{"salesAndTrafficByAsin":[{}')).alias("line"))
+    tail = head.where("CAST(substring(day, 6, 2) AS INT) % 5 <> 0").select("day", F.lit(2).alias("part"), F.lit("]}").alias("line"))
+    lines = head.unionByName(body.select("day", F.lit(1).alias("part"), F.concat(F.lit(","), F.col("line")).alias("line"))).unionByName(tail)
+    return land_files(lines.withColumn("file", F.concat(F.lit("business_report_"), F.col("day"), F.lit(".json"))),
+                      scratch_path(spark, "traffic"), [F.col("part"), F.col("line")])
+
+
+def _landed_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_json_documents(spark, land_traffic(spark, sf_dir), traffic_schema())
+
+
+def q_traffic_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-TRAFFIC over landed monthly documents; damaged ones give no rows. The
+    B2B share of browser sessions is written with '%' too."""
+    docs = _landed_traffic(spark, sf_dir).where(F.col(CORRUPT).isNull()).select(
+        "file_name", F.struct("salesAndTrafficByAsin").alias("doc"))
+    return flatten_traffic(docs, RUN_DATE, b2b_session_percent=True).where("childAsin IS NOT NULL")
+
+
+def q_traffic_file_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of several reports made, only one day's is published."""
+    docs = render_traffic_docs(table(spark, sf_dir, "lineitem"))
+    return flatten_traffic(docs, RUN_DATE, file_date_only="1996-03-13").select("parentAsin", "childAsin", "file_date", "file_name")
+
+
+def q_traffic_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged documents: file, how the text begins, the reason."""
+    return json_rejects(_landed_traffic(spark, sf_dir), ["file_name"], sample_chars=28).drop("n_chars")
+
+
 def q_traffic_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_traffic(render_traffic_docs(table(spark, sf_dir, "lineitem")), RUN_DATE)
 
@@ -238,6 +299,20 @@ def q_file_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_files(files)
 
 
+def q_file_dedup_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers of each nation as a file in two folders; the second copy
+    of odd nations has its names in lower case. Of files with the same size and
+    digest the first by path stays. Contents are streamed, not rows."""
+    c = table(spark, sf_dir, "customer")
+    lower = (F.col("folder") == "b") & (F.col("c_nationkey") % 2 == 1)
+    lines = c.select("c_custkey", "c_nationkey", "c_name", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("folder")).select(
+        F.concat("folder", F.lit("/nation "), F.col("c_nationkey"), F.lit(".csv")).alias("file"), "c_custkey",
+        F.when(lower, F.lower("c_name")).otherwise(F.col("c_name")).alias("line"))
+    folder = land_files(lines, scratch_path(spark, "nations"), [F.col("c_custkey")])
+    files = digests(spark, f"{folder}/*", glob="*.csv")
+    return distinct_files(files).select(F.array_join(F.slice(F.split("path", "/"), -2, 2), "/").alias("path"), "length", "md5")
+
+
 def land_extracts(spark: SparkSession, sf_dir: str) -> str:
     """Each event type as an extract of 'day,user' lines with a header, all in
     a folder of their own under the same name; the purchase lines hold accented
@@ -304,7 +379,7 @@ def _inventory_sql() -> str:
             "\nFROM (SELECT *, DATE '2024-01-01' + CAST(c_custkey % 300 AS INTEGER) AS d FROM customer) c")
 
 
-def _traffic_sql() -> str:
+def _traffic_sql(landed: bool = False) -> str:
     ints = {"mobileAppSessions": "q", "browserSessions": "q + 1", "sessions": "2 * q + 1",
             "mobileAppPageViews": "2 * q", "browserPageViews": "3 * q", "pageViews": "5 * q"}
     val = {}
@@ -323,7 +398,7 @@ def _traffic_sql() -> str:
             e = "'C' || l_partkey || '-' || l_suppkey || sfx"
         elif name.startswith("trafficByAsin."):
             e = f"CASE WHEN l_linenumber % 4 <> 0 THEN {val[name]} END"
-            if name in TRAFFIC_PERCENT:
+            if name in TRAFFIC_PERCENT or (landed and name == B2B_SESSIONS):
                 e = f"CAST({e} AS VARCHAR) || '%'"
         else:
             e = {"salesByAsin.unitsOrdered": "q", "salesByAsin.unitsOrderedB2B": "CAST(0 AS BIGINT)",
@@ -335,6 +410,9 @@ def _traffic_sql() -> str:
     cols += ["strftime(l_shipdate, '%Y') AS year", "strftime(l_shipdate, '%Y-%m-%d') AS file_date",
              "'business_report_' || strftime(l_shipdate, '%Y-%m-%d') || '.json' AS file_name",
              f"'{RUN_DATE}' AS run_date"]
+    if landed:
+        cols = [c.replace("strftime(l_shipdate, '%Y-%m-%d')", "strftime(l_shipdate, '%Y-%m-01')") for c in cols]
+    where = "WHERE month(l_shipdate) % 5 <> 0 AND strftime(l_shipdate, '%Y-%m') <> '1995-02'" if landed else ""
     return f"""
 WITH items AS (
   SELECT *, CAST(l_quantity AS BIGINT) AS q, '' AS sfx FROM lineitem WHERE l_linenumber <> 7
@@ -342,7 +420,7 @@ WITH items AS (
   SELECT *, CAST(l_quantity AS BIGINT) AS q, '-b' AS sfx FROM lineitem
   WHERE l_linenumber <> 7 AND l_linenumber % 3 = 0)
 SELECT {", ".join(cols)}
-FROM items"""
+FROM items {where}"""
 
 
 _MERGED_SQL = """
@@ -368,6 +446,13 @@ ORACLE = {
 SELECT DISTINCT 'inventory_broken.csv' AS file_name, 'export failed' AS first_line, '{NO_DELIMITER}' AS reason
 FROM customer WHERE c_custkey % 10 = 0 AND c_custkey < 5000""",
     "traffic_flatten": _traffic_sql(),
+    "traffic_landed": _traffic_sql(landed=True),
+    "traffic_file_date": f"SELECT parentAsin, childAsin, file_date, file_name FROM ({_traffic_sql()}) t WHERE file_date = '1996-03-13'",
+    "traffic_rejects": f"""
+SELECT DISTINCT 'business_report_' || strftime(l_shipdate, '%Y-%m-01') || '.json' AS file_name,
+  CASE WHEN strftime(l_shipdate, '%Y-%m') = '1995-02' THEN '{{"salesAndTrafficByAsin":[{{"' ELSE '{{"salesAndTrafficByAsin":[{{}}' END AS text,
+  CASE WHEN strftime(l_shipdate, '%Y-%m') = '1995-02' THEN '{DAMAGED}' ELSE '{UNREADABLE}' END AS reason
+FROM lineitem WHERE l_linenumber <> 7 AND (month(l_shipdate) % 5 = 0 OR strftime(l_shipdate, '%Y-%m') = '1995-02')""",
     "encoding_fallback": """
 SELECT doc_id, text,
   CASE WHEN lang IN ('fr', 'de') AND regexp_matches(text, '[^\\x00-\\x7F]') THEN 'ISO-8859-1'
@@ -384,6 +469,13 @@ FROM customer""",
 SELECT min(path) AS path, length, md5
 FROM (SELECT 'doc_' || doc_id || '.txt' AS path, CAST(octet_length(encode(text)) AS BIGINT) AS length,
              md5(text) AS md5 FROM documents) f
+GROUP BY length, md5""",
+    "file_dedup_landed": """
+SELECT min(path) AS path, length, md5 FROM (
+  SELECT path, octet_length(encode(text)) AS length, md5(text) AS md5 FROM (
+    SELECT f || '/nation ' || c_nationkey || '.csv' AS path,
+      string_agg(CASE WHEN f = 'b' AND c_nationkey % 2 = 1 THEN lower(c_name) ELSE c_name END || chr(10), '' ORDER BY c_custkey) AS text
+    FROM customer, (VALUES ('a'), ('b')) v(f) GROUP BY f, c_nationkey) t) u
 GROUP BY length, md5""",
     "line_merge": _MERGED_SQL + """
 SELECT file AS extract, 'extract.csv' AS file_name, line_no, line FROM m""",
@@ -395,10 +487,14 @@ QUERIES = {
     "delimiter_infer": q_delimiter_infer,
     "delimiter_rejects": q_delimiter_rejects,
     "traffic_flatten": q_traffic_flatten,
+    "traffic_landed": q_traffic_landed,
+    "traffic_file_date": q_traffic_file_date,
+    "traffic_rejects": q_traffic_rejects,
     "encoding_fallback": q_encoding_fallback,
     "csv_roundtrip": q_csv_roundtrip,
     "conform_layout": q_conform_layout,
     "file_dedup": q_file_dedup,
+    "file_dedup_landed": q_file_dedup_landed,
     "line_merge": q_line_merge,
     "merged_text": q_merged_text,
 }

@@ -14,6 +14,8 @@ from ledgerlens.functions import (
 from ledgerlens.functions.dates import run_window, weekday_list
 from ledgerlens.layouts import SPANISH_MONTHS
 from ledgerlens.plans.common import table
+from ledgerlens.session import scratch_path
+from ledgerlens.sources.job_lists import jobs_of, read_job_lists, write_job_lists
 
 _KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -120,6 +122,21 @@ def q_weekday_route(spark: SparkSession, sf_dir: str) -> DataFrame:
                     weekday_list("o_orderdate").alias("list_file"))
 
 
+def q_weekday_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected jobs of some run dates: job lists lie in a folder per
+    weekday, and only the folders of the dates' weekdays are read."""
+    c = table(spark, sf_dir, "customer")
+    lists = scratch_path(spark, "job-lists")
+    jobs = c.select(F.concat(F.lit("script_"), F.col("c_custkey")).alias("scriptname"),
+                    F.when(F.col("c_custkey") % 3 == 0, "weekly").otherwise("daily").alias("frequency"),
+                    F.explode(F.when(F.col("c_custkey") % 3 == 0, F.array((F.col("c_nationkey") % 7).cast("int")))
+                              .otherwise(F.sequence(F.lit(0), F.lit(6)))).alias("weekday"))
+    write_job_lists(jobs, lists)
+    days = table(spark, sf_dir, "orders").where("year(o_orderdate) = 1995 AND month(o_orderdate) = 3 AND day(o_orderdate) <= 3")
+    return jobs_of(days.select(F.to_date("o_orderdate").alias("run_date")).distinct(),
+                   read_job_lists(spark, lists, "scriptname string, frequency string"))
+
+
 def q_percent_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers -> '%' text; report file name and year split from text."""
     li = table(spark, sf_dir, "lineitem")
@@ -180,6 +197,11 @@ FROM orders""",
 SELECT o_orderkey, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday,
   'list_files_' || (isodow(o_orderdate) - 1) || '.csv' AS list_file
 FROM orders""",
+    "weekday_jobs": """
+SELECT DISTINCT CAST(o_orderdate AS DATE) AS run_date, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday, 'script_' || c_custkey AS scriptname,
+  CASE WHEN c_custkey % 3 = 0 THEN 'weekly' ELSE 'daily' END AS frequency
+FROM orders JOIN customer ON c_custkey % 3 <> 0 OR c_nationkey % 7 = isodow(o_orderdate) - 1
+WHERE year(o_orderdate) = 1995 AND month(o_orderdate) = 3 AND day(o_orderdate) <= 3""",
     "percent_text": f"""
 SELECT {_K}, CAST(l_discount AS VARCHAR) || '%' AS discount_pct, CAST(l_tax AS VARCHAR) || '%' AS tax_pct,
   CAST(l_extendedprice AS VARCHAR) || '%' AS price_pct,
@@ -197,5 +219,6 @@ QUERIES = {
     "tz_pacific": q_tz_pacific,
     "run_window": q_run_window,
     "weekday_route": q_weekday_route,
+    "weekday_jobs": q_weekday_jobs,
     "percent_text": q_percent_text,
 }

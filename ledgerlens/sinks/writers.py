@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ledgerlens.sinks.publication import read_published, replace_partitions
+from ledgerlens.sources.objects import copied, list_files
+
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
               single_file: bool = False, mode: str = "overwrite") -> str:
@@ -55,21 +59,35 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
     return any("=" in s.getPath().getName() for s in files.listStatus(root))
 
 
+ZONE_FILES = "name string, length bigint, md5 string, object string, run_date string, zone string"
+
+
 def publish_zones(spark: SparkSession, landing: str, path: str, run_date: str,
-                  modified: str = "mod") -> str:
-    """Publish a landing folder's text files in one pass: those whose name
-    starts with ``modified`` to the zone 'modified', the others to 'raw',
-    each below the run date and the file's name. A repeated run replaces its
-    own files only."""
-    name = F.regexp_extract(F.regexp_replace("_metadata.file_path", "^.*" + re.escape(landing.rstrip("/").rsplit("/", 1)[-1]) + "/", ""),
-                            "^[^/]+", 0)
-    lines = spark.read.option("recursiveFileLookup", True).text(landing).select("value", name.alias("file"))
-    lines = lines.withColumns({
-        "zone": F.when(F.col("file").startswith(modified), F.lit("modified")).otherwise(F.lit("raw")),
-        "run_date": F.lit(run_date)})
-    (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("zone", "run_date", "file").text(path))
-    return path
+                  modified: str = "mod") -> DataFrame:
+    """Publish a landing folder's files as they are, byte by byte: those whose
+    name starts with ``modified`` to the zone 'modified', the others to 'raw'.
+
+    Objects are copied by tasks and compared by digest; the run's listing of
+    each zone then replaces the one before (``replace_partitions``), so a file
+    gone from the landing folder is gone from the zone, and readers see the
+    files of one run. Returns ``read_zones``."""
+    run = uuid.uuid4().hex
+    root = landing.rstrip("/").rsplit("/", 1)[-1]
+    name = F.regexp_replace("path", "^.*/" + re.escape(root) + "/", "")
+    files = list_files(spark, landing, recursive=True).select(
+        "uri", name.alias("name"), F.concat(F.lit(f"{path.rstrip('/')}/objects/{run}/"), name).alias("target"))
+    zone = F.when(F.element_at(F.split("name", "/"), -1).startswith(modified), "modified").otherwise("raw")
+    rows = copied(files).select("name", "length", "md5", F.col("target").alias("object"),
+                                F.lit(run_date).alias("run_date"), zone.alias("zone"))
+    zones = spark.createDataFrame([(run_date, "raw"), (run_date, "modified")], "run_date string, zone string")
+    replace_partitions(rows, f"{path.rstrip('/')}/listing", zones, ("run_date", "zone"))
+    return read_zones(spark, path)
+
+
+def read_zones(spark: SparkSession, path: str) -> DataFrame:
+    """(name, length, md5, object, run_date, zone) of the files in force."""
+    schema = StructType.fromDDL(ZONE_FILES)
+    return read_published(spark, f"{path.rstrip('/')}/listing", schema, ("run_date", "zone"))
 
 
 MARKER_SCHEMA = StructType([

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlens.functions.text import strip_text
 from ledgerlens.layouts import DELIMITER_CANDIDATES
@@ -190,12 +190,39 @@ def read_text_files(spark: SparkSession, paths: str | Sequence[str],
                         decode_fallback(F.col("content")).alias("text"))
 
 
+#: Column of a JSON row that could not be read whole.
+CORRUPT = "_corrupt_record"
+
+
 def read_json_documents(spark: SparkSession, paths: str | Sequence[str],
                         schema: StructType, multiline: bool = True,
                         glob: str | None = "*.json") -> DataFrame:
-    """JSON documents with an explicit schema; absent fields read as NULL."""
-    reader = spark.read.schema(schema).option("multiLine", multiline)
+    """JSON documents with an explicit schema; absent fields read as NULL.
+
+    (columns of ``schema``, _corrupt_record, file_path, file_name, _begun):
+    _corrupt_record holds the text of a document that is damaged (cut off, or
+    with a value of another type), of which nothing else is kept; _begun tells
+    whether the reader got some of it. See ``json_rejects``."""
+    whole = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(whole).option("multiLine", multiline).option("columnNameOfCorruptRecord", CORRUPT)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.json(list(paths) if not isinstance(paths, str) else paths)
-    return df.withColumn("file_name", F.col("_metadata.file_name"))
+    df = df.withColumns({"file_path": plain_path(F.col("_metadata.file_path")), "file_name": plain_path(F.col("_metadata.file_name"))})
+    begun = F.lit(False)
+    for f in schema.fields:
+        begun = begun | F.col(f"`{f.name}`").isNotNull()
+    # Spark may give the fields before the damage; a part of a report is none.
+    return df.withColumn("_begun", begun).withColumns({f.name: F.when(F.col(CORRUPT).isNull(), F.col(f"`{f.name}`")) for f in schema.fields})
+
+
+DAMAGED = "a value of another type, or damage after the first fields"
+UNREADABLE = "cut off, or no JSON document"
+
+
+def json_rejects(documents: DataFrame, keys: Sequence[str] = ("file_path", "file_name"), sample_chars: int = 200) -> DataFrame:
+    """(``keys``, n_chars, text, reason) of the damaged documents among those
+    of ``read_json_documents``; ``text`` is how they begin."""
+    return documents.where(F.col(CORRUPT).isNotNull()).select(
+        *keys, F.length(CORRUPT).cast("bigint").alias("n_chars"), F.substring(CORRUPT, 1, sample_chars).alias("text"),
+        F.when(F.col("_begun"), F.lit(DAMAGED)).otherwise(F.lit(UNREADABLE)).alias("reason"))
