@@ -81,13 +81,15 @@ def parse_first(c, patterns: list[str]) -> Column:
 # '25-10-2024' can only be 25 Oct. A text is brought to one spelling first
 # (see iso_date), so commas, zones, fractions and 'T' need no shapes here.
 ISO_DATE_PATTERNS = [
-    "M-d-yyyy", "d-M-yyyy", "yyyy-M-d", "M-d-yy", "d-M-yy",
-    "yyyyMMdd", "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy",
+    "M-d-yyyy", "d-M-yyyy", "yyyy-M-d", "yyyy-d-M", "yyyyMMdd", "MMM d yyyy", "MMMM d yyyy",
+    "d MMM yyyy", "d MMMM yyyy", "yyyy MMM d", "yyyy MMMM d",
 ]
+# Two digits of a year at the end of a date that does not begin with one.
+_LATE_YEAR, _EARLY_YEAR = r"^(?!\d{4})(?<y>.+[- ])([0-6]\d|7[0-3])$", r"^(?!\d{4})(?<y>.+[- ])(7[4-9]|[89]\d)$"
 
 # A time of day after a date: hours, minutes, perhaps seconds and a fraction,
-# AM or PM, and a zone name or offset.
-_TIME = (r"[T\s]+\d{1,2}(?::\d{1,2}){1,2}(?:[.,]\d{1,9})?(?:\s*[AaPp]\.?[Mm]\.?)?"
+# AM or PM, or an hour with AM or PM alone, and a zone name or offset.
+_TIME = (r"[T\s]+\d{1,2}(?:(?::\d{1,2}){1,2}(?:[.,]\d{1,9})?(?:\s*[AaPp]\.?[Mm]\.?)?|\s*[AaPp]\.?[Mm]\.?)"
          r"(?:\s*(?:Z|[A-Z]{2,5}|(?:GMT|UTC)?[+-]\d{1,2}(?::?\d{2})?))?$")
 _WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\.?,?\s+"
 
@@ -98,10 +100,19 @@ def iso_date(c, patterns: list[str] = ISO_DATE_PATTERNS) -> Column:
     The calendar date as written counts: a time of day, zone or weekday is
     cut off, '.' and '/' separate as '-' does, and commas and runs of blanks
     count as one blank ('Oct 20, 2024', '20 Oct 2024 10:00',
-    '2024-10-20T10:11:12+00:00')."""
+    '2024-10-20T10:11:12+00:00'). Month names may stand between '-' or '/'
+    ('5-Oct-24'), September may be 'Sept', and days may be ordinals. A year of
+    two digits is one from 1974 to 2073."""
     text = F.regexp_replace(F.regexp_replace(_c(c), _TIME, ""), _WEEKDAY, "")
-    text = F.regexp_replace(F.regexp_replace(text, r"(?<=\d)[./](?=\d)", "-"), r"[,\s]+|\.\s*(?=\d)", " ")
-    return F.date_format(parse_first(F.btrim(text), patterns), "yyyy-MM-dd")
+    # Only texts with a letter can hold a month name or an ordinal.
+    named = F.regexp_replace(text, r"(?i)(?<=\d)(?:st|nd|rd|th)\b", "")
+    named = F.regexp_replace(F.regexp_replace(named, r"(?i)\bsept\b", "Sep"), r"[-/.]+", " ")
+    text = F.when(text.rlike("[A-Za-z]"), named).otherwise(F.regexp_replace(text, r"(?<=\d)[./](?=\d)", "-"))
+    text = F.btrim(F.regexp_replace(text, r"[,\s]+|\.\s*(?=\d)", " "))
+    text = F.regexp_replace(F.regexp_replace(text, _LATE_YEAR, "${y}20$2"), _EARLY_YEAR, "${y}19$2")
+    # The cleaned text is bound to a name: each pattern would spell it out
+    # again, and Spark does not share it across the branches of COALESCE.
+    return F.element_at(F.transform(F.array(text), lambda t: F.date_format(parse_first(t, patterns), "yyyy-MM-dd")), 1)
 
 
 # Trailing zone token: an abbreviation (PDT, UTC), or an offset (GMT-7); an

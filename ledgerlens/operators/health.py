@@ -57,11 +57,14 @@ def thresholds(spark: SparkSession, hours: Sequence[tuple[str, int]] = OVERDUE_H
 
 def pending_interval(spark: SparkSession, expected: DataFrame, done: DataFrame, now: str,
                      run_date: str, hours: Sequence[tuple[str, int]] = OVERDUE_HOURS,
-                     gate: str | None = INTERVAL_GATE) -> DataFrame:
+                     gate: str | None = INTERVAL_GATE, latest_only: bool = False) -> DataFrame:
     """Jobs that run several times a day and whose last end is more than the
     frequency's hours before their scheduled time (the clock when none is
     set), or that never ended. A set schedule time is a time of day on the
-    run date. Before ``gate`` ('HH:mm') nothing is checked."""
+    run date. Before ``gate`` ('HH:mm') nothing is checked. Every completion of
+    a job is compared, or with ``latest_only`` its last one."""
+    if latest_only:
+        done = done.groupBy("scriptname").agg(F.max("endtime").alias("endtime"), F.max_by("freq", "endtime").alias("freq"))
     if gate is not None and now[11:16] <= gate:
         return expected.select(*PENDING).where(F.lit(False))
     sched = F.coalesce(

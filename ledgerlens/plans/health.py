@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.layouts import NO_PENDING_MESSAGE, OVERDUE_HOURS, PENDING_FIELD_SEP, PENDING_MESSAGE_HEAD
+from ledgerlens.layouts import NO_PENDING_MESSAGE, OVERDUE_HOURS, PENDING_FIELD_SEP, PENDING_LINE_SEP, PENDING_MESSAGE_HEAD
 from ledgerlens.operators.health import (
-    completion_records, pending_all, pending_daily, pending_interval, pending_messages,
+    completion_records, message_text, pending_all, pending_daily, pending_interval, pending_messages,
 )
 from ledgerlens.plans.common import RUN_DATE, RUN_TS, table
 
@@ -88,6 +88,17 @@ def q_job_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending_messages(_pending(spark, sf_dir), RUN_TS)
 
 
+def q_job_message_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notification as the one text that is sent."""
+    return message_text(pending_messages(_pending(spark, sf_dir), RUN_TS))
+
+
+def q_job_pending_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval jobs whose last completion is overdue: one row a job."""
+    expected, done = _inputs(spark, sf_dir)
+    return pending_interval(spark, expected, done, RUN_TS, RUN_DATE, latest_only=True)
+
+
 def q_job_message_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message at a quiet time when no job is pending: of the pending
     jobs only those without a script name are asked for, and there are none."""
@@ -133,6 +144,13 @@ interval_jobs AS (
      OR d.endtime IS NULL)
 """
 
+_MESSAGE_SQL = "WITH " + _EXPECTED_SQL + """,
+p AS (SELECT * FROM daily UNION ALL SELECT * FROM interval_jobs)
+SELECT '""" + PENDING_MESSAGE_HEAD.replace("\n", "' || chr(10) || '") + """' AS head,
+  coalesce(scriptname, 'nan') || '""" + PENDING_FIELD_SEP + """' || coalesce(schedule_time, 'nan') || '""" + PENDING_FIELD_SEP + """' ||
+  coalesce(frequency, 'nan') || '""" + PENDING_FIELD_SEP + """' || coalesce(scriptpath, 'nan') AS line
+FROM p"""
+
 ORACLE = {
     "job_completion": """
 WITH r AS (
@@ -148,12 +166,13 @@ FROM r""",
     "job_pending_daily": "WITH " + _EXPECTED_SQL + "SELECT * FROM daily",
     "job_pending_interval": "WITH " + _EXPECTED_SQL + "SELECT * FROM interval_jobs",
     "job_pending_all": "WITH " + _EXPECTED_SQL + "SELECT * FROM daily UNION ALL SELECT * FROM interval_jobs",
-    "job_message": "WITH " + _EXPECTED_SQL + """,
-p AS (SELECT * FROM daily UNION ALL SELECT * FROM interval_jobs)
-SELECT '""" + PENDING_MESSAGE_HEAD.replace("\n", "' || chr(10) || '") + """' AS head,
-  coalesce(scriptname, 'nan') || '""" + PENDING_FIELD_SEP + """' || coalesce(schedule_time, 'nan') || '""" + PENDING_FIELD_SEP + """' ||
-  coalesce(frequency, 'nan') || '""" + PENDING_FIELD_SEP + """' || coalesce(scriptpath, 'nan') AS line
-FROM p""",
+    "job_message": _MESSAGE_SQL,
+    "job_message_text": f"""
+SELECT head || string_agg(line, '{PENDING_LINE_SEP[:-1]}' || chr(10) ORDER BY line) AS message FROM ({_MESSAGE_SQL}) m GROUP BY head""",
+    "job_pending_latest": "WITH " + _EXPECTED_SQL.replace("thr AS (", "last AS (SELECT scriptname, max(endtime) AS endtime FROM done GROUP BY scriptname), thr AS (")
+        .replace("""  FROM expected e JOIN thr USING (frequency)
+  LEFT JOIN done d""", """  FROM expected e JOIN thr USING (frequency)
+  LEFT JOIN last d""") + "SELECT * FROM interval_jobs",
     "job_message_empty": "WITH " + _EXPECTED_SQL + """
 SELECT CAST(NULL AS VARCHAR) AS head, '""" + NO_PENDING_MESSAGE + """' AS line
 WHERE NOT EXISTS (SELECT * FROM daily WHERE scriptname IS NULL)""",
@@ -167,5 +186,7 @@ QUERIES = {
     "job_pending_all": q_job_pending_all,
     "job_message": q_job_message,
     "job_message_empty": q_job_message_empty,
+    "job_message_text": q_job_message_text,
+    "job_pending_latest": q_job_pending_latest,
     "job_pending_gate": q_job_pending_gate,
 }

@@ -80,7 +80,8 @@ def q_date_mdy(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     d = F.col("o_orderdate")
     d = d + F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 24).cast("int"), (F.col("o_orderkey") % 60).cast("int"))
-    k = F.col("o_orderkey") % 12
+    k = F.col("o_orderkey") % 19
+    ordinal = F.when(F.dayofmonth(d).isin(1, 21, 31), "st").when(F.dayofmonth(d).isin(2, 22), "nd").when(F.dayofmonth(d).isin(3, 23), "rd").otherwise("th")
     txt = (F.when(k == 0, F.date_format(d, "MM/dd/yyyy"))
            .when(k == 1, F.date_format(d, "dd.MM.yyyy"))
            .when(k == 2, F.date_format(d, "yyyy-MM-dd"))
@@ -92,6 +93,13 @@ def q_date_mdy(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(k == 8, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'"))
            .when(k == 9, F.date_format(d, "EEE, d MMM yyyy HH:mm:ss 'GMT'"))
            .when(k == 10, F.date_format(d, "MMMM d, yyyy h:mm:ss a 'PDT'"))
+           .when(k == 11, F.date_format(d, "d-MMM-yy"))
+           .when(k == 12, F.date_format(d, "MMM-dd-yyyy"))
+           .when(k == 13, F.replace(F.date_format(d, "MMM d yyyy"), F.lit("Sep"), F.lit("Sept")))
+           .when(k == 14, F.concat(F.dayofmonth(d).cast("string"), ordinal, F.date_format(d, " MMMM yyyy")))
+           .when(k == 15, F.date_format(d, "MM-dd-yyyy ha"))
+           .when(k == 16, F.date_format(d, "yyyy-dd-MM"))
+           .when(k == 17, F.date_format(d, "dd/MMM/yyyy"))
            .otherwise(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss")))
     return o.select("o_orderkey", iso_date(txt).alias("Date"))
 
@@ -175,11 +183,11 @@ SELECT o_orderkey,
 FROM orders""",
     "date_mdy": """
 SELECT o_orderkey,
-  CASE o_orderkey % 12
-    WHEN 1 THEN CASE WHEN day(o_orderdate) <= 12
+  CASE
+    WHEN o_orderkey % 19 IN (1, 16) THEN CASE WHEN day(o_orderdate) <= 12
                      THEN strftime(make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)), '%Y-%m-%d')
                      ELSE strftime(o_orderdate, '%Y-%m-%d') END
-    WHEN 3 THEN NULL
+    WHEN o_orderkey % 19 = 3 THEN NULL
     ELSE strftime(o_orderdate, '%Y-%m-%d') END AS "Date"
 FROM orders""",
     "tz_pacific": """

@@ -2,11 +2,14 @@
 
 Per device the state (current level, samples seen, sample index of the
 current alert episode's start) is kept between micro-batches with
-``applyInPandasWithState``. Within a batch a device's samples are handled as
-arrays (forward fill of decisive levels), not row by row. Samples of one
-device are assumed to arrive in time order across batches, as a sampler
-emits them; within a batch they are sorted. A device's group holds what the
-source admits per micro-batch: give the source a trigger limit
+``applyInPandasWithState``. A device's samples are handled as arrays (forward
+fill of decisive levels), not row by row.
+
+``hysteresis_stream`` takes samples that arrive in time order, as one sampler
+emits them (within a batch they are sorted), and answers at once.
+``ordered_hysteresis_stream`` takes samples in any order within a delay: it
+holds them in the state until the watermark has passed them. A device's group
+holds what the source admits per micro-batch: give the source a trigger limit
 (``maxFilesPerTrigger`` or ``maxBytesPerTrigger``), which delays data but
 drops none. A device is a name or a number, of the input's type.
 """
@@ -18,36 +21,43 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerlens.layouts import ALERT_ABOVE, NORMAL_AT_OR_BELOW, REMIND_EVERY
 
 STATE_SCHEMA = "level string, seen long, start long"
+START = ("NORMAL", 0, -1)
+
+
+def advance(state: tuple[str, int, int], pct: np.ndarray, hi: float, lo: float, every: int) -> tuple[tuple, np.ndarray]:
+    """The state after samples in time order, and each sample's event (or
+    None)."""
+    if not len(pct):
+        return state, np.zeros(0, object)
+    level, seen, start = state
+    decisive = pd.Series(np.where(pct > hi, "ALERT", np.where(pct <= lo, "NORMAL", None)), dtype="object")
+    cur = decisive.ffill().fillna(level).to_numpy()
+    prev = np.concatenate([[level], cur[:-1]])
+    idx = seen + np.arange(1, len(pct) + 1)
+    enter = (cur == "ALERT") & (prev == "NORMAL")
+    st = pd.Series(np.where(enter, idx, np.nan)).ffill().fillna(start).to_numpy()
+    since = idx - st
+    remind = (cur == "ALERT") & (st >= 0) & (since > 0) & (since % every == 0)
+    back = (cur == "NORMAL") & (prev == "ALERT")
+    event = np.where(enter, "ALERT", np.where(back, "NORMAL", np.where(remind, "REMINDER", None)))
+    return (str(cur[-1]), int(idx[-1]), int(st[-1])), event
 
 
 def _handler(hi: float, lo: float, every: int):
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        level, seen, start = ("NORMAL", 0, -1)
-        if state.exists:
-            level, seen, start = state.get
         pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
         pct = pdf["pct"].to_numpy(dtype="float64")
-        decisive = pd.Series(np.where(pct > hi, "ALERT", np.where(pct <= lo, "NORMAL", None)),
-                             dtype="object")
-        cur = decisive.ffill().fillna(level).to_numpy()
-        prev = np.concatenate([[level], cur[:-1]])
-        idx = seen + np.arange(1, len(pdf) + 1)
-        enter = (cur == "ALERT") & (prev == "NORMAL")
-        st = pd.Series(np.where(enter, idx, np.nan)).ffill().fillna(start).to_numpy()
-        since = idx - st
-        remind = (cur == "ALERT") & (st >= 0) & (since > 0) & (since % every == 0)
-        back = (cur == "NORMAL") & (prev == "ALERT")
-        event = np.where(enter, "ALERT", np.where(back, "NORMAL", np.where(remind, "REMINDER", None)))
-        state.update((str(cur[-1]), int(idx[-1]), int(st[-1])))
+        after, event = advance(state.get if state.exists else START, pct, hi, lo, every)
+        state.update(after)
         mask = event != None  # noqa: E711  (elementwise test on an object array)
-        out = pd.DataFrame({"device": pdf["device"].to_numpy()[mask], "ts": pdf["ts"].to_numpy()[mask],
+        yield pd.DataFrame({"device": pdf["device"].to_numpy()[mask], "ts": pdf["ts"].to_numpy()[mask],
                             "pct": pct[mask], "event": event[mask]})
-        yield out
     return step
 
 
@@ -58,3 +68,51 @@ def hysteresis_stream(samples: DataFrame, hi: float = ALERT_ABOVE, lo: float = N
     return samples.groupBy("device").applyInPandasWithState(
         _handler(hi, lo, every), f"device {kind}, ts timestamp_ntz, pct double, event string", STATE_SCHEMA, "append",
         GroupStateTimeout.NoTimeout)
+
+
+#: Samples that wait in the state: time in microseconds, number, value.
+WAITING = np.dtype([("ts", "<i8"), ("seq", "<i8"), ("pct", "<f8")])
+
+
+def _ordering_handler(hi: float, lo: float, every: int):
+    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        after, held = START, np.zeros(0, WAITING)
+        if state.exists:
+            *after, raw = state.get
+            held = np.frombuffer(raw, WAITING)
+        new = [held]
+        for pdf in batches:
+            rows = np.empty(len(pdf), WAITING)
+            rows["ts"] = pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+            rows["seq"], rows["pct"] = pdf["seq"].to_numpy(), pdf["pct"].to_numpy(dtype="float64")
+            new.append(rows)
+        held = np.sort(np.concatenate(new), order=["ts", "seq"])
+        # Nothing at or before the watermark can come any more.
+        passed = state.getCurrentWatermarkMs()
+        ready = int(np.searchsorted(held["ts"], passed * 1000, "right"))
+        done, held = held[:ready], held[ready:]
+        after, event = advance(tuple(after), done["pct"], hi, lo, every)
+        state.update((*after, held.tobytes()))
+        if len(held):
+            state.setTimeoutTimestamp(max(passed + 1, -(-int(held["ts"][0]) // 1000)))
+        mask = event != None  # noqa: E711  (elementwise test on an object array)
+        yield pd.DataFrame({"device": [key[0]] * int(mask.sum()), "ts": done["ts"][mask].astype("datetime64[us]"),
+                            "pct": done["pct"][mask], "event": event[mask]})
+    return step
+
+
+def ordered_hysteresis_stream(samples: DataFrame, delay: str, hi: float = ALERT_ABOVE, lo: float = NORMAL_AT_OR_BELOW,
+                              every: int = REMIND_EVERY) -> DataFrame:
+    """Streaming (device, ts, seq, pct) in any order -> (device, ts, pct,
+    event) as if the samples had come in order of (ts, seq).
+
+    A sample may come up to ``delay`` after a later one was seen; the stream
+    waits that long before it answers, by the samples' own time, also for
+    devices that fall silent. Later ones are left out and counted by the
+    stream's progress (numRowsDroppedByWatermark). The state of a device holds
+    its samples of the last ``delay``. ``ts`` is taken as UTC."""
+    kind = samples.schema["device"].dataType.simpleString()
+    timed = samples.select("device", F.col("ts").cast("timestamp").alias("ts"), "seq", "pct").withWatermark("ts", delay)
+    return timed.groupBy("device").applyInPandasWithState(
+        _ordering_handler(hi, lo, every), f"device {kind}, ts timestamp_ntz, pct double, event string",
+        f"{STATE_SCHEMA}, held binary", "append", GroupStateTimeout.EventTimeTimeout)

@@ -58,6 +58,29 @@ def test_iso_date(spark):
         assert one(spark, iso_date, text) == "2024-10-20", text
 
 
+def test_iso_date_spellings(spark):
+    for text, want in [("5-Oct-24", "2024-10-05"), ("Oct-05-2024", "2024-10-05"), ("05/Oct/2024", "2024-10-05"),
+                       ("Sept 5 2024", "2024-09-05"), ("Sept. 5, 2024", "2024-09-05"), ("5th October 2024", "2024-10-05"),
+                       ("October 1st, 2024", "2024-10-01"), ("10-11-2024 5pm", "2024-10-11"), ("10-11-2024 5 P.M.", "2024-10-11"),
+                       ("2024-13-05", "2024-05-13"), ("2024-05-13", "2024-05-13"), ("2024 Oct 5", "2024-10-05"),
+                       ("5-Oct-98", "1998-10-05"), ("12/31/73", "2073-12-31"), ("12/31/74", "1974-12-31"),
+                       ("2090-01-02", "2090-01-02"), ("2024-10", None), ("34th October 2024", None), ("Monday", None)]:
+        assert one(spark, iso_date, text) == want, text
+
+
+def test_money_decimal(spark):
+    from decimal import Decimal
+    from ledgerlens.functions.text import decimal_reasons, money_decimal
+    for text, want in [("1234.50", "1234.50"), ("-.5", "-0.50"), ("+7", "7.00"), ("1.005", None), ("1.500", "1.50"),
+                       ("9999999999999999.99", "9999999999999999.99"), ("99999999999999999.99", None), ("1e3", None), ("", None),
+                       ("abc", None), ("0.00000000000000000001", None), ("0.1", "0.10"), ("9" * 60, None)]:
+        got = one(spark, lambda c: money_decimal(c), text)
+        assert got == (None if want is None else Decimal(want)), text
+    why = [one(spark, lambda c, n=n: F.coalesce(*[F.when(h, r) for h, r in decimal_reasons(c)]), t)
+           for n, t in enumerate(("abc", "1.005", "9" * 30, "0.00000000000000000001"))]
+    assert why == ["not a number", "more than two decimals", "too large for decimal(18,2)", "more than two decimals"]
+
+
 def test_zone_handling(spark):
     df = spark.createDataFrame([("Oct 20, 2024 1:05:12 PM PDT",), ("Jul 1, 2024 12:00:00 PM UTC",),
                                 ("Jul 1, 2024 12:00:00 PM GMT-7",), ("Jul 1, 2024 9:00:00 AM",)], "v string")
