@@ -76,23 +76,25 @@ WAITING = np.dtype([("ts", "<i8"), ("seq", "<i8"), ("pct", "<f8")])
 
 def _ordering_handler(hi: float, lo: float, every: int):
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        after, held = START, np.zeros(0, WAITING)
+        after, before, held = START, -(1 << 62), np.zeros(0, WAITING)
         if state.exists:
-            *after, raw = state.get
+            *after, before, raw = state.get
             held = np.frombuffer(raw, WAITING)
         new = [held]
         for pdf in batches:
             rows = np.empty(len(pdf), WAITING)
             rows["ts"] = pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
             rows["seq"], rows["pct"] = pdf["seq"].to_numpy(), pdf["pct"].to_numpy(dtype="float64")
-            new.append(rows)
+            # Its place has passed: answers after it are given already.
+            new.append(rows[rows["ts"] > before])
         held = np.sort(np.concatenate(new), order=["ts", "seq"])
         # Nothing at or before the watermark can come any more.
         passed = state.getCurrentWatermarkMs()
-        ready = int(np.searchsorted(held["ts"], passed * 1000, "right"))
+        before = max(before, passed * 1000)
+        ready = int(np.searchsorted(held["ts"], before, "right"))
         done, held = held[:ready], held[ready:]
         after, event = advance(tuple(after), done["pct"], hi, lo, every)
-        state.update((*after, held.tobytes()))
+        state.update((*after, before, held.tobytes()))
         if len(held):
             state.setTimeoutTimestamp(max(passed + 1, -(-int(held["ts"][0]) // 1000)))
         mask = event != None  # noqa: E711  (elementwise test on an object array)
@@ -108,11 +110,11 @@ def ordered_hysteresis_stream(samples: DataFrame, delay: str, hi: float = ALERT_
 
     A sample may come up to ``delay`` after a later one was seen; the stream
     waits that long before it answers, by the samples' own time, also for
-    devices that fall silent. Later ones are left out and counted by the
-    stream's progress (numRowsDroppedByWatermark). The state of a device holds
+    devices that fall silent. Later ones are left out (most are counted by the
+    stream's progress as numRowsDroppedByWatermark). The state of a device holds
     its samples of the last ``delay``. ``ts`` is taken as UTC."""
     kind = samples.schema["device"].dataType.simpleString()
     timed = samples.select("device", F.col("ts").cast("timestamp").alias("ts"), "seq", "pct").withWatermark("ts", delay)
     return timed.groupBy("device").applyInPandasWithState(
         _ordering_handler(hi, lo, every), f"device {kind}, ts timestamp_ntz, pct double, event string",
-        f"{STATE_SCHEMA}, held binary", "append", GroupStateTimeout.EventTimeTimeout)
+        f"{STATE_SCHEMA}, passed long, held binary", "append", GroupStateTimeout.EventTimeTimeout)
