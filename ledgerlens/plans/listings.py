@@ -55,14 +55,15 @@ def duplicate_counts(mod: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- test render
 
-def render_listing_report(part: DataFrame) -> DataFrame:
+def render_listing_report(part: DataFrame, breaks: bool = False) -> DataFrame:
     """Raw listing rows (all text) from ``part``; every 11th part has no
     asin1, every 7th no channel, every 13th an empty first field, and every 5th
-    an item name with quotes, a tab and line breaks."""
+    an item name with quotes and a tab, with ``breaks`` also line breaks."""
+    odd = '12" "black",\t\n|first "line"\n' if breaks else '12" "black",\t'
     return part.select(
         F.when(F.col("p_partkey") % 13 != 0, F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string"))).alias("seller-sku"),
         F.when(F.col("p_partkey") % 11 != 0, F.col("p_brand")).alias("asin1"),
-        F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit('12" "black",\t\n|first "line"\n'), F.col("p_name")))
+        F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit(odd), F.col("p_name")))
          .otherwise(F.col("p_name")).alias("item-name"),
         F.col("p_retailprice").cast("string").alias("price"),
         F.col("p_size").cast("string").alias("quantity"),
@@ -83,8 +84,8 @@ def read_raw_listings(spark: SparkSession, path: str) -> DataFrame:
     return read_fields(spark, path, RAW_LISTING, "\t")
 
 
-def _published_modified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = render_listing_report(table(spark, sf_dir, "part"))
+def _published_modified(spark: SparkSession, sf_dir: str, breaks: bool = False) -> DataFrame:
+    raw = render_listing_report(table(spark, sf_dir, "part"), breaks)
     raw_path = scratch_path(spark, "listings-raw")
     write_csv(raw, raw_path, sep="\t")
     mod_path = scratch_path(spark, "listings-mod")
@@ -96,6 +97,12 @@ def q_listing_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform_listings(_published_modified(spark, sf_dir), RUN_DATE)
 
 
+def q_listing_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modified listings as they are read back: item names hold tabs, pipes,
+    quotes and line breaks, in the raw and in the published file."""
+    return _published_modified(spark, sf_dir, breaks=True).select("seller-sku", "asin1", "item-name", "product-id", "status")
+
+
 def q_listing_dup_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_duplicates(_published_modified(spark, sf_dir))
 
@@ -115,6 +122,12 @@ WITH l AS (
 """
 
 ORACLE = {
+    "listing_landed": """
+SELECT CASE WHEN p_partkey % 13 <> 0 THEN 'SKU-' || p_partkey END AS "seller-sku",
+  CASE WHEN p_partkey % 11 <> 0 THEN p_brand END AS asin1,
+  CASE WHEN p_partkey % 5 = 0 THEN '12" "black",' || chr(9) || chr(10) || '|first "line"' || chr(10) || p_name ELSE p_name END AS "item-name",
+  'PID' || p_partkey AS "product-id", CASE WHEN p_size % 3 = 0 THEN 'Inactive' ELSE 'Active' END AS status
+FROM part""",
     "listing_dedup": _LISTING_SQL + """
 SELECT "seller-sku", asin1, "product-id", "fulfillment-channel", status,
        CAST(0 AS BIGINT) AS active_flag, '2024-10-21' AS run_date
@@ -135,6 +148,7 @@ GROUP BY is_duplicated
 }
 
 QUERIES = {
+    "listing_landed": q_listing_landed,
     "listing_dedup": q_listing_dedup,
     "listing_dup_split": q_listing_dup_split,
     "listing_dup_counts": q_listing_dup_counts,

@@ -16,13 +16,13 @@ from ledgerlens.layouts import (
     INVENTORY_OUT, TRAFFIC_INT_FIELDS, TRAFFIC_OUT, TRAFFIC_PERCENT, TRAFFIC_PERCENT_FIELDS,
 )
 from ledgerlens.operators import conform, distinct_files, merge_lines, with_constants
-from ledgerlens.operators.delimited import NO_DELIMITER, delimiter_rejects, fields_by_header, infer_delimiters
-from ledgerlens.operators.records import join_records
+from ledgerlens.operators.delimited import FILE_KEY, NO_DELIMITER, delimiter_rejects, fields_by_header, infer_delimiters
 from ledgerlens.plans.common import RUN_DATE, land_files, table
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import write_csv, write_lines
 from ledgerlens.sources import (
-    decode_fallback, digests, file_sizes, json_rejects, read_delimited, read_json_documents, read_lines, read_text_in_order,
+    decode_fallback, digests, file_sizes, json_rejects, read_delimited, read_json_documents, read_lines, read_records,
+    read_text_in_order,
 )
 from ledgerlens.sources.files import CORRUPT, DAMAGED, UNREADABLE
 
@@ -53,11 +53,11 @@ _INV_SRC = {  # ledger column -> customer expression (text)
 }
 
 
-def render_inventory_lines(customer: DataFrame) -> DataFrame:
+def render_inventory_lines(customer: DataFrame, gap: str = " ") -> DataFrame:
     """One ledger file per market segment, each with its own delimiter; the
     FURNITURE file has no Location column and 21 extra columns, 20 of them
-    first, so it is wider than 32; MACHINERY titles hold the delimiter,
-    quotes and a line break; dates come as month-first, day-first, ISO or junk text. One more
+    first, so it is wider than 32; MACHINERY titles hold the delimiter, quotes
+    and ``gap``; dates come as month-first, day-first, ISO or junk text. One more
     file has no delimiter at all."""
     seg = F.col("c_mktsegment")
     k = F.col("c_custkey") % 4
@@ -68,7 +68,7 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
     furn = seg == "FURNITURE"
     vals = [date_txt if n == "Date" else F.expr(_INV_SRC.get(n, "'0'")) for n in names]
     vals[names.index("Title")] = F.when(seg == "MACHINERY", F.concat(
-        F.lit('"Lamp, 12"" black\n'), F.col("c_name"), F.lit('"'))).otherwise(F.col("c_name"))
+        F.lit(f'"Lamp, 12"" black{gap}'), F.col("c_name"), F.lit('"'))).otherwise(F.col("c_name"))
     fv = ([F.lit(f"x{i}") for i in range(20)] + [v for n, v in zip(names, vals) if n != "Location"] + [F.lit("note")])
     hv = [F.lit(n) for n in names]
     hfv = ([F.lit(f"Extra {i}") for i in range(20)] + [F.lit(n) for n in names if n != "Location"]
@@ -85,10 +85,8 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
     header_line = F.expr("array_join(_h, _d)")
     customer = staged
     fname = F.concat(F.lit("inventory_"), F.lower(seg), F.lit(".csv"))
-    # A title's line break makes two lines of the file.
-    rows = customer.select(fname.alias("file_name"), header_line.alias("_header"), furn.alias("_f"), "c_custkey",
-                           F.posexplode(F.split(data_line, "\n")).alias("_part", "line"))
-    rows = rows.withColumn("line_no", 2 * F.col("c_custkey") + 1 + F.col("_part"))
+    rows = customer.select(fname.alias("file_name"), (F.col("c_custkey") + 1).alias("line_no"),
+                           data_line.alias("line"), header_line.alias("_header"), furn.alias("_f"))
     headers = rows.groupBy("file_name").agg(F.first("_header").alias("line")) \
         .select("file_name", F.lit(0).cast("bigint").alias("line_no"), "line")
     broken = customer.where(F.col("c_custkey") % 10 == 0).select(
@@ -99,12 +97,21 @@ def render_inventory_lines(customer: DataFrame) -> DataFrame:
 
 def q_delimiter_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J-INV over five ledger files rendered from customer."""
-    return inventory_job(join_records(render_inventory_lines(table(spark, sf_dir, "customer"))))
+    return inventory_job(render_inventory_lines(table(spark, sf_dir, "customer")))
+
+
+def q_inventory_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-INV over ledger files that all have the same name, each in a folder of
+    its own; titles hold line breaks."""
+    lines = render_inventory_lines(table(spark, sf_dir, "customer"), gap="\n")
+    files = lines.select(F.regexp_replace("file_name", r"^inventory_(\w+)\.csv$", "$1/inventory.csv").alias("file"), "line_no", "line")
+    folder = land_files(files, scratch_path(spark, "inventory"), [F.col("line_no")])
+    return inventory_job(read_records(spark, f"{folder}/*"), FILE_KEY)
 
 
 def q_delimiter_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger files whose delimiter cannot be told, with the reason."""
-    return delimiter_rejects(join_records(render_inventory_lines(table(spark, sf_dir, "customer"))))
+    return delimiter_rejects(render_inventory_lines(table(spark, sf_dir, "customer")))
 
 
 # -------------------------------------------------------------------- traffic
@@ -355,7 +362,8 @@ def q_merged_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------- oracles
 
-def _inventory_sql() -> str:
+def _inventory_sql(landed: bool = False) -> str:
+    gap = "chr(10)" if landed else "' '"
     names = [c for c in INVENTORY_OUT if c != "file_name"]
     date_sql = ("CASE c_custkey % 4 WHEN 0 THEN strftime(d, '%Y-%m-%d') "
                 "WHEN 1 THEN CASE WHEN day(d) <= 12 THEN strftime(make_date(year(d), day(d), month(d)), '%Y-%m-%d') "
@@ -365,7 +373,7 @@ def _inventory_sql() -> str:
         if n == "Date":
             e = date_sql
         elif n == "Title":
-            e = "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Lamp, 12\" black' || chr(10) || c_name ELSE c_name END"
+            e = f"CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Lamp, 12\" black' || {gap} || c_name ELSE c_name END"
         elif n == "Location":
             e = "CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE 'US' END"
         else:
@@ -374,7 +382,7 @@ def _inventory_sql() -> str:
                 .replace("concat('SKU-', c_custkey)", "'SKU-' || c_custkey")
             e = e.replace("cast(", "CAST(").replace(" as string)", " AS VARCHAR)")
         cols.append(f'{e} AS "{n}"')
-    cols.append("'inventory_' || lower(c_mktsegment) || '.csv' AS file_name")
+    cols.append("'inventory.csv' AS file_name" if landed else "'inventory_' || lower(c_mktsegment) || '.csv' AS file_name")
     return ("SELECT " + ",\n  ".join(cols) +
             "\nFROM (SELECT *, DATE '2024-01-01' + CAST(c_custkey % 300 AS INTEGER) AS d FROM customer) c")
 
@@ -442,6 +450,7 @@ m AS (
 
 ORACLE = {
     "delimiter_infer": _inventory_sql(),
+    "inventory_landed": _inventory_sql(landed=True),
     "delimiter_rejects": f"""
 SELECT DISTINCT 'inventory_broken.csv' AS file_name, 'export failed' AS first_line, '{NO_DELIMITER}' AS reason
 FROM customer WHERE c_custkey % 10 = 0 AND c_custkey < 5000""",
@@ -485,6 +494,7 @@ SELECT row_number() OVER (ORDER BY bytes DESC, file, line_no) - 1 AS line_no, li
 
 QUERIES = {
     "delimiter_infer": q_delimiter_infer,
+    "inventory_landed": q_inventory_landed,
     "delimiter_rejects": q_delimiter_rejects,
     "traffic_flatten": q_traffic_flatten,
     "traffic_landed": q_traffic_landed,
