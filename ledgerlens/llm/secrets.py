@@ -12,7 +12,7 @@ that rule run again.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -26,10 +26,14 @@ from ledgerlens.llm.common import id_and_text, read_table, shared_folder, small_
 class Rule:
     """A kind of secret: pattern, version, and the shortest accepted group.
     ``hints`` are lower-case strings of which a text must hold one (in either
-    case) for the pattern to match anywhere; empty: always searched."""
+    case) for the pattern to match anywhere; empty: always searched. ``search``
+    finds the pattern's matches in linear time where the pattern itself would
+    start over at every character of a long run."""
 
     def __init__(self, kind: str, version: int, pattern: str, group: int = 0, least: int = 0,
-                 hints: tuple[str, ...] = (), any_case: bool = False):
+                 hints: tuple[str, ...] = (), any_case: bool = False,
+                 search: Callable[[str], list[tuple[int, int]]] | None = None):
+        self.search = search
         self.kind, self.group, self.least = kind, group, least
         self.key = f"{kind}@{version}"
         self.pattern = re.compile(pattern, re.ASCII | (re.IGNORECASE if any_case else 0))
@@ -40,6 +44,8 @@ class Rule:
         after matching, so they still cover what they matched."""
         if self.hints and not any(h in lowered for h in self.hints):
             return []
+        if self.search is not None:
+            return self.search(text)
         return [m.span() for m in self.pattern.finditer(text) if m.end(self.group) - m.start(self.group) >= self.least]
 
 
@@ -55,6 +61,40 @@ PRIVATE_KEY = (
     rf"|(?:{_GAP}*+[A-Z][A-Za-z-]*+:[\x20\t]*+[^\s\\]++)*+"
     rf"(?:(?:{_GAP}*+{_BASE64}{{16,}}+)++(?:(?<!=){_GAP}++{_BASE64}++)?+|{_GAP}*+{_BASE64}++(?=\s*\Z)))?+")
 
+_LOGIN_END = re.compile(r"://[^\s:/@]+:[^\s:/@]+@", re.ASCII)
+_SCHEME, _SCHEME_INNER = "abcdefghijklmnopqrstuvwxyz0123456789+.-", "0123456789+.-"
+
+
+def logins(text: str) -> list[tuple[int, int]]:
+    """Matches of the rule 'login': found from "://", then back over the run of
+    scheme characters to its first letter."""
+    found, end = [], 0
+    for m in _LOGIN_END.finditer(text):
+        head = text[end:m.start()]
+        scheme = head[len(head.rstrip(_SCHEME)):].lstrip(_SCHEME_INNER)
+        end = m.end()
+        if scheme:
+            found.append((m.start() - len(scheme), end))
+    return found
+
+
+_RUNS = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", re.ASCII)
+
+
+def web_tokens(text: str) -> list[tuple[int, int]]:
+    """Matches of the rule 'jwt': whole runs joined by dots; the first may have
+    other characters before its "eyJ"."""
+    found, at = [], 0
+    while m := _RUNS.search(text, at):
+        first = m.group(1).find("eyJ")
+        if first >= 0 and len(m.group(1)) - first - 3 >= 8:
+            found.append((m.start() + first, m.end()))
+            at = m.end()
+        else:
+            at = m.end(1) + 1  # the second run may be a first one
+    return found
+
+
 #: Fixed rules first, in the order spans of one start are listed; then known
 #: token shapes of widely used services.
 RULES = [
@@ -65,8 +105,8 @@ RULES = [
     Rule("key", 2, PRIVATE_KEY, hints=("private key",)),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat", 1, r"xox[abeoprs]-[A-Za-z0-9-]{10,}", hints=("xox",)),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hints=("eyj",)),
-    Rule("login", 1, r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@", hints=("://",)),
+    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hints=("eyj",), search=web_tokens),
+    Rule("login", 1, r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@", hints=("://",), search=logins),
 ]
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -89,9 +129,10 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         return spark.createDataFrame([], LEDGER)
-    # A row per scan of a blob, so at most one for each rule version.
-    return rows.groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("rules"),
-                                    F.flatten(F.collect_list("spans")).alias("spans"))
+    # A row per scan of a blob. Scans that ran at once may both have seen a rule
+    # version as unseen; they found the same spans, which count once.
+    return rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"),
+                                    F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def scan_blobs(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
@@ -192,9 +233,10 @@ def _listed(spans) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
-def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets in every whole text of ``documents``, from a new ledger."""
-    found = scan(read_table(spark, sf_dir, "documents"), shared_folder(spark, "secret-ledger"))
+def op6_secret_scans(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """Secrets in every whole text of ``documents``, with the ledger of earlier
+    runs in the folder ``ledger`` or a new one."""
+    found = scan(read_table(spark, sf_dir, "documents"), ledger or shared_folder(spark, "secret-ledger"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     return found.select(
         "doc_id",
