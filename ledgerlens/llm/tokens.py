@@ -15,8 +15,10 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words kept in a worker's cache; it is emptied when it has more.
-CACHE_WORDS = 500_000
+#: Bytes that a worker's words, and their parts, may take; the table is emptied
+#: when it has more. ENTRY_BYTES: what an entry takes besides its strings.
+CACHE_BYTES = 220 << 20
+ENTRY_BYTES = 190
 #: Words that the library encodes as one text.
 JOINED_WORDS = 1000
 
@@ -85,6 +87,7 @@ class WordIds(dict):
             self.letters.pre_tokenizer = pre_tokenizers.Sequence([
                 pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.parts: dict[str, bytes] = {"": b""}
+        self.held = self.held_parts = 0
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, given in UTF-8."""
@@ -94,11 +97,15 @@ class WordIds(dict):
         self.trim()
         return found
 
-    def trim(self, most: int = CACHE_WORDS) -> None:
-        if len(self) > most:
+    def trim(self, most: int | None = None) -> None:
+        """Forget all if there are more than ``most`` words (if given) or more
+        than CACHE_BYTES."""
+        if most is not None and len(self) > most or self.held > CACHE_BYTES:
             self.clear()
-        if len(self.parts) > most:
+            self.held = 0
+        if most is not None and len(self.parts) > most or self.held_parts > CACHE_BYTES // 2:
             self.parts = {"": b""}
+            self.held_parts = 0
 
     def learn(self, words: set) -> None:
         """Encode the words that are not known yet."""
@@ -113,7 +120,10 @@ class WordIds(dict):
     def _learn(self, new: list[bytes]) -> None:
         if not new:
             return
-        joined = b"\n".join(new).decode("utf-8")
+        joined = b"\n".join(new)
+        # An id takes four bytes and seldom stands for less than one.
+        self.held += 3 * len(joined) + ENTRY_BYTES * len(new)
+        joined = joined.decode("utf-8")
         if self.letters is None:
             self.update(zip(new, joined_ids(self.tokenizer, joined.split("\n"))))
             return
@@ -123,6 +133,7 @@ class WordIds(dict):
         parts = self.parts
         for texts, tokenizer in ((stems, self.letters), (ends, self.tokenizer)):
             unknown = [t for t in set(texts) if t not in parts]
+            self.held_parts += sum(map(len, unknown)) * 3 + ENTRY_BYTES * len(unknown)
             parts.update(zip(unknown, joined_ids(tokenizer, unknown)))
         known = parts.__getitem__
         self.update(zip(new, [a + b for a, b in zip(map(known, stems), map(known, ends))]))
