@@ -13,6 +13,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 
 INLINE = frozenset(
@@ -37,8 +40,9 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-zA-Z][^<>]*>?", re.S)
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+SPECIAL = re.compile(r"[>\"']")
+OTHER = re.compile(r"<[!?/a-zA-Z][^<>]*>?")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 
@@ -96,10 +100,119 @@ class Node:
         self.talk = len(found & TALK)
 
 
+class Tags:
+    """The tags of a page, found in time linear in its length.
+
+    A tag runs from "<" and a name to the first ">" outside quoted attribute
+    values. One that has no such end is no tag; its search may have gone to the
+    end of the page, so where it went is remembered: a later search that comes
+    outside quotes to the same quote or ">" has the same result. ``at`` is where
+    the next tag is looked for; a reader may move it forward."""
+
+    def __init__(self, html: str):
+        self.html, self.at = html, 0
+        self.special = [m.start() for m in SPECIAL.finditer(html)] if "<" in html else []
+        self.endless: set[int] = set()
+
+    def end(self, at: int) -> int:
+        """Place of the ">" that ends a tag whose attributes begin at ``at``,
+        or -1."""
+        html, special, way = self.html, self.special, []
+        n = bisect_left(special, at)
+        while n < len(special):
+            at = special[n]
+            if html[at] == ">":
+                return at
+            if at in self.endless:
+                break
+            way.append(at)
+            closing = html.find(html[at], at + 1)
+            if closing < 0:
+                break
+            n = bisect_left(special, closing + 1, n)
+        self.endless.update(way)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, str | None, bool, str]]:
+        """(start, end, name or None, whether an end tag, attributes)."""
+        html = self.html
+        while (start := html.find("<", self.at)) >= 0:
+            name, attributes = None, ""
+            m = NAME.match(html, start)
+            end = -1
+            if html.startswith("<!--", start):
+                closing = html.find("-->", start + 4)
+                end = len(html) if closing < 0 else closing + 3
+            elif m:
+                cut, found = m.end(), self.end(m.end())
+                if found < 0:
+                    # A quote in the name may start a value instead.
+                    for cut in (k for k in range(m.end() - 1, m.start(1), -1) if html[k] in "\"'"):
+                        found = self.end(cut)
+                        if found >= 0:
+                            break
+                if found >= 0:
+                    name, attributes, end = html[m.start(1):cut].lower(), html[cut:found], found + 1
+            if end < 0:
+                other = OTHER.match(html, start)
+                if not other:
+                    self.at = start + 1
+                    continue
+                end = other.end()
+            self.at = end
+            yield start, end, name, html.startswith("/", start + 1), attributes
+
+
+class Stack:
+    """Open elements: (name, node), no node for inline and foreign ones. The
+    places of blocks, and of every name's blocks, are kept beside, and how many
+    inline elements of a name are open since the last block, so nothing has to
+    be searched through."""
+
+    def __init__(self, root: Node):
+        self.rows: list[tuple[str, Node | None]] = [("#page", root)]
+        self.blocks, self.of_name = [0], {"#page": [0]}
+        self.open: Counter = Counter()
+        self.inline: list[Counter] = [Counter()]
+
+    def push(self, tag: str, node: Node | None) -> None:
+        if node is not None:
+            self.blocks.append(len(self.rows))
+            self.of_name.setdefault(tag, []).append(len(self.rows))
+            self.inline.append(Counter())
+        else:
+            self.inline[-1][tag] += 1
+        self.open[tag] += 1
+        self.rows.append((tag, node))
+
+    def pop_to(self, k: int) -> list[str]:
+        """Close the elements from place k on; their names."""
+        names = []
+        while len(self.rows) > k:
+            tag, node = self.rows.pop()
+            self.open[tag] -= 1
+            if node is not None:
+                self.blocks.pop()
+                self.of_name[tag].pop()
+                self.inline.pop()
+            else:
+                self.inline[-1][tag] -= 1
+            names.append(tag)
+        return names
+
+    def nearest(self, names) -> int:
+        """Place of the topmost block of one of the names, 0 if none."""
+        return max((places[-1] for n in names if (places := self.of_name.get(n))), default=0)
+
+    def block(self) -> Node:
+        return self.rows[self.blocks[-1]][1]
+
+
 def parse(html: str) -> list[Node]:
     """The nodes in page order (parents first); node 0 is the page."""
     root = Node("#page", None)
-    nodes, stack = [root], [("#page", root)]  # an inline element has no node of its own
+    nodes, stack = [root], Stack(root)  # an inline element has no node of its own
+    rows = stack.rows
     block, link_depth, at = root, 0, 0
     foreign = muted = 0  # open roots of foreign content, and DROPPED ones in it
 
@@ -109,36 +222,33 @@ def parse(html: str) -> list[Node]:
 
     def pop_to(k: int) -> None:
         nonlocal block, link_depth, foreign, muted
-        for tag, _ in stack[k:]:
+        for tag in stack.pop_to(k):
             link_depth -= tag == "a"
             foreign -= tag in FOREIGN
             muted -= tag in DROPPED
-        del stack[k:]
-        block = next(n for _, n in reversed(stack) if n is not None)
-
-    while m := TAG.search(html, at):
-        tag = m[2]
-        if m.start() > at:
-            text(html[at:m.start()])
-        at = m.end()
+        block = stack.block()
+
+    tags = Tags(html)
+    for start, end, tag, closing, attributes in tags:
+        if start > at:
+            text(html[at:start])
+        at = end
         if tag is None:
             continue
-        tag = tag.lower()
-        if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    pop_to(k)
-                    break
-                # An inline end tag does not close a block.
-                if tag in INLINE and stack[k][1] is not None:
-                    break
+        if closing:
+            # An inline end tag does not close a block.
+            if stack.inline[-1][tag] if tag in INLINE else stack.open[tag]:
+                k = len(rows) - 1
+                while rows[k][0] != tag:
+                    k -= 1
+                pop_to(k)
             continue
         if foreign and tag in LEAVES:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in HOLDS or stack[k][1] is not None:
-                    break
-                if stack[k][0] in FOREIGN:
+            k = len(rows) - 1
+            while foreign and k > 0 and rows[k][0] not in HOLDS and rows[k][1] is None:
+                if rows[k][0] in FOREIGN:
                     pop_to(k)
+                k -= 1
         if tag in VOID:
             if tag == "br":
                 text(" ")
@@ -147,41 +257,39 @@ def parse(html: str) -> list[Node]:
             block.tags += 1
             continue
         if tag in FOREIGN or foreign and tag not in INLINE and tag not in GROUPS and tag not in EMBEDDED:
-            if not m[3].endswith("/"):  # closes with the foreign content at the latest
-                stack.append((tag, None))
+            if not attributes.endswith("/"):  # closes with the foreign content at the latest
+                stack.push(tag, None)
                 foreign += tag in FOREIGN
                 muted += tag in DROPPED
             continue
         if tag in DROPPED:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+            if not attributes.endswith("/"):
+                closed = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
+                at = tags.at = closed.end() if closed else len(html)
             continue
         if tag in INLINE:
-            stack.append((tag, None))
+            stack.push(tag, None)
             link_depth += tag == "a"
             block.tags += 1
             continue
         closes, scope = CLOSES.get(tag, ((), ()))
-        for k in range(len(stack) - 1, 0, -1):
-            name = stack[k][0]
-            if tag in EMBEDDED:  # closes no paragraph, at most its like around it
-                if stack[k][1] is None:
-                    continue
-                if name == tag and tag in ("button", "select"):
-                    pop_to(k)
-                break
-            if name == "p" or name in closes:
+        top = stack.blocks[-1]
+        if tag in EMBEDDED:  # closes no paragraph, at most its like around it
+            if top and rows[top][0] == tag and tag in ("button", "select"):
+                pop_to(top)
+        elif not closes:
+            if rows[top][0] == "p":
+                pop_to(top)
+        else:
+            k = stack.nearest(("p", *closes))
+            if k > stack.nearest(scope):
                 pop_to(k)
-                break
-            if stack[k][1] is not None and (not closes or name in scope):
-                break
-        block = Node(tag, block, m[3])
+        block = Node(tag, block, attributes)
         block.parent.children.append(block)
         nodes.append(block)
-        stack.append((tag, block))
-        if m[3].endswith("/") and tag not in ("p", "div", "li", "td", "tr", "body", "html"):
-            pop_to(len(stack) - 1)
+        stack.push(tag, block)
+        if attributes.endswith("/") and tag not in ("p", "div", "li", "td", "tr", "body", "html"):
+            pop_to(len(rows) - 1)
     text(html[at:])
     _drop_empty(nodes)
     return _leaves(root)
@@ -265,6 +373,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
     total = max(1, position)
     log = math.log1p
     above: dict[int, tuple] = {}
+    children: dict[int, tuple] = {}
     rows = []
     for n in nodes:
         p = n.parent
@@ -275,7 +384,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
             siblings = p.children
         own = GROUPS.get(n.tag, -1)
         row = [
-            min(depth, 30), log(n.chars), log(n.n_words), n.links / max(1, n.chars),
+            depth, log(n.chars), log(n.n_words), n.links / max(1, n.chars),
             n.tags / max(1, n.chars) * 100, n.n_words / max(1, n.leaves), log(n.most),
             n.points / max(1, n.n_words), log(n.leaves), n.chars / total, n.first / total, n.last / total,
             n.digits / max(1, n.chars), float(n.hidden), n.against, n.for_, n.talk, against, for_, talk,
@@ -284,9 +393,10 @@ def features(nodes: list[Node]) -> list[list[float]]:
             place = n.place
         before = siblings[place - 1].n_words if p is not None and place else 0
         after = siblings[place + 1].n_words if p is not None and place + 1 < len(siblings) else 0
-        tags = siblings if len(siblings) <= 40 else siblings[max(0, place - 20):place + 20]
-        same = sum(s.tag == n.tag for s in tags) / len(tags)
-        longest = max(s.n_words for s in tags)
+        if p is not None and id(p) not in children:  # once for each parent, over all its children
+            children[id(p)] = Counter(s.tag for s in siblings), max(s.n_words for s in siblings)
+        tags, longest = children[id(p)] if p is not None else ({n.tag: 1}, n.n_words)
+        same = tags[n.tag] / len(siblings)
         row += [place / len(siblings), log(before), log(after), same, n.n_words / max(1, longest),
                 n.chars / max(1, p.chars if p is not None else n.chars)]
         row += [float(own == g) for g in range(N_GROUPS)]
