@@ -6,12 +6,13 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from ledgerlens.llm import html_extract, warc
+from ledgerlens.llm import html_dom, html_extract, warc
 from ledgerlens.llm.common import shared_folder
 from ledgerlens.llm.html_boost import labelled_pages
 from ledgerlens.llm.html_dom import features, parse
@@ -145,3 +146,40 @@ def test_extract(spark):
     assert got == Counter({(1, "u", text, len(text)): 2, (2, None, "", 0): 1, (3, "v", "", 0): 1, (None, "w", "", 0): 1,
                            (4, "x", long, len(long)): 1})
     assert html_extract.extract(pages(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("n", [39, 61, 400])
+def test_sibling_statistics_cover_all_siblings(n):
+    """The longest of the siblings counts, however far away it is."""
+    paragraphs = "".join(f"<p>{'word ' * (25 if k == 0 else 1)}</p>" for k in range(n))
+    nodes = html_dom.parse(f"<html><body>{paragraphs}</body></html>")
+    rows = html_dom.features(nodes)
+    last = max(k for k, node in enumerate(nodes) if node.tag == "p")
+    same, share = rows[last][25:27]
+    assert same == 1.0 and share == pytest.approx(1 / 25)
+
+
+def test_depth_is_not_cut():
+    nodes = html_dom.parse("<div>" * 50 + "text")
+    assert [r[0] for r in html_dom.features(nodes)] == list(range(51))
+
+
+HOSTILE = ["<a ", '<a "', "<a \"'", "<b></x>", "<b><div>", "<div></div><b>", "<svg><br><b>", "<li></li><div>", "<", '<a"b"c"d', "<p>x</p>",
+           "<script>", "<!--", "</p>", "&amp;<i>"]
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_long_pages_take_linear_time(unit):
+    def seconds(length: int) -> float:
+        html = unit * (length // len(unit)) + ">"
+        began = time.process_time()
+        html_dom.features(html_dom.parse(html))
+        return time.process_time() - began
+    assert seconds(400_000) < 10 * max(0.15, seconds(100_000))
+
+
+@pytest.mark.parametrize("html,names", [
+    ('<a href="x>y">t</a>', ["a", "a"]), ('<a "b c>d', [None]), ("<a'b \"c>d", [None]), ('<a"b>c">d', ['a"b']), ('<a b\'c>"d\'e>f', ["a"]),
+    ("a < b <3 <p>", ["p"]), ("<!-- <p> --><br/>", [None, "br"]), ("<!-- open <p>", [None]), ("<?x?><!doctype y><p", [None, None, None])])
+def test_tags(html, names):
+    assert [t[2] for t in html_dom.Tags(html)] == names

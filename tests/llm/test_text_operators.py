@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -220,3 +221,35 @@ def test_private_keys_are_covered_whole(spark):
     twice = f"{begin}\n{bodies[0][0]}\n{end} and {begin}\n{bodies[1][0]}\n{end}."
     assert [s[0] for s in secrets.find(twice)] == ["key", "key"]
     assert "key@2" in {x.key for x in secrets.RULES}
+
+
+def test_searches_match_their_patterns():
+    rules = {r.kind: r for r in secrets.RULES if r.search}
+    assert set(rules) == {"jwt", "login"}
+    r = random.Random(5)
+    pieces = ["eyJ", "eyJabcdefgh", ".", "a", "://", "x:y@", "-", "_", "B9", " ", "9", "+", "https", "u:p@", "é", "ABCDEFGHIJ", "/", ":", "@"]
+    for _ in range(20_000):
+        text = "".join(r.choice(pieces) for _ in range(r.randint(1, 14)))
+        for rule in rules.values():
+            assert rule.search(text) == [m.span() for m in rule.pattern.finditer(text)], text
+
+
+@pytest.mark.parametrize("unit", ["a", "eyJ", "eyJabcdefghi.", "://", "a://b:", "ab://c:d@", "secret", "token   ", "AKIA", "0", "-----BEGIN PRIVATE KEY-----"])
+def test_long_texts_take_linear_time(unit):
+    text = unit * (1_000_000 // len(unit)) + "://"
+    began = time.process_time()
+    secrets.find(text)
+    assert time.process_time() - began < 10
+
+
+def test_scans_at_once_count_once(spark):
+    folder = shared_folder(spark, "ledger")
+    docs = documents(spark, [(1, 'password = "abcdefgh1234"', "en")])
+    first = secrets.scan(docs, folder).select("doc_id", "spans").collect()
+    # Another scan had seen the same pairs as unseen and appends them too.
+    import os
+    held = folder.removeprefix("file:")
+    batch = os.listdir(held)[0]
+    spark.read.parquet(f"{folder}/{batch}").write.parquet(f"{folder}/batch-again")
+    assert secrets.scan(docs, folder).select("doc_id", "spans").collect() == first
+    assert secrets.read_ledger(spark, folder).where("size(spans) > 0").select(F.size("spans")).first()[0] == 1
