@@ -42,6 +42,8 @@ CLOSES = {
 }
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 SPECIAL = re.compile(r"[>\"']")
+#: Characters within which a tag's plain end is looked for first.
+NEAR = 200
 OTHER = re.compile(r"<[!?/a-zA-Z][^<>]*>?")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
@@ -111,13 +113,19 @@ class Tags:
 
     def __init__(self, html: str):
         self.html, self.at = html, 0
-        self.special = [m.start() for m in SPECIAL.finditer(html)] if "<" in html else []
+        self.special: list[int] | None = None
         self.endless: set[int] = set()
 
     def end(self, at: int) -> int:
         """Place of the ">" that ends a tag whose attributes begin at ``at``,
         or -1."""
-        html, special, way = self.html, self.special, []
+        html = self.html
+        near = html.find(">", at, at + NEAR)
+        if near >= 0 and html.find('"', at, near) < 0 and html.find("'", at, near) < 0:
+            return near
+        if self.special is None:
+            self.special = [m.start() for m in SPECIAL.finditer(html)]
+        special, way = self.special, []
         n = bisect_left(special, at)
         while n < len(special):
             at = special[n]
@@ -172,17 +180,17 @@ class Stack:
     def __init__(self, root: Node):
         self.rows: list[tuple[str, Node | None]] = [("#page", root)]
         self.blocks, self.of_name = [0], {"#page": [0]}
-        self.open: Counter = Counter()
-        self.inline: list[Counter] = [Counter()]
+        self.open: dict[str, int] = {}
+        self.inline: list[dict[str, int]] = [{}]
 
     def push(self, tag: str, node: Node | None) -> None:
         if node is not None:
             self.blocks.append(len(self.rows))
             self.of_name.setdefault(tag, []).append(len(self.rows))
-            self.inline.append(Counter())
+            self.inline.append({})
         else:
-            self.inline[-1][tag] += 1
-        self.open[tag] += 1
+            self.inline[-1][tag] = self.inline[-1].get(tag, 0) + 1
+        self.open[tag] = self.open.get(tag, 0) + 1
         self.rows.append((tag, node))
 
     def pop_to(self, k: int) -> list[str]:
@@ -237,7 +245,7 @@ def parse(html: str) -> list[Node]:
             continue
         if closing:
             # An inline end tag does not close a block.
-            if stack.inline[-1][tag] if tag in INLINE else stack.open[tag]:
+            if (stack.inline[-1] if tag in INLINE else stack.open).get(tag):
                 k = len(rows) - 1
                 while rows[k][0] != tag:
                     k -= 1
