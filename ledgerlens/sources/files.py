@@ -99,32 +99,37 @@ def plain_path(c: Column) -> Column:
 
 def _numbered(spark: SparkSession, paths: str | Sequence[str], glob: str | None, strip: bool,
               delimiters: Sequence[str] | None) -> tuple[DataFrame, DataFrame]:
-    """(lines, ranges). With ``delimiters`` the lines also carry ``_odd``: a
-    line of their file leaves a quoted field open."""
+    """(lines, stored lines). With ``delimiters`` the lines also carry
+    ``_odd``: a line of their file leaves a quoted field open.
+
+    A line's place counts from the start of its task, so it holds only for the
+    cut of the files that this one scan makes: the lines are stored with it, and
+    everything else reads the stored lines."""
     reader = spark.read.option("recursiveFileLookup", False)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    raw = reader.text(list(paths) if not isinstance(paths, str) else paths).select(
+    opens = leaves_open(F.col("value"), delimiters) if delimiters else F.lit(False)
+    raw = stored(reader.text(list(paths) if not isinstance(paths, str) else paths).select(
         F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"),
-        F.col("_metadata.file_block_start").alias("_range"), place.alias("_place"), F.col("value").alias("_raw"))
-    opens = leaves_open(F.col("_raw"), delimiters) if delimiters else F.lit(False)
+        F.col("_metadata.file_block_start").alias("_range"), place.alias("_place"),
+        F.is_valid_utf8("value").alias("_valid"), opens.alias("_opens"), F.col("value").cast("binary").alias("_raw")), "file-lines")
     ranges = raw.groupBy("_path", "_name", "_range").agg(
-        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"),
-        F.bool_and(F.is_valid_utf8("_raw")).alias("_valid"), F.bool_or(opens).alias("_opens"))
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"), F.bool_and("_valid").alias("_valid"),
+        F.bool_or("_opens").alias("_opens"))
     by_file = Window.partitionBy("_path")
     before = by_file.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = stored(ranges.select(
+    ranges = ranges.select(
         "_path", "_range", plain_path(F.col("_path")).alias("file_path"), plain_path(F.col("_name")).alias("file_name"),
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.min("_valid").over(by_file).alias("_utf8"), F.max("_opens").over(by_file).alias("_odd")), "file-ranges")
-    text = F.when(F.col("_utf8"), F.col("_raw")).otherwise(F.decode(F.col("_raw").cast("binary"), "ISO-8859-1"))
-    lines = raw.drop("_name").join(ranges, ["_path", "_range"]).select(
+        F.min("_valid").over(by_file).alias("_utf8"), F.max("_opens").over(by_file).alias("_odd"))
+    text = F.when(F.col("_utf8"), F.col("_raw").cast("string")).otherwise(F.decode(F.col("_raw"), "ISO-8859-1"))
+    lines = raw.select("_path", "_range", "_place", "_raw").join(ranges, ["_path", "_range"]).select(
         "file_path", "file_name", (F.col("_place") + F.col("_shift")).alias("line_no"), text.alias("_text"), "_odd")
     unmarked = F.when((F.col("line_no") == 0) & F.col("_text").startswith("\ufeff"), F.substring("_text", 2, 2147483647)) \
         .when((F.col("line_no") == 0) & F.col("_text").startswith("\u00ef\u00bb\u00bf"), F.substring("_text", 4, 2147483647)) \
         .otherwise(F.col("_text"))
-    return lines.select("file_path", "file_name", "line_no", (strip_text(unmarked) if strip else unmarked).alias("line"), "_odd"), ranges
+    return lines.select("file_path", "file_name", "line_no", (strip_text(unmarked) if strip else unmarked).alias("line"), "_odd"), raw
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str],
@@ -132,11 +137,12 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str],
     """(file_path, file_name, line_no, line) for every line of every file.
 
     Files of any size: Spark's text source reads a file in byte ranges, many
-    tasks a file. A range's lines are numbered where they are read; a small
-    table of the ranges (first number and count of each), stored once, gives
-    every range its offset by a running sum, and is joined back. Lines end in
-    CR LF, CR or LF; a byte-order mark is dropped; a final line break starts no
-    further line.
+    tasks a file. A range's lines are numbered where they are read and stored;
+    a small table of the ranges (first number and count of each) gives every
+    range its offset by a running sum, and is joined back. Lines end in CR LF,
+    CR or LF; a byte-order mark is dropped; a final line break starts no
+    further line. The files are read once, when this is called; later changes
+    of them are not seen.
 
     A file whose bytes are not valid UTF-8 is read as Latin-1, all of it.
     ``file_path`` tells files apart; ``file_name`` is its last part, which files
@@ -162,10 +168,10 @@ def read_records(spark: SparkSession, paths: str | Sequence[str], glob: str | No
     (file_path, file_name, line_no, line), see ``operators.join_records``.
     Which files need it is found in the pass that numbers the lines; the others
     are read as they are."""
-    lines, ranges = _numbered(spark, paths, glob, strip, delimiters)
+    lines, raw = _numbered(spark, paths, glob, strip, delimiters)
+    if raw.where("_opens").isEmpty():
+        return lines.drop("_odd")
     plain = lines.where(~F.col("_odd")).drop("_odd")
-    if ranges.where("_odd").isEmpty():
-        return plain
     return plain.unionByName(gathered(lines.where("_odd").drop("_odd"), "file_path", delimiters))
 
 
