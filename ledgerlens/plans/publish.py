@@ -3,7 +3,7 @@ published, and publication markers written after the data."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.plans.common import RUN_DATE, land_files, table
@@ -98,10 +98,13 @@ def _land_orders(spark: SparkSession, sf_dir: str) -> str:
     file: CR LF lines (USA), Latin-1 letters (CA), a byte-order mark (Mexico)."""
     o = _typed(table(spark, sf_dir, "orders"))
     line = F.concat_ws(",", "o_orderkey", "o_orderstatus", F.lit("é"))
-    first = F.min("o_orderkey").over(Window.partitionBy("file")) == F.col("o_orderkey")
     each = o.select("o_orderkey", "file_type", line.alias("line"), F.explode(F.array_compact(F.array(
         F.concat(F.lit("orders_"), F.col("file_type"), F.lit(".csv")),
         F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("mod_orders_"), F.col("file_type"), F.lit(".csv")))))).alias("file"))
+    # One row per file, broadcast: no window holds a file's lines.
+    starts = each.groupBy("file").agg(F.min("o_orderkey").alias("_start"))
+    each = each.join(F.broadcast(starts), "file", "left")
+    first = F.col("o_orderkey") == F.col("_start")
     raw = (F.when(F.col("file_type") == "USA", F.concat("line", F.lit("\r")).cast("binary"))
            .when(F.col("file_type") == "CA", F.encode("line", "ISO-8859-1"))
            .otherwise(F.when(first, F.concat(F.lit("\ufeff"), F.col("line"))).otherwise(F.col("line")).cast("binary")))

@@ -224,11 +224,11 @@ def land_traffic(spark: SparkSession, sf_dir: str) -> str:
     tail = head.where("CAST(substring(day, 6, 2) AS INT) % 5 <> 0").select("day", F.lit(2).alias("part"), F.lit("]}").alias("line"))
     lines = head.unionByName(body.select("day", F.lit(1).alias("part"), F.concat(F.lit(","), F.col("line")).alias("line"))).unionByName(tail)
     return land_files(lines.withColumn("file", F.concat(F.lit("business_report_"), F.col("day"), F.lit(".json"))),
-                      scratch_path(spark, "traffic"), [F.col("part"), F.col("line")])
+                      scratch_path(spark, "traffic"), [F.col("part"), F.col("line")], codec="gzip")
 
 
 def _landed_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_json_documents(spark, land_traffic(spark, sf_dir), traffic_schema())
+    return read_json_documents(spark, land_traffic(spark, sf_dir), traffic_schema(), glob="*.json.gz")
 
 
 def q_traffic_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
