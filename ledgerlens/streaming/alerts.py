@@ -35,18 +35,24 @@ def advance(state: tuple[str, int, int], pct: np.ndarray, hi: float, lo: float,
     None)."""
     if not len(pct):
         return state, np.zeros(0, object)
+    # Numbers only: a stream has many small groups, and frames cost each of them
+    # far more than its samples do.
     level, seen, start = state
-    decisive = pd.Series(np.where(pct > hi, "ALERT", np.where(pct <= lo, "NORMAL", None)), dtype="object")
-    cur = decisive.ffill().fillna(level).to_numpy()
-    prev = np.concatenate([[level], cur[:-1]])
-    idx = seen + np.arange(1, len(pct) + 1)
-    enter = (cur == "ALERT") & (prev == "NORMAL")
-    st = pd.Series(np.where(enter, idx, np.nan)).ffill().fillna(start).to_numpy()
+    n = len(pct)
+    high = pct > hi
+    last = np.maximum.accumulate(np.where(high | (pct <= lo), np.arange(n), -1))
+    cur = np.where(last >= 0, high[last], level == "ALERT")
+    prev = np.concatenate([[level == "ALERT"], cur[:-1]])
+    idx = seen + np.arange(1, n + 1)
+    enter, back = cur & ~prev, ~cur & prev
+    entered = np.maximum.accumulate(np.where(enter, idx, -1))
+    st = np.where(entered >= 0, entered, start)
     since = idx - st
-    remind = (cur == "ALERT") & (st >= 0) & (since > 0) & (since % every == 0)
-    back = (cur == "NORMAL") & (prev == "ALERT")
-    event = np.where(enter, "ALERT", np.where(back, "NORMAL", np.where(remind, "REMINDER", None)))
-    return (str(cur[-1]), int(idx[-1]), int(st[-1])), event
+    event = np.full(n, None, object)
+    event[cur & (st >= 0) & (since > 0) & (since % every == 0)] = "REMINDER"
+    event[back] = "NORMAL"
+    event[enter] = "ALERT"
+    return ("ALERT" if cur[-1] else "NORMAL", int(idx[-1]), int(st[-1])), event
 
 
 def _handler(hi: float, lo: float, every: int):
@@ -87,7 +93,8 @@ def _ordering_handler(hi: float, lo: float, every: int):
             rows["seq"], rows["pct"] = pdf["seq"].to_numpy(), pdf["pct"].to_numpy(dtype="float64")
             # Its place has passed: answers after it are given already.
             new.append(rows[rows["ts"] > before])
-        held = np.sort(np.concatenate(new), order=["ts", "seq"])
+        held = np.concatenate(new)
+        held = held[np.lexsort((held["pct"], held["seq"], held["ts"]))]
         # Nothing at or before the watermark can come any more.
         passed = state.getCurrentWatermarkMs()
         before = max(before, passed * 1000)
@@ -98,8 +105,9 @@ def _ordering_handler(hi: float, lo: float, every: int):
         if len(held):
             state.setTimeoutTimestamp(max(passed + 1, -(-int(held["ts"][0]) // 1000)))
         mask = event != None  # noqa: E711  (elementwise test on an object array)
-        yield pd.DataFrame({"device": [key[0]] * int(mask.sum()), "ts": done["ts"][mask].astype("datetime64[us]"),
-                            "pct": done["pct"][mask], "event": event[mask]})
+        if mask.any():
+            yield pd.DataFrame({"device": [key[0]] * int(mask.sum()), "ts": done["ts"][mask].astype("datetime64[us]"),
+                                "pct": done["pct"][mask], "event": event[mask]})
     return step
 
 
