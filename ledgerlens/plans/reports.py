@@ -18,10 +18,10 @@ from ledgerlens.layouts import (
 from ledgerlens.operators import conform, distinct_files, merge_lines, with_constants
 from ledgerlens.operators.delimited import FILE_KEY, NO_DELIMITER, delimiter_rejects, fields_by_header, infer_delimiters
 from ledgerlens.plans.common import RUN_DATE, land_files, table
-from ledgerlens.session import scratch_path
+from ledgerlens.session import scratch_path, stored
 from ledgerlens.sinks import write_csv, write_lines
 from ledgerlens.sources import (
-    decode_fallback, digests, file_sizes, json_rejects, read_delimited, read_json_documents, read_lines, read_records,
+    decode_fallback, digests, file_sizes, json_documents, json_parts, read_delimited, read_json_parts, read_lines, read_records,
     read_text_in_order,
 )
 from ledgerlens.sources.files import CORRUPT, DAMAGED, UNREADABLE
@@ -215,7 +215,8 @@ def land_traffic(spark: SparkSession, sf_dir: str) -> str:
     docs = render_traffic_docs(table(spark, sf_dir, "lineitem"))
     month = F.concat(F.regexp_extract("file_name", r"(\d{4}-\d{2})", 1), F.lit("-01"))
     items = F.regexp_extract("doc", r'(?s)^\{"salesAndTrafficByAsin":\[(.*)\]\}$', 1)
-    body = docs.select(month.alias("day"), items.alias("line")).where("line <> ''")
+    # Read four times below, rendered once.
+    body = stored(docs.select(month.alias("day"), items.alias("line")).where("line <> ''"), "traffic-items")
     # The first item is empty, so each other one starts with a comma.
     wrong = F.lit('{"parentAsin":"P","trafficByAsin":{"sessions":"many"}}')
     head = body.select("day").distinct().select("day", F.lit(0).alias("part"), F.when(
@@ -227,15 +228,10 @@ def land_traffic(spark: SparkSession, sf_dir: str) -> str:
                       scratch_path(spark, "traffic"), [F.col("part"), F.col("line")], codec="gzip")
 
 
-def _landed_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_json_documents(spark, land_traffic(spark, sf_dir), traffic_schema(), glob="*.json.gz")
-
-
 def q_traffic_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J-TRAFFIC over landed monthly documents; damaged ones give no rows. The
     B2B share of browser sessions is written with '%' too."""
-    docs = _landed_traffic(spark, sf_dir).where(F.col(CORRUPT).isNull()).select(
-        "file_name", F.struct("salesAndTrafficByAsin").alias("doc"))
+    docs, _ = read_json_parts(spark, land_traffic(spark, sf_dir), traffic_schema(), glob="*.json.gz")
     return flatten_traffic(docs, RUN_DATE, b2b_session_percent=True).where("childAsin IS NOT NULL")
 
 
@@ -247,7 +243,8 @@ def q_traffic_file_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_traffic_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The damaged documents: file, how the text begins, the reason."""
-    return json_rejects(_landed_traffic(spark, sf_dir), ["file_name"], sample_chars=28).drop("n_chars")
+    parts = json_parts(spark, land_traffic(spark, sf_dir), traffic_schema(), glob="*.json.gz", sample_chars=28)
+    return json_documents(parts).where("reason IS NOT NULL").select("file_name", "text", "reason")
 
 
 def q_traffic_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:

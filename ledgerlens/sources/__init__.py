@@ -6,3 +6,4 @@ from ledgerlens.sources.files import (  # noqa: F401
     read_fields, read_json_documents, read_lines, read_records, read_sized_records, read_text_files, read_text_in_order,
 )
 from ledgerlens.sources.objects import copied, digests, list_files  # noqa: F401
+from ledgerlens.sources.documents import json_documents, json_parts, read_json_parts  # noqa: F401
