@@ -215,7 +215,7 @@ def land_traffic(spark: SparkSession, sf_dir: str) -> str:
     docs = render_traffic_docs(table(spark, sf_dir, "lineitem"))
     month = F.concat(F.regexp_extract("file_name", r"(\d{4}-\d{2})", 1), F.lit("-01"))
     items = F.regexp_extract("doc", r'(?s)^\{"salesAndTrafficByAsin":\[(.*)\]\}$', 1)
-    # Read four times below, rendered once.
+    # Read three times below, rendered once.
     body = stored(docs.select(month.alias("day"), items.alias("line")).where("line <> ''"), "traffic-items")
     # The first item is empty, so each other one starts with a comma.
     wrong = F.lit('{"parentAsin":"P","trafficByAsin":{"sessions":"many"}}')
